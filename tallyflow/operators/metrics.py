@@ -33,7 +33,7 @@ def facts(rows: DataFrame, groups: list[Column], members: dict[str, Column]) ->
     each has a ``hits`` field, the rows it adds to PV. ``members`` maps a dim (``visitor``, ``ip``,
     ``active``) to the column holding the member; members may be null.
     """
-    kept = [c for c in ("dt", "dateline") if c in rows.columns]
+    kept = [c for c in ("dt", "slot", "dateline") if c in rows.columns]
     spread = rows.select(
         *kept,
         *[c.alias(dim) for dim, c in members.items()],

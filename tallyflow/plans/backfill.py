@@ -8,7 +8,7 @@ tick is midnight of the next day and covers the whole day, as the report run the
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyflow.functions.timing import DAY_SECONDS, TICK_SECONDS
@@ -20,22 +20,23 @@ from tallyflow.sources import logs
 TICKS = DAY_SECONDS // TICK_SECONDS
 
 
-def _midnight():
-    return F.unix_timestamp(F.to_date("dt", "yyyyMMdd"))
+def _midnight() -> Column:
+    """Epoch second at which the day of ``dt`` starts."""
+    part = lambda start, n: F.substring("dt", start, n).cast("int")
+    return F.unix_timestamp(F.make_date(part(1, 4), part(5, 2), part(7, 2)).cast("timestamp"))
 
 
-def in_days(log: DataFrame, days: list[str]) -> DataFrame:
-    return log.where(F.col("dt").isin(days))
+def slotted(log: DataFrame, days: list[str]) -> DataFrame:
+    """Log rows of ``days`` with their ``slot``, once per row, before rows are spread."""
+    offset = F.col("dateline") - _midnight()
+    return log.where(F.col("dt").isin(days) & offset.between(0, DAY_SECONDS)).withColumn(
+        "slot", F.ceil(offset / TICK_SECONDS).cast("int")
+    )
 
 
 def slot_cells(spread: DataFrame, keys: list[str]) -> DataFrame:
     """Rows per (day, keys, dim, member, slot), marked where the member is new that day."""
-    offset = F.col("dateline") - _midnight()
-    cells = (
-        spread.where(offset.between(0, DAY_SECONDS))
-        .groupBy("dt", *keys, "dim", "member", F.ceil(offset / TICK_SECONDS).cast("int").alias("slot"))
-        .agg(F.sum("hits").alias("n"))
-    )
+    cells = spread.groupBy("dt", *keys, "dim", "member", "slot").agg(F.sum("hits").alias("n"))
     seen = Window.partitionBy("dt", *keys, "dim", "member")
     return cells.withColumn("is_new", F.col("slot") == F.min("slot").over(seen))
 
@@ -83,12 +84,12 @@ def tick_metrics(spread: Facts, days: list[str]) -> DataFrame:
 def h5_full_backfill(log: DataFrame, active_log: DataFrame, sdk: DataFrame, days: list[str]) -> DataFrame:
     """The full H5 report at every tick of ``days``."""
     spread = reports.h5_full_facts(
-        logs.h5_rules(in_days(log, days)), logs.h5_active_rules(in_days(active_log, days)), sdk
+        logs.h5_rules(slotted(log, days)), logs.h5_active_rules(slotted(active_log, days)), sdk
     )
     return reports.h5_records(tick_metrics(spread, days), F.col("dt"), F.col("up"))
 
 
 def app_backfill(log: DataFrame, days: list[str]) -> DataFrame:
     """The app report at every tick of ``days``."""
-    metrics = tick_metrics(reports.app_facts(logs.app_rules(in_days(log, days))), days)
+    metrics = tick_metrics(reports.app_facts(logs.app_rules(slotted(log, days))), days)
     return reports.app_records(metrics, F.col("dt"), F.col("up"), clean.APP_TOTAL_WIDTH)

@@ -3,67 +3,67 @@
 There are no public traffic logs in the test data. These views fold thirty days of events onto
 three days and give each row channel, visitor, device and app values that reach every rule: nulls,
 literal ``null`` texts, date suffixes, rejected characters, long labels, rows exactly at midnight
-and on slice bounds. ``sql_views`` states the same formulas for the oracle.
+and on slice bounds.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# given, so that a scan does not open a file to find it
+EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string"
 FIRST_MIDNIGHT = 1705190400  # 2024-01-14 00:00:00 UTC
 
-
-def _text(*parts) -> Column:
-    return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
-
-
-def _by(key: Column, cases: dict, otherwise: Column) -> Column:
-    """CASE on an integer key; a case is one key or a range of keys."""
-    out = None
-    for k, v in cases.items():
-        hit = key == k if isinstance(k, int) else key.between(k[0], k[1])
-        v = v if isinstance(v, Column) else F.lit(v)
-        out = F.when(hit, v) if out is None else out.when(hit, v)
-    return out.otherwise(otherwise)
+# Formulas of the derived columns over id, u (user), t (event type) and sec (the event's second,
+# folded onto three days). They read the same in Spark and in the oracle.
+FORMULAS = {
+    "dateline": "CAST(CASE WHEN id % 211 = 0 THEN sec - sec % 86400 WHEN id % 97 = 0 THEN sec - sec % 600 "
+                "ELSE sec END AS bigint)",
+    "dt": "CAST(20240114 + id % 3 AS {text})",
+    "clientip": "'10.' || (u % 3) || '.' || (u % 11) || '.' || (id % 17)",
+    "qid": "CASE id % 41 WHEN 0 THEN NULL WHEN 1 THEN 'null' WHEN 2 THEN 'sharexcx' "
+           "WHEN 3 THEN 'xiaochengxu_dftt' WHEN 4 THEN 'HuiTT_' || t WHEN 5 THEN 'huitt' "
+           "WHEN 6 THEN t || '?_t=' || (u % 3) WHEN 7 THEN t || '240115' WHEN 8 THEN t || '240115240116' "
+           "WHEN 9 THEN t || '991399' WHEN 10 THEN 'h5bt' || t WHEN 11 THEN repeat('x', 50) || t "
+           "WHEN 12 THEN upper(t) ELSE t || '_' || (u % 7) END",
+    "uid": "CASE WHEN id % 53 = 0 THEN NULL ELSE 'u' || u END",
+    "clientime": "CASE id % 29 WHEN 0 THEN NULL WHEN 1 THEN 'null' WHEN 2 THEN '  ' "
+                 "ELSE 'imei' || (u % 101) END",
+    "apptypeid": "CASE WHEN id % 31 = 0 THEN NULL WHEN id % 31 = 1 THEN 'DFTT' WHEN id % 31 = 2 THEN 'zjzy_a' "
+                 "WHEN id % 31 = 3 THEN 'GSIOSx' WHEN id % 31 = 4 THEN 'huitt' WHEN id % 31 = 5 THEN 'XWZXTT' "
+                 "WHEN id % 31 = 6 THEN 'MyVeryLongApplicationTTName' WHEN id % 31 <= 15 THEN 'jstt2' "
+                 "WHEN id % 31 <= 23 THEN 'ttNews' ELSE 'wap' END",
+    "logtype": "CASE id % 13 WHEN 0 THEN 'log_toutiao_sdk_active' WHEN 1 THEN NULL ELSE 'log_' || t END",
+    "urlto": "CASE id % 7 WHEN 0 THEN NULL WHEN 1 THEN 'http://a.example/video/1' "
+             "WHEN 2 THEN 'https://a.example/picture/2' WHEN 3 THEN 'http://douyin.example/3' "
+             "WHEN 4 THEN 'ftp://b.example/4' ELSE 'http://news.example/' || (id % 19) END",
+    "softname": "CASE id % 23 WHEN 0 THEN NULL WHEN 1 THEN 'gsbrowser' WHEN 2 THEN 'ltbrowser' "
+                "ELSE 'app' || (u % 4) END",
+    "softid": "CASE WHEN id % 19 = 0 THEN NULL WHEN id % 19 <= 7 THEN 'tt' || (u % 4) || 'Android' "
+              "WHEN id % 19 <= 13 THEN 'tt' || (u % 4) || 'IOS' WHEN id % 19 <= 15 THEN 'ttAndroidPad' "
+              "ELSE 'plain' END",
+}
+# the activity log has channels the traffic log does not
+ACTIVE_QID = "CASE WHEN id % 37 = 0 THEN 'active_only_' || t ELSE qid END"
+ACTIVE_ROWS = "t IN ('view', 'signup')"
+# the channel list as an external system would hold it: unsorted, repeated, with nulls
+SDK_QID = "CASE WHEN id % 5 > 0 THEN t || '_' || (u % 7) END"
+SDK_ROWS = "(t = 'click' AND u % 7 = 1) OR (t = 'view' AND u % 7 = 2) OR (t = 'signup' AND u % 7 = 0)"
+
+
+def _formulas(text: str) -> list[str]:
+    return [f"{sql.replace('{text}', text)} AS {name}" for name, sql in FORMULAS.items()]
 
 
 def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All derived columns of every event; each log selects its own."""
-    n, u, t = F.col("event_id"), F.col("user_id"), F.col("event_type")
-    epoch = F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
-    sec = F.lit(FIRST_MIDNIGHT) + n % 3 * 86400 + epoch % 86400
-    dateline = (
-        F.when(n % 211 == 0, sec - sec % 86400).when(n % 97 == 0, sec - sec % 600).otherwise(sec)
-    ).cast("bigint")
-    null = F.lit(None).cast("string")
-    qid = _by(n % 41, {
-        0: null, 1: "null", 2: "sharexcx", 3: "xiaochengxu_dftt", 4: _text("HuiTT_", t), 5: "huitt",
-        6: _text(t, "?_t=", u % 3), 7: _text(t, "240115"), 8: _text(t, "240115240116"),
-        9: _text(t, "991399"), 10: _text("h5bt", t), 11: _text("x" * 50, t), 12: F.upper(t),
-    }, _text(t, "_", u % 7))
-    return spark.read.parquet(f"{sf_dir}/events.parquet").select(
-        n.alias("id"),
-        u.alias("u"),
-        t.alias("t"),
-        dateline.alias("dateline"),
-        (F.lit(20240114) + n % 3).cast("string").alias("dt"),
-        _text("10.", u % 3, ".", u % 11, ".", n % 17).alias("clientip"),
-        qid.alias("qid"),
-        F.when(n % 53 == 0, null).otherwise(_text("u", u)).alias("uid"),
-        _by(n % 29, {0: null, 1: "null", 2: "  "}, _text("imei", u % 101)).alias("clientime"),
-        _by(n % 31, {
-            0: null, 1: "DFTT", 2: "zjzy_a", 3: "GSIOSx", 4: "huitt", 5: "XWZXTT",
-            6: "MyVeryLongApplicationTTName", (7, 15): "jstt2", (16, 23): "ttNews",
-        }, F.lit("wap")).alias("apptypeid"),
-        _by(n % 13, {0: "log_toutiao_sdk_active", 1: null}, _text("log_", t)).alias("logtype"),
-        _by(n % 7, {
-            0: null, 1: "http://a.example/video/1", 2: "https://a.example/picture/2",
-            3: "http://douyin.example/3", 4: "ftp://b.example/4",
-        }, _text("http://news.example/", n % 19)).alias("urlto"),
-        _by(n % 23, {0: null, 1: "gsbrowser", 2: "ltbrowser"}, _text("app", u % 4)).alias("softname"),
-        _by(n % 19, {
-            0: null, (1, 7): _text("tt", u % 4, "Android"), (8, 13): _text("tt", u % 4, "IOS"),
-            (14, 15): "ttAndroidPad",
-        }, F.lit("plain")).alias("softid"),
+    second = "timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)"
+    return (
+        spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
+        .selectExpr(
+            "event_id AS id", "user_id AS u", "event_type AS t",
+            f"{FIRST_MIDNIGHT} + (event_id % 3) * 86400 + {second} % 86400 AS sec",
+        )
+        .selectExpr("id", "u", "t", *_formulas("string"))
     )
 
 
@@ -78,8 +78,7 @@ def h5_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def h5_active_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    only = F.when(F.col("id") % 37 == 0, _text("active_only_", F.col("t"))).otherwise(F.col("qid"))
-    return _active(event_log(spark, sf_dir)).select("dateline", "uid", only.alias("qid"), "dt")
+    return event_log(spark, sf_dir).where(ACTIVE_ROWS).selectExpr("dateline", "uid", f"{ACTIVE_QID} AS qid", "dt")
 
 
 def app_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,70 +88,32 @@ def app_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def app_active_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _active(event_log(spark, sf_dir)).select("dateline", "uid", "qid", "softname", "softid", "dt")
-
-
-def _active(log: DataFrame) -> DataFrame:
-    return log.where(F.col("t").isin("view", "signup"))
+    return event_log(spark, sf_dir).where(ACTIVE_ROWS).select("dateline", "uid", "qid", "softname", "softid", "dt")
 
 
 def sdk_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Channel list as an external system would hold it: unsorted, repeated, with nulls."""
-    log = event_log(spark, sf_dir)
-    t, k = F.col("t"), F.col("u") % 7
-    on_list = ((t == "click") & (k == 1)) | ((t == "view") & (k == 2)) | ((t == "signup") & (k == 0))
-    return log.where(on_list).select(
-        F.when(F.col("id") % 5 > 0, _text(t, "_", k)).alias("h5qid")
-    )
+    return event_log(spark, sf_dir).where(SDK_ROWS).selectExpr(f"{SDK_QID} AS h5qid")
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("text").alias("line"))
+    return spark.read.schema("text string").parquet(f"{sf_dir}/documents.parquet").select(F.col("text").alias("line"))
 
 
-_SQL_LOG = f"""
+def sql_views() -> str:
+    """The body of a WITH clause that defines every derived log for the oracle."""
+    formulas = ",\n    ".join(_formulas("varchar"))
+    return f"""
 ev AS (
   SELECT event_id AS id, user_id AS u, event_type AS t,
-         {FIRST_MIDNIGHT} + (event_id % 3) * 86400 + cast(floor(epoch(ts)) AS bigint) % 86400 AS sec
+    {FIRST_MIDNIGHT} + (event_id % 3) * 86400 + cast(floor(epoch(ts)) AS bigint) % 86400 AS sec
   FROM events),
 log AS (
   SELECT id, u, t,
-    cast(CASE WHEN id % 211 = 0 THEN sec - sec % 86400 WHEN id % 97 = 0 THEN sec - sec % 600 ELSE sec END
-         AS bigint) AS dateline,
-    cast(20240114 + id % 3 AS varchar) AS dt,
-    '10.' || (u % 3) || '.' || (u % 11) || '.' || (id % 17) AS clientip,
-    CASE id % 41 WHEN 0 THEN NULL WHEN 1 THEN 'null' WHEN 2 THEN 'sharexcx' WHEN 3 THEN 'xiaochengxu_dftt'
-      WHEN 4 THEN 'HuiTT_' || t WHEN 5 THEN 'huitt' WHEN 6 THEN t || '?_t=' || (u % 3)
-      WHEN 7 THEN t || '240115' WHEN 8 THEN t || '240115240116' WHEN 9 THEN t || '991399'
-      WHEN 10 THEN 'h5bt' || t WHEN 11 THEN repeat('x', 50) || t WHEN 12 THEN upper(t)
-      ELSE t || '_' || (u % 7) END AS qid,
-    CASE WHEN id % 53 = 0 THEN NULL ELSE 'u' || u END AS uid,
-    CASE id % 29 WHEN 0 THEN NULL WHEN 1 THEN 'null' WHEN 2 THEN '  ' ELSE 'imei' || (u % 101) END AS clientime,
-    CASE WHEN id % 31 = 0 THEN NULL WHEN id % 31 = 1 THEN 'DFTT' WHEN id % 31 = 2 THEN 'zjzy_a'
-      WHEN id % 31 = 3 THEN 'GSIOSx' WHEN id % 31 = 4 THEN 'huitt' WHEN id % 31 = 5 THEN 'XWZXTT'
-      WHEN id % 31 = 6 THEN 'MyVeryLongApplicationTTName' WHEN id % 31 <= 15 THEN 'jstt2'
-      WHEN id % 31 <= 23 THEN 'ttNews' ELSE 'wap' END AS apptypeid,
-    CASE id % 13 WHEN 0 THEN 'log_toutiao_sdk_active' WHEN 1 THEN NULL ELSE 'log_' || t END AS logtype,
-    CASE id % 7 WHEN 0 THEN NULL WHEN 1 THEN 'http://a.example/video/1' WHEN 2 THEN 'https://a.example/picture/2'
-      WHEN 3 THEN 'http://douyin.example/3' WHEN 4 THEN 'ftp://b.example/4'
-      ELSE 'http://news.example/' || (id % 19) END AS urlto,
-    CASE id % 23 WHEN 0 THEN NULL WHEN 1 THEN 'gsbrowser' WHEN 2 THEN 'ltbrowser' ELSE 'app' || (u % 4) END AS softname,
-    CASE WHEN id % 19 = 0 THEN NULL WHEN id % 19 <= 7 THEN 'tt' || (u % 4) || 'Android'
-      WHEN id % 19 <= 13 THEN 'tt' || (u % 4) || 'IOS' WHEN id % 19 <= 15 THEN 'ttAndroidPad' ELSE 'plain' END AS softid
+    {formulas}
   FROM ev),
 basic_log AS (SELECT dateline, clientip, qid, uid, clientime, dt FROM log),
 h5_log AS (SELECT dateline, clientip, qid, uid, apptypeid, clientime, logtype, urlto, dt FROM log),
-h5_active_log AS (
-  SELECT dateline, uid, CASE WHEN id % 37 = 0 THEN 'active_only_' || t ELSE qid END AS qid, dt
-  FROM log WHERE t IN ('view', 'signup')),
+h5_active_log AS (SELECT dateline, uid, {ACTIVE_QID} AS qid, dt FROM log WHERE {ACTIVE_ROWS}),
 app_log AS (SELECT dateline, clientip, qid AS appqid, apptypeid, clientime, urlto, dt FROM log),
-app_active_log AS (SELECT dateline, uid, qid, softname, softid, dt FROM log WHERE t IN ('view', 'signup')),
-sdk_list AS (
-  SELECT CASE WHEN id % 5 > 0 THEN t || '_' || (u % 7) END AS h5qid FROM log
-  WHERE (t = 'click' AND u % 7 = 1) OR (t = 'view' AND u % 7 = 2) OR (t = 'signup' AND u % 7 = 0))
-"""
-
-
-def sql_views() -> str:
-    """The body of a WITH clause that defines every derived log."""
-    return _SQL_LOG.strip()
+app_active_log AS (SELECT dateline, uid, qid, softname, softid, dt FROM log WHERE {ACTIVE_ROWS}),
+sdk_list AS (SELECT {SDK_QID} AS h5qid FROM log WHERE {SDK_ROWS})""".strip()

@@ -10,6 +10,7 @@ A null channel becomes ``null`` before the charset filter, in every scan.
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyflow.functions import clean
 from tallyflow.functions.timing import TICK_SECONDS, ReportWindow
@@ -19,9 +20,14 @@ def use_database(spark: SparkSession, name: str) -> None:
     spark.catalog.setCurrentDatabase(name)
 
 
-def read_log(spark: SparkSession, name: str) -> DataFrame:
-    """A log by table name, or by path when the name has a slash."""
-    return spark.read.parquet(name) if "/" in name else spark.table(name)
+def read_log(spark: SparkSession, name: str, schema: T.StructType) -> DataFrame:
+    """A log by table name, or by path when the name has a slash.
+
+    The schema keeps ``dt`` a string where it is a folder name and would be read as a number.
+    """
+    if "/" in name:
+        return spark.read.schema(schema).parquet(name)
+    return spark.table(name).select([f.name for f in schema])
 
 
 def in_window(log: DataFrame, window: ReportWindow) -> DataFrame:
@@ -55,7 +61,7 @@ def day_range(log: DataFrame, window: ReportWindow) -> DataFrame:
 def basic_rules(log: DataFrame) -> DataFrame:
     """Basic log; the device is the visitor on the ``huitt`` channel."""
     uid = clean.visitor_exact(F.col("qid"), F.col("uid"), F.col("clientime"))
-    return log.select(*_day(log), "dateline", "clientip", "qid", uid.alias("uid"))
+    return log.select(*_when(log), "clientip", "qid", uid.alias("uid"))
 
 
 def h5_clean(log: DataFrame, window: ReportWindow) -> DataFrame:
@@ -70,8 +76,7 @@ def h5_rules(log: DataFrame) -> DataFrame:
         & clean.keeps_null_channel(F.col("qid"), F.col("apptypeid"))
         & clean.has_channel_charset(qid)
     ).select(
-        *_day(log),
-        "dateline",
+        *_when(log),
         "clientip",
         qid.alias("qid"),
         clean.visitor_contains(qid, F.col("uid"), F.col("clientime")).alias("uid"),
@@ -85,7 +90,7 @@ def h5_active(log: DataFrame, window: ReportWindow) -> DataFrame:
 def h5_active_rules(log: DataFrame) -> DataFrame:
     qid = clean.null_text(F.col("qid"))
     return log.where(clean.has_channel_charset(qid)).select(
-        *_day(log), "dateline", F.lit(None).cast("string").alias("clientip"), qid.alias("qid"), "uid"
+        *_when(log), F.lit(None).cast("string").alias("clientip"), qid.alias("qid"), "uid"
     )
 
 
@@ -100,7 +105,7 @@ def app_rules(log: DataFrame) -> DataFrame:
         clean.has_device(F.col("clientime"))
         & clean.is_tt_app(F.col("apptypeid"))
         & clean.has_channel_charset(qid)
-    ).select(*_day(log), "dateline", "clientip", qid.alias("qid"), "apptypeid", F.col("clientime").alias("uid"))
+    ).select(*_when(log), "clientip", qid.alias("qid"), "apptypeid", F.col("clientime").alias("uid"))
 
 
 def app_active(log: DataFrame, window: ReportWindow) -> DataFrame:
@@ -111,8 +116,7 @@ def app_active_rules(log: DataFrame) -> DataFrame:
     """App activity: the app comes from the software fields; dates go before the charset check."""
     qid = clean.normalise_channel(clean.null_text(F.col("qid")))
     return log.select(
-        *_day(log),
-        "dateline",
+        *_when(log),
         F.lit(None).cast("string").alias("clientip"),
         qid.alias("qid"),
         clean.app_from_software(F.col("softname"), F.col("softid")).alias("apptypeid"),
@@ -132,8 +136,7 @@ def app_news_rules(log: DataFrame) -> DataFrame:
         & clean.has_device_trimmed(F.col("clientime"))
         & clean.is_not_huitt(F.col("apptypeid"))
     ).select(
-        *_day(log),
-        "dateline",
+        *_when(log),
         "clientip",
         qid.alias("qid"),
         F.upper(clean.null_text(F.col("apptypeid"))).alias("apptypeid"),
@@ -141,5 +144,6 @@ def app_news_rules(log: DataFrame) -> DataFrame:
     ).where(clean.has_channel_charset(F.col("qid")))
 
 
-def _day(log: DataFrame) -> list[str]:
-    return ["dt"] if "dt" in log.columns else []
+def _when(log: DataFrame) -> list[str]:
+    """Columns that say when: the second, and the day and slot where the log has them."""
+    return [c for c in ("dt", "slot", "dateline") if c in log.columns]
