@@ -10,7 +10,7 @@ from datetime import datetime, timedelta
 from typing import NamedTuple
 from zoneinfo import ZoneInfo
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 TICK_SECONDS = 600
@@ -34,6 +34,11 @@ def report_window(tick: str, tz: str = "UTC") -> ReportWindow:
     return ReportWindow(midnight.strftime("%Y%m%d"), low, up)
 
 
+def session_report_window(spark: SparkSession, tick: str) -> ReportWindow:
+    """Window in the session's time zone, which the records' times are written in."""
+    return report_window(tick, spark.conf.get("spark.sql.session.timeZone"))
+
+
 def report_window_columns(epoch: Column) -> dict[str, Column]:
     """``dt``, ``low`` and ``up`` of the report run at ``epoch``, one report per row."""
     up, low = floor_ten_minutes(epoch), midnight(epoch)

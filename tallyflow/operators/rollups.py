@@ -25,8 +25,12 @@ def fits_broadcast(
 
 
 def _spread(rows: DataFrame, channels: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Salt both sides: a channel's rows go to ``SALTS`` reducers, each with its own list copy."""
-    salt = F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int")
+    """Salt both sides: a channel's rows go to ``SALTS`` reducers, each with its own list copy.
+
+    Rows are dealt out in turn, so even copies of one row spread. The salt decides only where a row
+    is joined. It is the same when a task runs again, as rows come straight from a scan.
+    """
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
     copies = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     return rows.withColumn("salt", salt), channels.select("h5qid", copies.alias("salt"))
 

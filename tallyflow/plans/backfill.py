@@ -11,10 +11,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyflow.functions import clean
 from tallyflow.functions.timing import DAY_SECONDS, TICK_SECONDS
 from tallyflow.plans import reports
 from tallyflow.plans.reports import TOTAL, Facts
-from tallyflow.functions import clean
 from tallyflow.sources import logs
 
 TICKS = DAY_SECONDS // TICK_SECONDS
@@ -35,10 +35,20 @@ def slotted(log: DataFrame, days: list[str]) -> DataFrame:
 
 
 def slot_cells(spread: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows per (day, keys, dim, member, slot), marked where the member is new that day."""
-    cells = spread.groupBy("dt", *keys, "dim", "member", "slot").agg(F.sum("hits").alias("n"))
-    seen = Window.partitionBy("dt", *keys, "dim", "member")
-    return cells.withColumn("is_new", F.col("slot") == F.min("slot").over(seen))
+    """Two kinds of rows per (day, keys, dim, member), from one scan and one shuffle.
+
+    With ``is_new`` false: one per slot the member was seen in, ``n`` rows. With ``is_new`` true:
+    one in the member's first slot of the day. A window over each member's slots would say the same
+    but needs a second shuffle and a sort of every cell.
+    """
+    member = [F.col(c) for c in ("dt", *keys, "dim", "member")]
+    slot = F.col("slot")
+    cells = spread.groupingSets([[*member, slot], member], *member, slot).agg(
+        F.sum("hits").alias("n"), F.min(slot).alias("first_slot"), F.grouping(slot).alias("is_first")
+    )
+    return cells.select(
+        *member, F.col("first_slot").alias("slot"), "n", (F.col("is_first") == 1).alias("is_new")
+    )
 
 
 def tick_metrics(spread: Facts, days: list[str]) -> DataFrame:
@@ -52,11 +62,12 @@ def tick_metrics(spread: Facts, days: list[str]) -> DataFrame:
         cells = cells.unionByName(seed, allowMissingColumns=True)
 
     members = {"uv": "visitor", "ip": "ip", "activecnt": "active"}
-    is_dim = lambda d: F.col("dim") == d
+    seen = lambda d: (F.col("dim") == d) & ~F.col("is_new")
+    new = lambda d: (F.col("dim") == d) & F.col("is_new")
     per_slot = cells.groupBy("dt", *keys, "slot").agg(
-        F.coalesce(F.sum(F.when(is_dim("visitor"), F.col("n"))), F.lit(0)).alias("in_pv"),
-        *[F.count_if(is_dim(d)).alias(f"in_{m}") for m, d in members.items()],
-        *[F.count_if(is_dim(d) & F.col("is_new")).alias(f"new_{m}") for m, d in members.items()],
+        F.coalesce(F.sum(F.when(seen("visitor"), F.col("n"))), F.lit(0)).alias("in_pv"),
+        *[F.count_if(seen(d)).alias(f"in_{m}") for m, d in members.items()],
+        *[F.count_if(new(d)).alias(f"new_{m}") for m, d in members.items()],
     )
 
     so_far = Window.partitionBy("dt", *keys).orderBy("slot")
@@ -89,7 +100,29 @@ def h5_full_backfill(log: DataFrame, active_log: DataFrame, sdk: DataFrame, days
     return reports.h5_records(tick_metrics(spread, days), F.col("dt"), F.col("up"))
 
 
+def h5_basic_backfill(log: DataFrame, days: list[str]) -> DataFrame:
+    """The basic H5 report at every tick of ``days``."""
+    metrics = tick_metrics(reports.h5_basic_facts(logs.basic_rules(slotted(log, days))), days)
+    return reports.h5_records(
+        metrics.withColumns({"activecnt": F.lit(0), "incr_activecnt": F.lit(0)}), F.col("dt"), F.col("up")
+    )
+
+
+def _app_backfill(spread: Facts, days: list[str], total_width: int) -> DataFrame:
+    return reports.app_records(tick_metrics(spread, days), F.col("dt"), F.col("up"), total_width)
+
+
 def app_backfill(log: DataFrame, days: list[str]) -> DataFrame:
     """The app report at every tick of ``days``."""
-    metrics = tick_metrics(reports.app_facts(logs.app_rules(slotted(log, days))), days)
-    return reports.app_records(metrics, F.col("dt"), F.col("up"), clean.APP_TOTAL_WIDTH)
+    return _app_backfill(reports.app_facts(logs.app_rules(slotted(log, days))), days, clean.APP_TOTAL_WIDTH)
+
+
+def news_backfill(log: DataFrame, days: list[str]) -> DataFrame:
+    """The news report at every tick of ``days``."""
+    return _app_backfill(reports.app_facts(logs.app_news_rules(slotted(log, days))), days, clean.APP_TOTAL_WIDTH)
+
+
+def app_active_backfill(active_log: DataFrame, days: list[str]) -> DataFrame:
+    """The app activity report at every tick of ``days``."""
+    spread = reports.app_active_facts(logs.app_active_rules(slotted(active_log, days)))
+    return _app_backfill(spread, days, clean.APP_WIDTH)

@@ -6,8 +6,12 @@ from tallyflow.operators.rollups import channel_list
 
 
 def read_jdbc_query(spark: SparkSession, url: str, query: str, properties: dict[str, str]) -> DataFrame:
-    """Any query the database runs; the rows stay distributed."""
-    return spark.read.format("jdbc").option("url", url).option("query", query).options(**properties).load()
+    """Any query the database runs.
+
+    One task reads it unless ``properties`` name a ``partitionColumn`` with its bounds and
+    ``numPartitions``; give them for more than a small list.
+    """
+    return spark.read.format("jdbc").options(url=url, dbtable=f"({query}) q", **properties).load()
 
 
 def read_sdk_list_jdbc(spark: SparkSession, url: str, table: str, properties: dict[str, str]) -> DataFrame:

@@ -170,13 +170,22 @@ def test_backfill_equals_every_single_report(random_log):
         assert sorted(got[up]) == model.h5_full(random_log["rows"], random_log["active"], model.SDK, w), k
 
 
-def test_app_backfill_equals_single_reports(random_log):
-    filled = backfill.app_backfill(random_log["app"], [model.DT, "20240116"]).cache()
+@pytest.mark.parametrize("name", ["basic", "app", "news", "app_active"])
+def test_other_backfills_equal_single_reports(spark, random_log, name):
+    filled, single, log = {
+        "basic": (backfill.h5_basic_backfill, reports.h5_basic_report, random_log["basic"]),
+        "app": (backfill.app_backfill, reports.app_report, random_log["app"]),
+        "news": (backfill.news_backfill, reports.news_report, random_log["app"]),
+        "app_active": (backfill.app_active_backfill, reports.app_active_report, derived.app_active_log(spark, SF_DIR)),
+    }[name]
+    every = filled(log, [model.DT, "20240116"]).cache()
     for tick in ("20240115134000", "20240115001000", "20240116000000", "20240116120000"):
         w = report_window(tick)
-        single = reports.app_report(random_log["app"], w)
-        at = filled.where((F.col("logtime") == w.up) & (F.col("dt") == int(w.dt)))
-        assert at.exceptAll(single).isEmpty() and single.exceptAll(at).isEmpty()
+        want = single(log, w)
+        at = every.where((F.col(every.columns[1]) == w.up) & (F.col("dt") == int(w.dt)))
+        assert at.exceptAll(want).isEmpty() and want.exceptAll(at).isEmpty(), tick
+        assert not at.isEmpty()
+    every.unpersist()
 
 
 # ---- publishing -----------------------------------------------------------------------------------
