@@ -10,6 +10,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyflow.functions import clean
 from tallyflow.functions.timing import ReportWindow, report_window
 from tallyflow.sources import derived
 
@@ -62,12 +63,11 @@ LOG_TYPE_SQL = (
     "(logtype <> 'log_toutiao_sdk_active' "
     "OR (logtype = 'log_toutiao_sdk_active' AND urlto LIKE '%http%'))"
 )
-NULL_CHANNEL_SQL = """(((qid = 'null' OR qid IS NULL)
-      AND upper(apptypeid) NOT IN ('DFTT', 'TTKB', 'XWZXTT', 'XNTTZK', 'JSSTT', 'JS_DFTT', 'USATT', 'HBJTT',
-        'MOPSHIPIN', 'YZSTT', 'DBHTT', 'GSGTT', 'NCJTT', 'GZGTT', 'YNYTT', 'ICANTT', 'JXGTT', 'HNYTT', 'HNQTT',
-        'XNBLW', 'XGGTT', 'GDYTT', 'TQYB', 'TQKB', 'WNWB', 'GSBROWSER')
-      AND upper(apptypeid) NOT LIKE 'ZJZY%' AND upper(apptypeid) NOT LIKE 'GSIOS%')
-    OR (qid <> 'null' AND qid IS NOT NULL))"""
+_EXCLUDED = ", ".join(f"'{app}'" for app in clean.EXCLUDED_APPS)
+NULL_CHANNEL_SQL = (
+    f"(coalesce(qid, 'null') <> 'null' OR (upper(apptypeid) NOT IN ({_EXCLUDED}) "
+    "AND left(upper(apptypeid), 4) <> 'ZJZY' AND left(upper(apptypeid), 5) <> 'GSIOS'))"
+)
 
 
 def charset_sql(column: str) -> str:
