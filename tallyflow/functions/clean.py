@@ -119,8 +119,12 @@ def trim_special(c: Column) -> Column:
 
 
 def trim_date(c: Column) -> Column:
-    """Drop up to five trailing ``yyMMdd`` suffixes, keeping at least one leading character."""
-    return F.regexp_replace(c, DATE_SUFFIX, "$1")
+    """Drop up to five trailing ``yyMMdd`` suffixes, keeping at least one leading character.
+
+    A suffix ends in a month and a day; text that cannot end so, most of it, skips the pattern.
+    """
+    may_end_in_date = F.substring(c, -4, 4).between("0101", "1231")
+    return F.when(may_end_in_date, F.regexp_replace(c, DATE_SUFFIX, "$1")).otherwise(c)
 
 
 def normalise_channel(c: Column) -> Column:

@@ -17,7 +17,7 @@ from tallyflow import schema
 from tallyflow.functions import clean
 from tallyflow.functions.timing import ReportWindow, tick_text
 from tallyflow.operators import counts, rollups
-from tallyflow.operators.metrics import facts, metrics_at
+from tallyflow.operators.metrics import facts, joined_metrics, metrics_at
 from tallyflow.sources import logs
 
 DETAIL, TOTAL = 0, 1
@@ -206,8 +206,6 @@ def news_report(log: DataFrame, window: ReportWindow) -> DataFrame:
 
 def h5_basic_joined(log: DataFrame, window: ReportWindow) -> DataFrame:
     """Detail rows of the basic report as five left joins; the form to check the core against."""
-    from tallyflow.operators.metrics import joined_metrics
-
     rows = logs.day_range(log, window).select(
         "dateline",
         clean.trim_special(F.lower(clean.null_text(F.col("qid")))).alias("qid"),
@@ -221,8 +219,6 @@ def h5_basic_joined(log: DataFrame, window: ReportWindow) -> DataFrame:
 
 def h5_full_joined(log: DataFrame, active_log: DataFrame, sdk: DataFrame, window: ReportWindow) -> DataFrame:
     """Detail and rollup rows of the full report as unions and seven left joins."""
-    from tallyflow.operators.metrics import joined_metrics
-
     lower = lambda df: df.withColumn("qid", F.lower("qid"))
     rows = lower(rollups.union_rollups(logs.h5_clean(log, window), sdk))
     active = lower(rollups.union_rollups(logs.h5_active(active_log, window), sdk))

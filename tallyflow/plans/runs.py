@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyflow.functions.timing import ReportWindow
-from tallyflow.plans import reports
+from tallyflow.plans import backfill, reports
 from tallyflow.sinks import tables
 from tallyflow.sinks.tables import APP, H5, MetricsTable
 
@@ -43,3 +43,9 @@ def run_app_active(spark, active_log: DataFrame, window: ReportWindow, staging:
 
 def run_news(spark, log: DataFrame, window: ReportWindow, staging: str, final: str) -> int:
     return _replace(spark, reports.news_report(log, window), APP, window, staging, final)
+
+
+def run_h5_full_backfill(log: DataFrame, active_log: DataFrame, sdk: DataFrame, days: list[str], final: str) -> int:
+    """Publish every tick of whole days. Each tick has its total row, so every slice is replaced."""
+    merged = tables.max_merge(backfill.h5_full_backfill(log, active_log, sdk, days), H5)
+    return tables.overwrite_slices(tables.rebalanced(merged, H5), final, H5)

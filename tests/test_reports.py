@@ -239,12 +239,20 @@ def test_empty_report_clears_its_slice(spark, random_log, tmp_path):
     assert tables.read_table(spark, staging, tables.APP).isEmpty()
 
 
-def test_backfill_publishes_as_slices(spark, random_log, tmp_path):
-    filled = backfill.h5_full_backfill(random_log["h5"], random_log["h5_active"], random_log["sdk"], [model.DT])
-    path = str(tmp_path / "filled")
-    n = tables.overwrite_slices(tables.rebalanced(filled, tables.H5), path, tables.H5)
-    back = tables.read_table(spark, path, tables.H5)
+def test_backfill_publishes_what_single_runs_publish(spark, random_log, tmp_path):
+    from tallyflow.plans import runs
+
+    inputs = random_log["h5"], random_log["h5_active"], random_log["sdk"]
+    filled, staging, final = (str(tmp_path / n) for n in ("filled", "staging", "final"))
+    n = runs.run_h5_full_backfill(*inputs, [model.DT], filled)
+    back = tables.read_table(spark, filled, tables.H5)
     assert back.count() == n and back.select("currenttime").distinct().count() == 144
+    for tick in ("20240115134000", "20240116000000"):
+        w = report_window(tick)
+        runs.run_h5_full(spark, *inputs, w, staging, final)
+        single = tables.read_slice(spark, final, tables.H5, w.dt, w.up)
+        at = tables.read_slice(spark, filled, tables.H5, w.dt, w.up)
+        assert at.exceptAll(single).isEmpty() and single.exceptAll(at).isEmpty()
 
 
 def test_small_sinks(spark, random_log, tmp_path):
