@@ -7,7 +7,7 @@
    coordinate and its value. Nodes of at most ``SMALL`` sets are compared by brute force. In a larger node
    everything near its pivot (its lowest id) is linked to the pivot, sets close enough to it leave the node
    (by the triangle inequality whatever is similar to them is near the pivot too), and the rest is split
-   again. The whole is repeated for ``RUNS`` independent trees, which takes recall to the target below.
+   again, unless all of the node is near the pivot. The whole is repeated for ``RUNS`` independent trees, which takes recall to the target below.
 3. Sets that are linked, directly or by others, form a candidate cluster. All pairs of a cluster are
    compared exactly, in blocks of ``BLOCK`` sets, with one matrix product per block pair; a block pair returns
    the number of links of each set and a spanning forest, never the pairs.
@@ -28,6 +28,7 @@ texts, only one of them is compared, so ids should be unique. Extra columns are
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tallyflow.llm import textops
-from tallyflow.llm.components import components
+from tallyflow.llm.components import components, forest
 from tallyflow.llm.tasks import batch as record
 from tallyflow.llm.tasks import map_arrow
 from tallyflow.sinks.scratch import stored
@@ -46,14 +47,17 @@ SHINGLE = 5
 THRESHOLD = 0.8
 COORDS = 64
 RUNS = 10
-SMALL = 64
+SMALL = 256
+#: the bound doubles from level to level, as fewer rows are left, up to
+LARGEST = 4096
 BLOCK = 256
 #: estimated similarity from which two sets become candidates; 4 standard deviations below the threshold
 NEAR = 0.6
 #: and from which a set counts as surely similar to the pivot
-CLOSE = 0.9
-#: ids that may be sent to every task, 16 bytes each
-FEW = 2_000_000
+CLOSE = 0.8
+#: rows of a few numbers, and of sketches, that may be sent to every task: 80 and 30 MB
+FEW = 1_000_000
+SKETCHES = 100_000
 
 U64 = np.uint64
 _rng = np.random.default_rng(20240115)
@@ -155,22 +159,6 @@ def _runs_of(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
-def _forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The lowest index each of n things is connected to."""
-    low = np.arange(n)
-    while True:
-        m = np.minimum(low[a], low[b])
-        new = low.copy()
-        np.minimum.at(new, a, m)
-        np.minimum.at(new, b, m)
-        np.minimum.at(new, low[a], m)
-        np.minimum.at(new, low[b], m)
-        new = new[new]
-        if (new == low).all():
-            return low
-        low = new
-
-
 def _brute(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links of the small nodes: each set that is near another, to the lowest of those it is connected to."""
     arrow = to_arrow_schema(LINK)
@@ -187,7 +175,7 @@ def _brute(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             i = i[i + step < len(node)]
             i = i[node[i] == node[i + step]]
         if left:
-            low = _forest(len(ids), np.concatenate(left), np.concatenate(right))
+            low = forest(len(ids), np.concatenate(left), np.concatenate(right))
             some = np.flatnonzero(low < np.arange(len(ids)))
             yield record(arrow, ids[low[some]], ids[some])
 
@@ -199,30 +187,34 @@ def _against_pivot(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_arrays([b.column("node"), b.column("id"), b.column("sketch"), b.column("pivot"), pa.array(share)], ["node", "id", "sketch", "pivot", "share"])
 
 
-def _few(df: DataFrame) -> DataFrame:
-    """Sends ``df`` to every task if it has few rows; it is stored, so counting it is cheap."""
-    return F.broadcast(df) if df.count() <= FEW else df
+def _few(df: DataFrame, rows: int, most: int) -> DataFrame:
+    """Sends ``df`` to every task if its counted rows are few."""
+    return F.broadcast(df) if rows <= most else df
 
 
 def candidate_links(sets: DataFrame, runs: int = RUNS, small: int = SMALL) -> DataFrame:
     """(a, b) between sets that are likely similar; every similar pair is connected by links, up to the recall."""
-    links = None
+    grouped, links, limit = [], [], small
     rows = stored(map_arrow(sets.select("id", "sketch"), _split_roots(runs), CHILD), "paths")
     while True:
         sizes = rows.groupBy("node").agg(F.count("*").alias("n"), F.min("id").alias("pivot")).where("n > 1")
         full = stored(rows.join(sizes, "node").join(sets.select("id", "sketch"), "id").select("node", "n", "pivot", "id", "sketch"), "nodes")
-        grouped = full.where(F.col("n") <= small).select("node", "id", "sketch").repartition("node").sortWithinPartitions("node", "id")
-        found = map_arrow(grouped, _brute, LINK)
-        large = full.where(F.col("n") > small)
-        if large.isEmpty():
-            links = found if links is None else links.union(found)
-            return stored(links.distinct(), "links")
-        pivots = large.where("id = pivot").select(F.col("node").alias("p"), F.col("sketch").alias("pivot_sketch")).dropDuplicates(["p"])
-        near = large.where("id <> pivot").join(pivots, F.col("node") == F.col("p")).select("node", "id", "sketch", "pivot", "pivot_sketch")
+        grouped.append(full.where(F.col("n") <= limit).select("node", "id", "sketch"))
+        large = full.where(F.col("n") > limit)
+        pivots = large.where("id = pivot").select(F.col("node").alias("p"), F.col("sketch").alias("pivot_sketch"))
+        count = pivots.count()
+        if not count:
+            break
+        near = large.where("id <> pivot").join(_few(pivots, count, SKETCHES), F.col("node") == F.col("p")).select("node", "id", "sketch", "pivot", "pivot_sketch")
         near = stored(map_arrow(near, _against_pivot, "node bigint, id bigint, sketch binary, pivot bigint, share double"), "near")
-        found = found.union(near.where(F.col("share") >= NEAR).select(F.col("pivot").alias("a"), F.col("id").alias("b")))
-        links = found if links is None else links.union(found)
-        rows = stored(map_arrow(near.where(F.col("share") < CLOSE).select("node", "id", "sketch"), _split, CHILD), "paths")
+        links.append(near.where(F.col("share") >= NEAR).select(F.col("pivot").alias("a"), F.col("id").alias("b")))
+        # a node whose sets are all near its pivot is one cluster: nothing is left to find in it
+        mixed = near.where(F.col("share") < NEAR).select(F.col("node").alias("m")).distinct()
+        left = near.where(F.col("share") < CLOSE).join(mixed, F.col("node") == F.col("m"), "left_semi")
+        rows = stored(map_arrow(left.select("node", "id", "sketch"), _split, CHILD), "paths")
+        limit = min(2 * limit, LARGEST)
+    every = reduce(DataFrame.union, grouped).repartition("node").sortWithinPartitions("node", "id")
+    return stored(reduce(DataFrame.union, links, map_arrow(every, _brute, LINK)), "links")
 
 
 def _set_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -299,7 +291,7 @@ def _verify(threshold: float):
                 if key[1, lo] != key[2, lo]:
                     count[c] += linked.T @ copies[lo:hi][a]
                 x, y = np.nonzero(linked)
-                low = _forest(hi - lo, a[x], c[y])
+                low = forest(hi - lo, a[x], c[y])
                 some = np.flatnonzero(count)
                 yield record(arrow, ids[lo:hi][low[some]], ids[lo:hi][some], count[some])
 
@@ -327,7 +319,7 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     wanted = wanted.join(sized, "cluster").withColumn("block", F.pmod(F.xxhash64("id"), "blocks"))
     wanted = stored(wanted, "wanted")
 
-    needed = rows.join(_few(wanted.select("id")), "id", "left_semi")
+    needed = rows.join(_few(wanted.select("id"), wanted.count(), FEW), "id", "left_semi")
     texts = map_arrow(needed, _set_rows, SETS)
     other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
     dealt = wanted.select("cluster", "id", "copies", "block", other.alias("o")).select("cluster", "id", "copies", "block", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"))
@@ -339,5 +331,5 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     linked = sets.select("k1", "k2", "size", "id", "copies").join(counts, "id", "left").join(classes, "id", "left")
     # only sets with copies or links need to find their documents again
     known = stored(linked.where("copies > 1 or links is not null").select("k1", "k2", "size", F.coalesce("class_id", "id").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "known")
-    out = keys.drop("sketch").join(_few(known), ["k1", "k2", "size"], "left")
+    out = keys.drop("sketch").join(_few(known, known.count(), FEW), ["k1", "k2", "size"], "left")
     return out.select("id", F.coalesce("class_id", "id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"))
