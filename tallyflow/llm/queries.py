@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyflow.llm import decontaminate, jaccard_join
+from tallyflow.llm import bpe, decontaminate, jaccard_join
+
+
+def tokenizer() -> str:
+    """The tokenizer file of the queries."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,9 +23,13 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(_table(spark, sf_dir, "documents"), tokenizer())
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.spans(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")))
 
 
-QUERIES = {f.__name__: f for f in (op1_jaccard_join, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_jaccard_join, op2_bpe, op10_decontaminate)}
 SQL: dict[str, str] = {}
