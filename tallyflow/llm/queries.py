@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyflow.llm import bpe, decontaminate, jaccard_join
+from tallyflow.llm import bpe, decontaminate, jaccard_join, token_files
 
 
 def tokenizer() -> str:
@@ -27,9 +27,13 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"), tokenizer())
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.write_and_check(_table(spark, sf_dir, "documents"), tokenizer())
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.spans(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")))
 
 
-QUERIES = {f.__name__: f for f in (op1_jaccard_join, op2_bpe, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_jaccard_join, op2_bpe, op4_token_files, op10_decontaminate)}
 SQL: dict[str, str] = {}
