@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyflow.llm import bpe, decontaminate, jaccard_join, language, token_files, toxicity
+from tallyflow.llm import bpe, decontaminate, jaccard_join, language, token_files, toxicity, warc
 
 
 def tokenizer() -> str:
@@ -39,9 +39,13 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.write_and_read(_table(spark, sf_dir, "pages"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.spans(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")))
 
 
-QUERIES = {f.__name__: f for f in (op1_jaccard_join, op2_bpe, op4_token_files, op6_language, op7_toxicity, op10_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_jaccard_join, op2_bpe, op4_token_files, op6_language, op7_toxicity, op9_warc, op10_decontaminate)}
 SQL: dict[str, str] = {}

@@ -28,7 +28,9 @@ TRAIN_ROWS = 16_000
 TERM_BITS = 20
 TERMS = 1024
 FACTORS = 8
-EPOCHS = 12
+EPOCHS = 24
+#: least optimizer steps, for small samples
+STEPS = 600
 #: least chi-square of a kept term, and the least texts it occurs in
 ASSOCIATION = 15.0
 LEAST_TEXTS = 5
@@ -91,14 +93,16 @@ class Machine:
         w, v = np.zeros(len(kept), np.float32), rng.normal(0, 0.05, (len(kept), FACTORS)).astype(np.float32)
         state = [[np.zeros_like(p), np.zeros_like(p)] for p in (w, v, np.zeros(1, np.float32))]
         b, step, y = np.array([bias], np.float32), 0, labels.astype(np.float32)
-        for epoch in range(EPOCHS):
-            rate = 0.05 * 0.8**epoch
-            for part in np.array_split(rng.permutation(n), max(1, n // 256)):
+        batches = max(1, n // 256)
+        epochs = max(EPOCHS, -(-STEPS // batches))
+        for epoch in range(epochs):
+            rate = 0.05 * 0.05 ** (epoch / epochs)
+            for part in np.array_split(rng.permutation(n), batches):
                 xs = x[part]
                 sums = xs @ v
                 z = b + xs @ w + 0.5 * ((sums**2).sum(1) - xs @ (v**2).sum(1))
                 err = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[part]) / len(part)
-                grads = [xs.T @ err + 1e-4 * w, xs.T @ (err[:, None] * sums) - v * (xs.T @ err)[:, None] + 1e-3 * v, np.array([err.sum()])]
+                grads = [xs.T @ err + 1e-5 * w, xs.T @ (err[:, None] * sums) - v * (xs.T @ err)[:, None] + 1e-4 * v, np.array([err.sum()])]
                 step += 1
                 for p, g, s in zip((w, v, b), grads, state):
                     s[0] = 0.9 * s[0] + 0.1 * g
