@@ -61,8 +61,15 @@ def _library_ids(tokenizer, texts: pa.Array, specials: dict[str, int]) -> tuple[
     return gather(p, np.array(tokens, np.int64), np.array(bounds), word.ravel(), len(texts))
 
 
-def token_ids(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", end: int = END) -> DataFrame:
-    """(id, n, ids) per document: its ids and the end id, as little-endian 32-bit integers."""
+def width(path: str) -> str:
+    """The least integer that holds every id of a tokenizer file."""
+    from tokenizers import Tokenizer
+
+    return "<u2" if Tokenizer.from_file(path).get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
+
+
+def token_ids(docs: DataFrame, path: str, kind: str, id_col: str = "doc_id", text_col: str = "text", end: int = END) -> DataFrame:
+    """(id, n, ids) per document: its ids and the end id, as little-endian integers of ``kind``."""
 
     def run(batches):
         import os
@@ -76,25 +83,28 @@ def token_ids(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
         for piece in textops.pieces(batches, "text", PIECE):
             ids, at = _library_ids(tokenizer, piece.column("text"), specials)
             rows = np.arange(len(at))
-            out = np.insert(ids, at[1:], end).astype("<u4")
+            out = np.insert(ids, at[1:], end).astype(kind)
             at = at + rows
             yield record(arrow, piece.column("id"), np.diff(at), textops.binaries(out, at))
 
     return map_arrow(docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")), run, IDS)
 
 
-def _counts(batches):
-    total = np.zeros(0, np.int64)
-    for b in batches:
-        data, _ = textops.buffers(b.column("ids"))
-        more = np.bincount(data.view("<u4"), minlength=len(total))
-        more[: len(total)] += total
-        total = more
-    used = np.flatnonzero(total)
-    yield record(to_arrow_schema(COUNTS), used, total[used])
+def _counts(kind: str):
+    def run(batches):
+        total = np.zeros(0, np.int64)
+        for b in batches:
+            data, _ = textops.buffers(b.column("ids"))
+            more = np.bincount(data.view(kind), minlength=len(total))
+            more[: len(total)] += total
+            total = more
+        used = np.flatnonzero(total)
+        yield record(to_arrow_schema(COUNTS), used, total[used])
+
+    return run
 
 
-def _write_blocks(code: Code):
+def _write_blocks(code: Code, kind: str):
     def run(batches):
         arrow, part = to_arrow_schema(BLOCKS), TaskContext.get().partitionId()
         docs, held, size, start, block = [], [], 0, 0, 0
@@ -106,7 +116,8 @@ def _write_blocks(code: Code):
 
         for b in batches:
             data, at = textops.buffers(b.column("ids"))
-            ids, at = data.view("<u4"), at // 4
+            ids = data.view(kind)
+            at = at // ids.itemsize
             for k, doc in enumerate(b.column("id").to_pylist()):
                 own = ids[at[k] : at[k + 1]]
                 if held and size + len(own) > BLOCK:
@@ -124,8 +135,9 @@ def _write_blocks(code: Code):
 def write(docs: DataFrame, tokenizer_path: str, out: str, id_col: str = "doc_id", text_col: str = "text", end: int = END) -> None:
     """Encodes all texts and writes the folder ``out``."""
     spark = docs.sparkSession
-    ids = stored(token_ids(docs, tokenizer_path, id_col, text_col, end), "token-ids")
-    counts = map_arrow(ids.select("ids"), _counts, COUNTS).groupBy("token").agg(F.sum("n").alias("n")).collect()  # one row per vocabulary entry
+    kind = width(tokenizer_path)
+    ids = stored(token_ids(docs, tokenizer_path, kind, id_col, text_col, end), "token-ids")
+    counts = map_arrow(ids.select("ids"), _counts(kind), COUNTS).groupBy("token").agg(F.sum("n").alias("n")).collect()  # one row per vocabulary entry
     total = np.zeros(1 + max((r.token for r in counts), default=0), np.int64)
     for r in counts:
         total[r.token] = r.n
@@ -133,7 +145,7 @@ def write(docs: DataFrame, tokenizer_path: str, out: str, id_col: str = "doc_id"
     spark.createDataFrame([(int(i), int(lengths[i])) for i in np.flatnonzero(lengths)], "id bigint, bits int").coalesce(1).write.parquet(f"{out}/codebook")
     parts = max(1, -(-4 * int(total.sum()) // PART_BYTES))
     dealt = ids.repartitionByRange(parts, "id").sortWithinPartitions("id", "ids").select("id", "ids")
-    map_arrow(dealt, _write_blocks(Code(lengths)), BLOCKS).write.parquet(f"{out}/blocks")
+    map_arrow(dealt, _write_blocks(Code(lengths), kind), BLOCKS).write.parquet(f"{out}/blocks")
     sizes = spark.read.schema(BLOCKS).parquet(f"{out}/blocks").groupBy("part").agg(F.sum("n_ids").alias("n")).orderBy("part").collect()  # one row per part
     before, rows = 0, []
     for r in sizes:
