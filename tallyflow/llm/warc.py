@@ -172,7 +172,7 @@ def write(pages: DataFrame, out: str, least_bytes: int = 0, date: str = DATE) ->
     captures = stored(map_arrow(dated, _write(out, date), WRITTEN), "captures")
     parts = max(1, -(-captures.count() // (16 * LINES)))
     by_key = captures.repartitionByRange(parts, "key", "page_id").sortWithinPartitions("key", "page_id")
-    map_arrow(by_key, _write_index(out), BLOCKS).coalesce(max(1, parts // 64)).write.parquet(f"{out}/directory")
+    map_arrow(by_key, _write_index(out), BLOCKS).write.parquet(f"{out}/directory")
 
 
 def directory(spark: SparkSession, out: str) -> DataFrame:
