@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyflow.llm import bpe, decontaminate, jaccard_join, language, token_files, toxicity, warc
+from tallyflow.llm import bpe, decontaminate, jaccard_join, language, line_dedup, quality, token_files, toxicity, warc
 
 
 def tokenizer() -> str:
@@ -27,10 +27,19 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(_table(spark, sf_dir, "documents"), tokenizer())
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.write_and_check(_table(spark, sf_dir, "documents"), tokenizer())
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table has no host; its source stands for it."""
+    return line_dedup.clean(_table(spark, sf_dir, "documents").select("doc_id", "source", "text")).drop("source")
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(_table(spark, sf_dir, "documents"))
 
@@ -47,5 +56,5 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.spans(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")))
 
 
-QUERIES = {f.__name__: f for f in (op1_jaccard_join, op2_bpe, op4_token_files, op6_language, op7_toxicity, op9_warc, op10_decontaminate)}
-SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_jaccard_join, op2_bpe, op3_quality, op4_token_files, op5_line_dedup, op6_language, op7_toxicity, op9_warc, op10_decontaminate)}
+SQL: dict[str, str] = {"op5_line_dedup": line_dedup.SQL}
