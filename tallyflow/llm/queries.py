@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyflow.llm import bpe, decontaminate, jaccard_join, language, line_dedup, quality, token_files, toxicity, warc
+from tallyflow.llm import bpe, decontaminate, jaccard_join, language, line_dedup, lm, quality, token_files, toxicity, warc
 
 
 def tokenizer() -> str:
@@ -48,6 +48,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op8_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_all(_table(spark, sf_dir, "documents"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.write_and_read(_table(spark, sf_dir, "pages"))
 
@@ -56,5 +60,11 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.spans(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")))
 
 
-QUERIES = {f.__name__: f for f in (op1_jaccard_join, op2_bpe, op3_quality, op4_token_files, op5_line_dedup, op6_language, op7_toxicity, op9_warc, op10_decontaminate)}
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = {f.__name__: f for f in (op1_jaccard_join, op2_bpe, op3_quality, op4_token_files, op5_line_dedup, op6_language, op7_toxicity, op8_language_model, op9_warc, op10_decontaminate, pipeline)}
 SQL: dict[str, str] = {"op5_line_dedup": line_dedup.SQL}
