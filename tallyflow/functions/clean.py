@@ -16,10 +16,11 @@ SDK_TOTAL = "sdk_total"
 MINI_PROGRAM_TOTAL = "小程序汇总"
 TOTAL = "total"
 BROWSERS = ["gsbrowser", "ltbrowser"]
-EXCLUDED_APPS = (
-    "DFTT TTKB XWZXTT XNTTZK JSSTT JS_DFTT USATT HBJTT MOPSHIPIN YZSTT DBHTT GSGTT NCJTT GZGTT "
-    "YNYTT ICANTT JXGTT HNYTT HNQTT XNBLW XGGTT GDYTT TQYB TQKB WNWB GSBROWSER"
-).split()
+EXCLUDED_APPS = [
+    "DFTT", "TTKB", "XWZXTT", "XNTTZK", "JSSTT", "JS_DFTT", "USATT", "HBJTT", "MOPSHIPIN", "YZSTT", "DBHTT", "GSGTT",
+    "NCJTT", "GZGTT", "YNYTT", "ICANTT", "JXGTT", "HNYTT", "HNQTT", "XNBLW", "XGGTT", "GDYTT", "TQYB", "TQKB", "WNWB",
+    "GSBROWSER",
+]
 EXCLUDED_APP_PREFIX = r"^ZJZY|^GSIOS"
 # \z and not $: rlike looks for a match anywhere, and $ would accept a trailing newline
 CHANNEL_CHARSET = r"^[a-zA-Z0-9|_-]*\z"

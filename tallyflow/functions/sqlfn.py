@@ -41,7 +41,8 @@ def definitions() -> dict[str, str]:
             f"CASE WHEN softname IN ({_list(clean.BROWSERS)}) THEN softname "
             "ELSE substring(coalesce(softid, 'null'), 1, length(coalesce(softid, 'null')) - CASE "
             "WHEN contains(softid, 'Android') THEN 7 WHEN contains(softid, 'IOS') THEN 3 ELSE 0 END) END",
-        "tf_floor_ten_minutes(epoch BIGINT) RETURNS BIGINT": "epoch - pmod(epoch, 600)",
+        "tf_floor_ten_minutes(epoch BIGINT) RETURNS BIGINT": 
+            "epoch - minute(timestamp_seconds(epoch)) % 10 * 60 - second(timestamp_seconds(epoch))",
         "tf_format_time(s STRING) RETURNS STRING":
             "concat(substring(s, 1, 4), '-', substring(s, 5, 2), '-', substring(s, 7, 2), ' ', "
             "substring(s, 9, 2), ':', substring(s, 11, 2), ':', substring(s, 13, 2))",

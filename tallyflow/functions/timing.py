@@ -14,7 +14,6 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 TICK_SECONDS = 600
-DAY_SECONDS = 86400
 
 
 class ReportWindow(NamedTuple):
@@ -30,7 +29,8 @@ def report_window(tick: str, tz: str = "UTC") -> ReportWindow:
     midnight = at.replace(hour=0, minute=0, second=0)
     up, low = int(floored.timestamp()), int(midnight.timestamp())
     if up == low:
-        return ReportWindow((midnight - timedelta(days=1)).strftime("%Y%m%d"), low - DAY_SECONDS, up)
+        before = midnight - timedelta(days=1)  # on the wall clock, so days of 23 or 25 hours are whole
+        return ReportWindow(before.strftime("%Y%m%d"), int(before.timestamp()), up)
     return ReportWindow(midnight.strftime("%Y%m%d"), low, up)
 
 
@@ -46,13 +46,15 @@ def report_window_columns(epoch: Column) -> dict[str, Column]:
     day = F.timestamp_seconds(epoch)
     return {
         "dt": F.when(whole_day, previous_day_key(day)).otherwise(day_key(day)),
-        "low": F.when(whole_day, low - DAY_SECONDS).otherwise(low),
+        "low": F.when(whole_day, F.unix_timestamp(F.date_sub(day, 1).cast("timestamp"))).otherwise(low),
         "up": up,
     }
 
 
 def floor_ten_minutes(epoch: Column) -> Column:
-    return epoch - F.pmod(epoch, F.lit(TICK_SECONDS))
+    """The wall clock of the session floored to ten minutes; zones may be off by other than ten minutes."""
+    at = F.timestamp_seconds(epoch)
+    return epoch - F.minute(at) % 10 * 60 - F.second(at)
 
 
 def midnight(epoch: Column) -> Column:

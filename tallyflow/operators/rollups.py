@@ -24,29 +24,41 @@ def fits_broadcast(
     return rows <= max_rows and (size or 0) <= max_bytes
 
 
+def _to_broadcast(rows: DataFrame, channels: DataFrame, list_rows: int, matched_rows: int) -> DataFrame | None:
+    """The list if it is small, else its channels that occur in ``rows`` if those are; measured once.
+
+    The distinct channels of the log take one more scan of that column, combined on the map side; the
+    log itself is not shuffled.
+    """
+    if fits_broadcast(channels, list_rows):
+        return F.broadcast(channels)
+    matched = rows.select(F.col("qid").alias("h5qid")).distinct().join(channels.hint("shuffle_hash"), "h5qid", "left_semi")
+    return F.broadcast(matched) if fits_broadcast(matched, matched_rows) else None
+
+
 def _spread(rows: DataFrame, channels: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Salt both sides: a channel's rows go to ``SALTS`` reducers, each with its own list copy.
 
-    Rows are dealt out in turn, so even copies of one row spread. The salt decides only where a row
-    is joined. It is the same when a task runs again, as rows come straight from a scan.
+    The salt is a hash of the row, so a task that runs again deals its rows out alike.
     """
-    salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
+    salt = F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int")
     copies = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    return rows.withColumn("salt", salt), channels.select("h5qid", copies.alias("salt"))
+    return rows.withColumn("salt", salt), channels.select("h5qid", copies.alias("salt")).hint("shuffle_hash")
 
 
-def flag_sdk(rows: DataFrame, sdk: DataFrame, small: bool | None = None) -> DataFrame:
+def flag_sdk(
+    rows: DataFrame, sdk: DataFrame, list_rows: int = MAX_BROADCAST_ROWS, matched_rows: int = MAX_BROADCAST_ROWS
+) -> DataFrame:
     """Add boolean ``in_sdk``: the channel, as written, is on the list.
 
-    A list of measured small size is broadcast, so the log is not shuffled. A larger one is joined
-    with salted keys, so that no channel lands on one reducer. Duplicates on the list do not
-    multiply rows.
+    A list of measured small size is broadcast, else the channels of it that the log has, so the log is
+    not shuffled. Only if those are too many as well, both sides are joined by salted keys, so that no
+    channel lands on one reducer. Duplicates on the list do not multiply rows.
     """
     channels = channel_list(sdk)
-    if small is None:
-        small = fits_broadcast(channels)
-    if small:
-        joined = rows.join(F.broadcast(channels), rows["qid"] == channels["h5qid"], "left")
+    sent = _to_broadcast(rows, channels, list_rows, matched_rows)
+    if sent is not None:
+        joined = rows.join(sent, rows["qid"] == sent["h5qid"], "left")
     else:
         left, right = _spread(rows, channels)
         joined = left.join(
@@ -55,13 +67,14 @@ def flag_sdk(rows: DataFrame, sdk: DataFrame, small: bool | None = None) -> Data
     return joined.withColumn("in_sdk", F.col("h5qid").isNotNull()).drop("h5qid")
 
 
-def sdk_rows(rows: DataFrame, sdk: DataFrame, small: bool | None = None) -> DataFrame:
+def sdk_rows(
+    rows: DataFrame, sdk: DataFrame, list_rows: int = MAX_BROADCAST_ROWS, matched_rows: int = MAX_BROADCAST_ROWS
+) -> DataFrame:
     """Only the rows whose channel is on the list."""
     channels = channel_list(sdk)
-    if small is None:
-        small = fits_broadcast(channels)
-    if small:
-        return rows.join(F.broadcast(channels), rows["qid"] == channels["h5qid"], "left_semi")
+    sent = _to_broadcast(rows, channels, list_rows, matched_rows)
+    if sent is not None:
+        return rows.join(sent, rows["qid"] == sent["h5qid"], "left_semi")
     left, right = _spread(rows, channels)
     return left.join(
         right, (left["qid"] == right["h5qid"]) & (left["salt"] == right["salt"]), "left_semi"
@@ -94,9 +107,9 @@ def with_rollups(flagged: DataFrame) -> DataFrame:
     return flagged.withColumn("qid", F.explode(groups)).where(F.col("qid").isNotNull()).drop("in_sdk")
 
 
-def union_rollups(rows: DataFrame, sdk: DataFrame, small: bool | None = None) -> DataFrame:
+def union_rollups(rows: DataFrame, sdk: DataFrame) -> DataFrame:
     """The rows, the list's rows as ``sdk_total`` and the mini-program rows as their total."""
     return (
-        rows.unionByName(relabel(sdk_rows(rows, sdk, small), clean.SDK_TOTAL))
+        rows.unionByName(relabel(sdk_rows(rows, sdk), clean.SDK_TOTAL))
         .unionByName(relabel(mini_program_rows(rows), clean.MINI_PROGRAM_TOTAL))
     )

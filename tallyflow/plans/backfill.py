@@ -2,7 +2,7 @@
 
 Rows get the tick whose last ten minutes they fall in; rows exactly at midnight get slot 0, which
 counts for the day so far but belongs to no tick. A member adds to the cumulative count in the first
-slot it is seen in, so the day so far is a running sum over at most 145 rows per group. The last
+slot it is seen in, so the day so far is a running sum over one row per tick and group. The last
 tick is midnight of the next day and covers the whole day, as the report run then does.
 """
 
@@ -12,24 +12,28 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyflow.functions import clean
-from tallyflow.functions.timing import DAY_SECONDS, TICK_SECONDS
+from tallyflow.functions.timing import TICK_SECONDS
 from tallyflow.plans import reports
 from tallyflow.plans.reports import TOTAL, Facts
 from tallyflow.sources import logs
 
-TICKS = DAY_SECONDS // TICK_SECONDS
 
-
-def _midnight() -> Column:
-    """Epoch second at which the day of ``dt`` starts."""
+def _midnight(days_on: int = 0) -> Column:
+    """Epoch second at which the day of ``dt``, or one so many days later, starts."""
     part = lambda start, n: F.substring("dt", start, n).cast("int")
-    return F.unix_timestamp(F.make_date(part(1, 4), part(5, 2), part(7, 2)).cast("timestamp"))
+    day = F.make_date(part(1, 4), part(5, 2), part(7, 2))
+    return F.unix_timestamp(F.date_add(day, days_on).cast("timestamp"))
+
+
+def _day_seconds() -> Column:
+    """Length of the day of ``dt``: 23 and 25 hours where clocks change."""
+    return _midnight(1) - _midnight()
 
 
 def slotted(log: DataFrame, days: list[str]) -> DataFrame:
     """Log rows of ``days`` with their ``slot``, once per row, before rows are spread."""
     offset = F.col("dateline") - _midnight()
-    return log.where(F.col("dt").isin(days) & offset.between(0, DAY_SECONDS)).withColumn(
+    return log.where(F.col("dt").isin(days) & offset.between(0, _day_seconds())).withColumn(
         "slot", F.ceil(offset / TICK_SECONDS).cast("int")
     )
 
@@ -76,7 +80,7 @@ def tick_metrics(spread: Facts, days: list[str]) -> DataFrame:
         "*",
         F.sum("in_pv").over(running).alias("pv"),
         *[F.sum(f"new_{m}").over(running).alias(m) for m in members],
-        F.lead("slot", 1, TICKS + 1).over(so_far).alias("next_slot"),
+        F.coalesce(F.lead("slot").over(so_far), (_day_seconds() / TICK_SECONDS).cast("int") + 1).alias("next_slot"),
     )
     # a slot's sums hold until the group's next slot; its own rows count only at its own tick
     first, last = F.greatest(F.col("slot"), F.lit(1)), F.col("next_slot") - 1

@@ -73,14 +73,12 @@ def h5_basic_facts(rows: DataFrame) -> Facts:
     return Facts([facts(rows, groups, members)], ("grain", "qid"), always_total=True)
 
 
-def h5_full_facts(rows: DataFrame, active: DataFrame, sdk: DataFrame, small: bool | None = None) -> Facts:
+def h5_full_facts(rows: DataFrame, active: DataFrame, sdk: DataFrame) -> Facts:
     """Traffic and activity spread over channels, rollups and the total.
 
     Activity is a third kind of member on the same keys rather than another aggregate to join;
     channels with activity but no traffic are dropped after the grouping.
     """
-    if small is None:
-        small = rollups.fits_broadcast(rollups.channel_list(sdk))
     raw, qid = F.col("qid"), F.lower("qid")
     groups = [
         _group(DETAIL, qid),
@@ -88,9 +86,9 @@ def h5_full_facts(rows: DataFrame, active: DataFrame, sdk: DataFrame, small: boo
         _group(TOTAL, F.lit(clean.TOTAL), _total_hits(qid)),
     ]
     traffic = facts(
-        rollups.flag_sdk(rows, sdk, small), groups, {"visitor": F.col("uid"), "ip": F.col("clientip")}
+        rollups.flag_sdk(rows, sdk), groups, {"visitor": F.col("uid"), "ip": F.col("clientip")}
     )
-    activity = facts(rollups.flag_sdk(active, sdk, small), groups, {"active": F.col("uid")})
+    activity = facts(rollups.flag_sdk(active, sdk), groups, {"active": F.col("uid")})
     return Facts([traffic, activity], ("grain", "qid"), always_total=True)
 
 

@@ -167,8 +167,14 @@ def semi_sdk(spark, sf):
 
 @query("semi_sdk_large_list", with_views(f"SELECT * FROM rows_h5 WHERE qid IN {_SDK}", h5_rows()))
 def semi_sdk_large_list(spark, sf):
-    """The join used when the list is too large to broadcast."""
-    return rollups.sdk_rows(_clean_h5(spark, sf), derived.sdk_list(spark, sf), small=False)
+    """A list that counts as too large: only its channels that occur in the log are broadcast."""
+    return rollups.sdk_rows(_clean_h5(spark, sf), derived.sdk_list(spark, sf), list_rows=0)
+
+
+@query("semi_sdk_many_matches", with_views(f"SELECT * FROM rows_h5 WHERE qid IN {_SDK}", h5_rows()))
+def semi_sdk_many_matches(spark, sf):
+    """Too many channels of the list occur in the log as well: a shuffled join by salted keys."""
+    return rollups.sdk_rows(_clean_h5(spark, sf), derived.sdk_list(spark, sf), list_rows=0, matched_rows=0)
 
 
 @query("rollup_sdk", with_views(

@@ -16,7 +16,7 @@ from tallyflow.sources import derived
 
 REGISTRY = Registry()
 query = REGISTRY.query
-DAYS = ["20240114", "20240115"]
+DAYS = ["20240114", "20240115", "20240116"]
 
 
 def _h5_inputs(spark, sf):
@@ -109,7 +109,7 @@ def app_active_report(spark, sf):
     return reports.app_active_report(derived.app_active_log(spark, sf), WINDOW)
 
 
-# ---- every tick of two days -------------------------------------------------------------------
+# ---- every tick of three days -----------------------------------------------------------------
 
 def _at_ticks(metrics: str) -> str:
     """Metrics of the day so far at each tick; the tick's time takes the place of the fixed one."""

@@ -5,16 +5,16 @@ maximum and the slice of the final table is replaced. Both steps replace whole s
 a report again changes nothing. All writes are distributed; no row passes through the driver.
 """
 
-import tempfile
-import uuid
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyflow import schema
 from tallyflow.functions import clean
+from tallyflow.sinks.scratch import scratch_path  # noqa: F401
 
 
 @dataclass(frozen=True)
@@ -42,26 +42,19 @@ H5 = MetricsTable(schema.H5_METRICS, schema.H5_KEYS, schema.H5_SLICE)
 APP = MetricsTable(schema.APP_METRICS, schema.APP_KEYS, schema.APP_SLICE)
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the cluster's shared checkpoint folder.
-
-    Only a local session without that setting falls back to a temporary folder of the machine.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="tallyflow-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def read_table(spark: SparkSession, path: str, table: MetricsTable) -> DataFrame:
     return schema.conform(spark.read.schema(table.columns).parquet(path), table.columns)
 
 
 def read_slice(spark: SparkSession, path: str, table: MetricsTable, dt: str, tick: int) -> DataFrame:
-    """One slice; other partitions are not listed into the scan."""
-    return read_table(spark, path, table).where(table.at(dt, tick))
+    """One slice, by its own folder: no other folder of the table is listed. Empty where there is none."""
+    try:
+        rows = spark.read.schema(table.columns).option("basePath", path).parquet(table.slice_path(path, dt, tick))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], table.columns)
+    return schema.conform(rows, table.columns)
 
 
 def append(metrics: DataFrame, path: str, table: MetricsTable) -> None:

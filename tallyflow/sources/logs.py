@@ -20,12 +20,15 @@ def use_database(spark: SparkSession, name: str) -> None:
     spark.catalog.setCurrentDatabase(name)
 
 
-def read_log(spark: SparkSession, name: str, schema: T.StructType) -> DataFrame:
+def read_log(spark: SparkSession, name: str, schema: T.StructType, days: list[str] | None = None) -> DataFrame:
     """A log by table name, or by path when the name has a slash.
 
-    The schema keeps ``dt`` a string where it is a folder name and would be read as a number.
+    The schema keeps ``dt`` a string where it is a folder name and would be read as a number. With
+    ``days``, only the folders of those days are listed; each has to exist.
     """
     if "/" in name:
+        if days is not None:
+            return spark.read.schema(schema).option("basePath", name).parquet(*[f"{name}/dt={d}" for d in days])
         return spark.read.schema(schema).parquet(name)
     return spark.table(name).select([f.name for f in schema])
 

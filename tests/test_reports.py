@@ -72,22 +72,25 @@ def test_large_channel_list_gives_the_same(spark, random_log):
     sdk = random_log["sdk"]
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        for small, large in [
-            (rollups.sdk_rows(rows, sdk, True), rollups.sdk_rows(rows, sdk, False)),
-            (rollups.flag_sdk(rows, sdk, True), rollups.flag_sdk(rows, sdk, False)),
-        ]:
-            assert "BroadcastHashJoin" in plan_of(small) and "SortMergeJoin" in plan_of(large)
-            assert small.columns == large.columns and small.count() > 0
-            assert small.exceptAll(large).isEmpty() and large.exceptAll(small).isEmpty()
+        for join in (rollups.sdk_rows, rollups.flag_sdk):
+            small, large, shuffled = join(rows, sdk), join(rows, sdk, list_rows=0), join(rows, sdk, list_rows=0, matched_rows=0)
+            assert "BroadcastHashJoin" in plan_of(small) and "BroadcastHashJoin" in plan_of(large)
+            assert "ShuffledHashJoin" in plan_of(shuffled) and "BroadcastHashJoin" not in plan_of(shuffled)
+            assert small.columns == large.columns == shuffled.columns and small.count() > 0
+            for other in (large, shuffled):
+                assert small.exceptAll(other).isEmpty() and other.exceptAll(small).isEmpty()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_copies_of_one_row_spread_over_the_salts(spark):
-    """One row, many times over, does not meet in one reducer."""
-    copies = spark.range(0, 6400, 1, 4).selectExpr("1 AS dateline", "'ip' AS clientip", "'click_1' AS qid", "'u' AS uid")
-    salted, _ = rollups._spread(copies, spark.createDataFrame([("click_1",)], schema.SDK_LIST))
-    assert {r["count"] for r in salted.groupBy("salt").count().collect()} == {6400 // rollups.SALTS}
+def test_rows_of_one_channel_spread_over_the_salts(spark):
+    """Visitors of one channel do not meet in one reducer, and a row's salt does not depend on its place."""
+    hot = spark.range(0, 6400, 1, 4).selectExpr("1 AS dateline", "'ip' AS clientip", "'click_1' AS qid", "concat('u', id) AS uid")
+    channels = spark.createDataFrame([("click_1",)], schema.SDK_LIST)
+    salted, again = rollups._spread(hot, channels)[0], rollups._spread(hot.repartition(3, "uid"), channels)[0]
+    counts = [r["count"] for r in salted.groupBy("salt").count().collect()]
+    assert len(counts) == rollups.SALTS and max(counts) < 2 * 6400 // rollups.SALTS
+    assert salted.exceptAll(again).isEmpty()
 
 
 def test_broadcast_limits(spark):
@@ -205,6 +208,28 @@ def test_other_backfills_equal_single_reports(spark, random_log, name):
     every.unpersist()
 
 
+@pytest.mark.parametrize(("dt", "after", "hours"), [("20241103", "20241104", 25), ("20240310", "20240311", 23), ("20240601", "20240602", 24)])
+def test_days_of_any_length(spark, random_log, dt, after, hours):
+    """On days on which clocks change, every row counts, ticks end at midnight, and the report of the whole day is whole."""
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        w = report_window(f"{after}000000", "America/New_York")
+        assert (w.dt, w.up - w.low) == (dt, hours * 3600)
+        columns = [F.col(f.name) if f.name in ("dt", "dateline", "uid") else F.lit("x").cast(f.dataType).alias(f.name) for f in random_log["basic"].schema]
+        rows = spark.range(hours * 6).select(F.lit(dt).alias("dt"), (F.col("id") * 600 + w.low + 1).alias("dateline"), F.col("id").cast("string").alias("uid"))
+        log = rows.select(columns)
+        want = reports.h5_basic_report(log, w)
+        every = backfill.h5_basic_backfill(log, [dt])
+        time = F.col(every.columns[1])
+        ticks = [r[0] for r in every.where(F.col("qid") == "total").select(time).orderBy(time).collect()]
+        assert ticks == [w.low + 600 * k for k in range(1, hours * 6 + 1)]
+        last = every.where(time == w.up)
+        assert last.exceptAll(want).isEmpty() and want.exceptAll(last).isEmpty()
+        assert want.where(F.col("qid") == "total").first()["pv"] == hours * 6
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 # ---- publishing -----------------------------------------------------------------------------------
 
 def test_publish_twice_changes_nothing(spark, random_log, tmp_path):
