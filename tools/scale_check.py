@@ -80,8 +80,8 @@ def main() -> None:
         "app_report": lambda: reports.app_report(app, w),
         "news_report": lambda: reports.news_report(app, w),
         "h5_backfill_144_ticks": lambda: backfill.h5_full_backfill(h5, active, sdk, [w.dt]),
-        "flag_sdk_broadcast": lambda: rollups.flag_sdk(logs.h5_clean(h5, w), sdk, True),
-        "flag_sdk_salted": lambda: rollups.flag_sdk(logs.h5_clean(h5, w), sdk, False),
+        "flag_sdk_broadcast": lambda: rollups.flag_sdk(logs.h5_clean(h5, w), sdk),
+        "flag_sdk_salted": lambda: rollups.flag_sdk(logs.h5_clean(h5, w), sdk, list_rows=0, matched_rows=0),
     }
     chosen = sys.argv[2:] or list(work)
     print(json.dumps({"rows": h5.where(F.col("dt") == w.dt).count(), "folder": base}), flush=True)
