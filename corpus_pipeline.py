@@ -37,7 +37,10 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one of the lowest id, of each group of exact and near copies."""
+    """One document, the one of the lowest id, of each group of exact and near copies.
+
+    Rows of one id are one document, which stays or goes as a whole; a null id stays.
+    """
     gone = stored(jaccard_join.similar(docs).where("id <> class_id").select(F.col("id").alias("__id")).distinct(), "copies")
     few = gone.count() <= jaccard_join.FEW
     return docs.join(F.broadcast(gone) if few else gone, docs["doc_id"] == gone["__id"], "left_anti").select(docs.columns)

@@ -6,7 +6,9 @@ removal spans. Documents are never shuffled, and a shard never holds more than i
 are indexed in parts that overlap by a window.
 
 Windows are ``WINDOW`` consecutive words of a benchmark item, or all words of a shorter one. The benchmark
-goes to the tasks in blocks of at most ``BLOCK_BYTES`` of text on average, one pass over the documents each.
+goes to the tasks in blocks of at most ``BLOCK_BYTES`` of text on average (or one item), one pass over the
+documents each. A pass searches the whole texts and carries the ranges of the passes before it; ranges are
+merged, and cut out, once all blocks are searched, so the number of blocks changes no result.
 
 Null and empty texts have no words and no hits. Repeated ids are rows of their own. Items without words
 occur nowhere; an item id that is repeated counts once. An empty benchmark hits nothing. Columns other than
@@ -16,7 +18,7 @@ the id and the text are not read, or passed through untouched by ``remove_spans`
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,10 +31,12 @@ from tallyflow.llm import textops
 from tallyflow.llm.fm_index import Shard
 from tallyflow.llm.tasks import batch as record
 from tallyflow.llm.tasks import map_arrow
+from tallyflow.sinks.scratch import stored
 
 WINDOW = 10
 SHARD_WORDS = 1 << 20
-BLOCK_BYTES = 32 << 20
+#: about 100 MB of windows
+BLOCK_BYTES = 8 << 20
 
 SPAN = T.ArrayType(T.StructType([T.StructField("lo", T.LongType()), T.StructField("hi", T.LongType())]))
 
@@ -41,32 +45,41 @@ class Phrases:
     """Distinct windows of a block of items, by their length, each with the items that have it."""
 
     def __init__(self, items: list[tuple[object, str | None]], window: int):
-        found: dict[int, dict[tuple, set]] = defaultdict(lambda: defaultdict(set))
-        for name, text in items:
-            h = textops.words(pa.array([text or ""]), textops.ALNUM, textops.LOWER).hash.tolist()
-            size = min(window, len(h))
-            for k in range(len(h) - size + 1 if size else 0):
-                found[size][tuple(h[k : k + size])].add(name)
-        self.groups = [(size, np.array(list(by), np.uint64).reshape(-1, size), [sorted(x) for x in by.values()]) for size, by in found.items()]
-        self.longest = max(found, default=1)
-
-
-def _blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int) -> Iterator[Phrases]:
+        self.names = sorted({name for name, _ in items})
+        place = {name: k for k, name in enumerate(self.names)}
+        item = np.array([place[name] for name, _ in items], np.int64)
+        w = textops.words(pa.array([text or "" for _, text in items], pa.large_string()), textops.ALNUM, textops.LOWER)
+        sizes = np.minimum(np.diff(w.first), window)
+        self.groups = []
+        for size in np.unique(sizes[sizes > 0]).tolist():
+            own = np.flatnonzero(sizes == size)
+            counts = np.diff(w.first)[own] - size + 1
+            begin = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(w.first[own], counts)
+            windows = w.hash[begin[:, None] + np.arange(size)]
+            _, at, which = np.unique(windows.view(np.dtype((np.void, windows.itemsize * size))).ravel(), return_index=True, return_inverse=True)
+            having = np.unique(which.ravel() * len(self.names) + np.repeat(item[own], counts))
+            bounds = np.searchsorted(having, np.arange(len(at) + 1) * len(self.names))
+            self.groups.append((size, windows[at], having % len(self.names), bounds))
+        self.longest = int(sizes.max(initial=1))
+
+
+def _blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int) -> tuple[int, Iterator[Phrases]]:
+    """How many blocks the benchmark has, and their windows."""
     items = benchmark.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).where("i is not null and t is not null")
     total = items.agg(F.coalesce(F.sum(F.octet_length("t") + 16), F.lit(0))).first()[0]
     count = max(1, -(-int(total) // BLOCK_BYTES))
-    for k in range(count):
-        block = items.where(F.pmod(F.xxhash64("i"), F.lit(count)) == k)
-        yield Phrases([(r.i, r.t) for r in block.collect()], window)  # one block, bounded
+    blocks = (items.where(F.pmod(F.xxhash64("i"), F.lit(count)) == k) for k in range(count))
+    return count, (Phrases([(r.i, r.t) for r in block.collect()], window) for block in blocks)  # one block at a time, bounded
 
 
 def _search(shard: Shard, phrases: Phrases) -> Iterator[tuple[int, int, int, list]]:
     """(text, first word, words, items) of each occurrence."""
-    for size, windows, names in phrases.groups:
+    for size, windows, having, bounds in phrases.groups:
         low, high = shard.search(windows)
         some = np.flatnonzero(high > low)
         if not len(some):
             continue
+        names = {p: [phrases.names[k] for k in having[bounds[p] : bounds[p + 1]]] for p in some.tolist()}
         width = (high - low)[some]
         which = np.repeat(some, width)
         rows = np.arange(width.sum()) - np.repeat(np.cumsum(width) - width, width) + np.repeat(low[some], width)
@@ -85,8 +98,11 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def scan(batches: Iterable[pa.RecordBatch], column: str, phrases: Phrases, shard_words: int) -> Iterator[tuple[pa.RecordBatch, list, list, list, np.ndarray]]:
-    """Pieces of the batches, each with the words, word spans, byte spans and items of its rows."""
+def scan(batches: Iterable[pa.RecordBatch], column: str, phrases: Phrases, shard_words: int, carried: bool = False) -> Iterator[tuple[pa.RecordBatch, list, list, list, np.ndarray]]:
+    """Pieces of the batches, each with the word spans, byte spans, items and words of its rows.
+
+    With ``carried``, the last two columns are spans and items found before, which count too.
+    """
     held: list[tuple[pa.RecordBatch, textops.Words]] = []
     size = 0
 
@@ -116,13 +132,14 @@ def scan(batches: Iterable[pa.RecordBatch], column: str, phrases: Phrases, shard
             i = j
         for k, (batch, w) in enumerate(held):
             spans, cuts, items = [], [], []
-            for row in range(batch.num_rows):
+            old = [c.to_pylist() for c in batch.columns[-2:]] if carried else [[()] * batch.num_rows] * 2
+            for row, (old_spans, old_items) in enumerate(zip(*old)):
                 own = hits.get((k, row), ())
-                merged = _merged([(lo, hi) for lo, hi, _ in own])
+                merged = _merged([(x["lo"], x["hi"]) for x in old_spans] + [(lo, hi) for lo, hi, _ in own])
                 base, at = int(w.first[row]), int(w.offsets[row])
                 spans.append(merged)
                 cuts.append([(int(w.start[base + lo]) - at, int(w.end[base + hi - 1]) - at) for lo, hi in merged])
-                items.append(sorted({x for *_, names in own for x in names}))
+                items.append(sorted({x for *_, names in own for x in names}.union(old_items)))
             yield batch, spans, cuts, items, np.diff(w.first)
         held.clear()
 
@@ -137,41 +154,38 @@ def scan(batches: Iterable[pa.RecordBatch], column: str, phrases: Phrases, shard
         yield from flush()
 
 
-def spans(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", window: int = WINDOW, shard_words: int = SHARD_WORDS) -> DataFrame:
-    """(id, n_words, spans, cuts, items) per document: merged word ranges, their byte ranges in the UTF-8 text, and the items that occur."""
-    kind = benchmark.schema[item_col].dataType
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("n_words", T.LongType()), T.StructField("spans", SPAN), T.StructField("cuts", SPAN), T.StructField("items", T.ArrayType(kind))])
+def _pairs(rows: list) -> list:
+    return [[{"lo": lo, "hi": hi} for lo, hi in x] for x in rows]
 
-    def search_in(phrases: Phrases) -> DataFrame:
-        shared = docs.sparkSession.sparkContext.broadcast(phrases)
 
-        def run(batches):
-            arrow = to_arrow_schema(schema)
-            for batch, s, c, items, n in scan(batches, "text", shared.value, shard_words):
-                pairs = lambda rows: [[{"lo": lo, "hi": hi} for lo, hi in x] for x in rows]
-                yield record(arrow, batch.column("id"), n, pairs(s), pairs(c), items)
+def _searched(
+    rows: DataFrame, text_col: str, benchmark: DataFrame, item_col: str, item_text: str, window: int, shard_words: int, schema: T.StructType, finish: Callable,
+) -> DataFrame:
+    """Rows of ``schema``, which ``finish`` makes from a piece and what all blocks of the benchmark hit in it."""
+    width = len(rows.columns)
+    found = T.StructType([*rows.schema.fields, T.StructField("__hit_spans", SPAN), T.StructField("__hit_items", T.ArrayType(benchmark.schema[item_col].dataType))])
+    count, blocks = _blocks(benchmark, item_col, item_text, window)
+    for k, phrases in enumerate(blocks):
+        shared, last = rows.sparkSession.sparkContext.broadcast(phrases), k == count - 1
 
-        return map_arrow(rows, run, schema)
+        def run(batches, shared=shared, last=last, carried=k > 0):
+            arrow = to_arrow_schema(schema if last else found)
+            for piece, spans, cuts, items, n in scan(batches, text_col, shared.value, shard_words, carried):
+                own = piece.columns[:width]
+                yield record(arrow, *(finish(own, spans, cuts, items, n) if last else (*own, _pairs(spans), items)))
 
-    parts = [search_in(p) for p in _blocks(benchmark, item_col, item_text, window)]
-    if len(parts) == 1:
-        return parts[0]
-    every = parts[0]
-    for part in parts[1:]:
-        every = every.union(part)
+        rows = map_arrow(rows, run, schema if last else found)
+        if not last:
+            rows = stored(rows, "searched")
+    return rows
 
-    def united(c):
-        """Sorted ranges of several passes, merged where they meet."""
-        return F.aggregate(
-            F.array_sort(F.flatten(F.collect_list(c))), F.array().cast(SPAN),
-            lambda out, x: F.when(
-                (F.size(out) > 0) & (x["lo"] <= F.element_at(out, -1)["hi"]),
-                F.concat(F.slice(out, 1, F.size(out) - 1), F.array(F.struct(F.element_at(out, -1)["lo"].alias("lo"), F.greatest(F.element_at(out, -1)["hi"], x["hi"]).alias("hi")))),
-            ).otherwise(F.concat(out, F.array(x))),
-        )
 
-    return every.groupBy("id").agg(F.max("n_words").alias("n_words"), united("spans").alias("spans"), united("cuts").alias("cuts"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+def spans(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", window: int = WINDOW, shard_words: int = SHARD_WORDS) -> DataFrame:
+    """(id, n_words, spans, cuts, items) per document: merged word ranges, their byte ranges in the UTF-8 text, and the items that occur."""
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    kind = T.ArrayType(benchmark.schema[item_col].dataType)
+    schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("n_words", T.LongType()), T.StructField("spans", SPAN), T.StructField("cuts", SPAN), T.StructField("items", kind)])
+    return _searched(rows, "text", benchmark, item_col, item_text, window, shard_words, schema, lambda own, s, c, items, n: (own[0], n, _pairs(s), _pairs(c), items))
 
 
 def digest(found: DataFrame, id_name: str = "doc_id") -> DataFrame:
@@ -183,26 +197,24 @@ def digest(found: DataFrame, id_name: str = "doc_id") -> DataFrame:
     )
 
 
+def _without(text: str, cuts: list[tuple[int, int]]) -> str:
+    """``text`` without byte ranges of its UTF-8 form."""
+    raw, keep, last = text.encode(), [], 0
+    for lo, hi in cuts:
+        keep.append(raw[last:lo])
+        last = hi
+    return b"".join([*keep, raw[last:]]).decode()
+
+
 def remove_spans(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", window: int = WINDOW, shard_words: int = SHARD_WORDS) -> DataFrame:
     """``docs`` with the hit ranges cut out of the texts; all other columns, rows and null texts stay as they are."""
-    for phrases in _blocks(benchmark, item_col, item_text, window):
-        shared = docs.sparkSession.sparkContext.broadcast(phrases)
-        at = docs.columns.index(text_col)
-
-        def run(batches, shared=shared):
-            for batch, _, cuts, _, _ in scan(batches, text_col, shared.value, shard_words):
-                column = batch.column(at)
-                texts = column.to_pylist()
-                for row, own in enumerate(cuts):
-                    if own:
-                        raw, keep, last = texts[row].encode(), [], 0
-                        for lo, hi in own:
-                            keep.append(raw[last:lo])
-                            last = hi
-                        texts[row] = b"".join([*keep, raw[last:]]).decode()
-                cols = list(batch.columns)
-                cols[at] = pa.array(texts, column.type)
-                yield pa.RecordBatch.from_arrays(cols, schema=batch.schema)
-
-        docs = map_arrow(docs, run, docs.schema)
-    return docs
+    at = docs.columns.index(text_col)
+
+    def finish(own, spans, cuts, items, n):
+        texts = own[at].to_pylist()
+        for row, found in enumerate(cuts):
+            if found:
+                texts[row] = _without(texts[row], found)
+        return [pa.array(texts, own[at].type) if k == at else c for k, c in enumerate(own)]
+
+    return _searched(docs, text_col, benchmark, item_col, item_text, window, shard_words, docs.schema, finish)

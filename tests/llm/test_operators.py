@@ -254,11 +254,20 @@ def test_decontamination(spark, docs, shard_words):
 
 
 def test_decontamination_in_blocks(spark, docs, monkeypatch):
+    """Many blocks give what one block gives, also where windows of several blocks overlap or touch, and for repeated ids."""
     text = {r.doc_id: r.text for r in docs.collect()}[7].split()
-    bench = spark.createDataFrame([(k, " ".join(text[6 * k : 6 * k + 14])) for k in range(40)], "item_id int, text string")
-    one = sorted(map(tuple, decontaminate.digest(decontaminate.spans(docs, bench)).collect()))
+    bench = spark.createDataFrame([(k, " ".join(text[6 * k : 6 * k + 14])) for k in range(40)] + [(k, " ".join(text[10 * k : 10 * k + 10])) for k in range(50, 70)], "item_id int, text string")
+    twice = docs.union(docs.where("doc_id in (7, 8)").withColumn("text", F.concat(F.lit("other "), "text")))
+
+    def results():
+        found = decontaminate.digest(decontaminate.spans(twice, bench)).collect()
+        return sorted(map(tuple, found)), sorted(map(str, decontaminate.remove_spans(twice, bench).collect()))
+
+    one = results()
+    assert len(one[0]) == docs.count() + 2 and sum(r[2] > 0 for r in one[0]) == 2
     monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 1500)
-    assert sorted(map(tuple, decontaminate.digest(decontaminate.spans(docs, bench)).collect())) == one
+    assert decontaminate._blocks(bench, "item_id", "text", 10)[0] > 3
+    assert results() == one
 
 
 def test_pipeline(spark):
