@@ -220,19 +220,19 @@ def h5_full_sql(w: ReportWindow = WINDOW, tag: str = "") -> str:
     return f"{h5_record_sql(f'detail{tag}', w)} UNION ALL {h5_record_sql(f'total{tag}', w)}"
 
 
-def app_ctes(rows: str, source: str) -> list[str]:
+def app_ctes(rows: str, source: str, up: int = WINDOW.up) -> list[str]:
     return [
         rows,
         app_keys(source, "keyed"),
-        f"detail AS (SELECT apptypeid, qid, {metrics_sql('uid', 'clientip')} FROM keyed GROUP BY apptypeid, qid)",
-        f"total AS (SELECT apptypeid, 'total' AS qid, {metrics_sql('uid', 'clientip')} FROM keyed GROUP BY apptypeid)",
+        f"detail AS (SELECT apptypeid, qid, {metrics_sql('uid', 'clientip', up)} FROM keyed GROUP BY apptypeid, qid)",
+        f"total AS (SELECT apptypeid, 'total' AS qid, {metrics_sql('uid', 'clientip', up)} FROM keyed GROUP BY apptypeid)",
     ]
 
 
-def app_report_sql() -> str:
+def app_report_sql(w: ReportWindow = WINDOW) -> str:
     return (
-        f"{app_record_sql('detail', 'left(apptypeid, 20)')} "
-        f"UNION ALL {app_record_sql('total', 'left(apptypeid, 50)')}"
+        f"{app_record_sql('detail', 'left(apptypeid, 20)', w)} "
+        f"UNION ALL {app_record_sql('total', 'left(apptypeid, 50)', w)}"
     )
 
 

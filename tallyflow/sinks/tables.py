@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from tallyflow import schema
 from tallyflow.functions import clean
-from tallyflow.sinks.scratch import scratch_path  # noqa: F401
+from tallyflow.sinks.scratch import scratch_path, stored  # noqa: F401
 
 
 @dataclass(frozen=True)
@@ -85,6 +85,16 @@ def overwrite_slice(metrics: DataFrame, path: str, table: MetricsTable, dt: str,
     return n
 
 
+def overwrite_days(metrics: DataFrame, path: str, table: MetricsTable, days: list[str]) -> int:
+    """Replace all slices of ``days``, so that slices without rows are emptied; gives the number of rows written."""
+    day, time = table.slice
+    rows = stored(metrics.where(F.col(day).isin([int(d) for d in days])), "days")
+    for d in days:
+        own = rebalanced(rows.where(F.col(day) == int(d)), table).drop(day)
+        own.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(time).parquet(f"{path}/{day}={int(d)}")
+    return rows.count()
+
+
 def rebalanced(metrics: DataFrame, table: MetricsTable) -> DataFrame:
     """Group the rows of a slice into few files; adaptive execution splits slices that are large."""
     return metrics.hint("rebalance", *table.slice)
@@ -117,6 +127,11 @@ def append_log_day(log: DataFrame, path: str) -> None:
     log.write.mode("append").partitionBy("dt").parquet(path)
 
 
+def total_rows(metrics: DataFrame) -> DataFrame:
+    """The total row of an H5 report, the total rows of an app report."""
+    return metrics.where(F.col("qid") == clean.TOTAL)
+
+
 def show_total(metrics: DataFrame) -> None:
     """Print the total row."""
-    metrics.where(F.col("qid") == clean.TOTAL).show(truncate=False)
+    total_rows(metrics).show(truncate=False)
