@@ -94,6 +94,17 @@ def sliced_uv_by_channel(rows: DataFrame) -> DataFrame:
     return sliced_pairs(rows).groupBy("qid").agg(F.count("*").alias("uv"))
 
 
+def sliced_uv(rows: DataFrame) -> DataFrame:
+    """(is_total, qid, uv): the two below in one scan; the total row has a null qid and is always there."""
+    group = lambda total, slot, qid: F.struct(
+        F.lit(total).alias("is_total"), slot.cast("long").alias("slot"), qid.cast("string").alias("qid"))
+    groups = F.array(group(False, F.col("slot"), F.col("qid")), group(True, F.lit(None), F.lit(None)))
+    seen = rows.select("uid", F.explode(groups).alias("g")).select("g.*", "uid").distinct().withColumn("n", F.lit(1))
+    none = rows.sparkSession.range(1).select(F.lit(True).alias("is_total"), F.lit(0).alias("n"))
+    every = seen.unionByName(none, allowMissingColumns=True)
+    return every.groupBy("is_total", "qid").agg(F.sum("n").alias("uv"))
+
+
 def sliced_total_uv(rows: DataFrame) -> DataFrame:
     """Distinct visitors over all slices and channels."""
     return total_members(rows, "uid", "uv")

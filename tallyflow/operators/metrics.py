@@ -22,7 +22,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyflow.functions import clean
-from tallyflow.operators.counts import distinct_by, page_views_by
 
 METRICS = ["pv", "uv", "ip", "incr_pv", "incr_uv", "incr_ip", "activecnt", "incr_activecnt"]
 
@@ -103,29 +102,31 @@ def one_pass_metrics(rows: DataFrame, keys: list[str], visitor: str, ip: str, up
     )
 
 
+def member_metrics(rows: DataFrame, keys: list[str], member: str, up: int, names: dict[str, str]) -> DataFrame:
+    """Per key some of: ``rows``, ``recent_rows``, ``members``, ``recent_members``, named by ``names``; one scan."""
+    recent = clean.last_ten_minutes(F.col("dateline"), up)
+    pairs = rows.groupBy(member, *keys).agg(F.count("*").alias("n"), F.count_if(recent).alias("n10"))
+    counts = {
+        "rows": F.sum("n"),
+        "recent_rows": F.sum("n10"),
+        "members": F.count("*"),
+        "recent_members": F.count_if(F.col("n10") > 0),
+    }
+    return pairs.groupBy(*keys).agg(*[counts[what].alias(name) for what, name in names.items()])
+
+
 def joined_metrics(
     rows: DataFrame, keys: list[str], visitor: str, ip: str, up: int, active: DataFrame | None = None
 ) -> DataFrame:
-    """The same as a chain of left joins on the PV side, one aggregate per metric.
+    """The same as left joins on the PV side, one aggregate per kind of member.
 
-    ``active`` holds activity rows with the same keys and a ``uid`` and adds two more joins. Kept
-    as the form the others are checked against; it scans the log once per metric.
+    ``active`` holds activity rows with the same keys and a ``uid`` and adds another join. The form
+    the others are checked against; it scans the log once for visitors and once for addresses.
     """
-    recent = rows.where(clean.last_ten_minutes(F.col("dateline"), up))
-    parts = [
-        distinct_by(rows, keys, visitor, "uv"),
-        distinct_by(rows, keys, ip, "ip"),
-        page_views_by(recent, keys, "incr_pv"),
-        distinct_by(recent, keys, visitor, "incr_uv"),
-        distinct_by(recent, keys, ip, "incr_ip"),
-    ]
+    traffic = {"rows": "pv", "members": "uv", "recent_rows": "incr_pv", "recent_members": "incr_uv"}
+    out = member_metrics(rows, keys, visitor, up, traffic)
+    out = out.join(member_metrics(rows, keys, ip, up, {"members": "ip", "recent_members": "incr_ip"}), keys, "left")
     if active is not None:
-        active_recent = active.where(clean.last_ten_minutes(F.col("dateline"), up))
-        parts += [
-            distinct_by(active, keys, "uid", "activecnt"),
-            distinct_by(active_recent, keys, "uid", "incr_activecnt"),
-        ]
-    out = page_views_by(rows, keys)
-    for part in parts:
-        out = out.join(part, keys, "left")
+        names = {"members": "activecnt", "recent_members": "incr_activecnt"}
+        out = out.join(member_metrics(active, keys, "uid", up, names), keys, "left")
     return out.na.fill(0)

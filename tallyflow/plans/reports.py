@@ -162,10 +162,9 @@ def _app_report(spread: Facts, window: ReportWindow, total_width: int) -> DataFr
 
 # ---- reports ----------------------------------------------------------------------------
 
-def sliced_day_report(log: DataFrame, dt: str, midnight: int, now: int) -> tuple[DataFrame, DataFrame]:
-    """Visitors summed over the complete slices of the day, per channel; distinct visitors overall."""
-    rows = logs.sliced_day(log, dt, midnight, now)
-    return counts.sliced_uv_by_channel(rows), counts.sliced_total_uv(rows)
+def sliced_day_report(log: DataFrame, dt: str, midnight: int, now: int) -> DataFrame:
+    """Visitors summed over the complete slices of the day per channel, and one row of distinct visitors overall."""
+    return counts.sliced_uv(logs.sliced_day(log, dt, midnight, now))
 
 
 def h5_basic_report(log: DataFrame, window: ReportWindow) -> DataFrame:
@@ -203,7 +202,7 @@ def news_report(log: DataFrame, window: ReportWindow) -> DataFrame:
 # ---- the join form ----------------------------------------------------------------------
 
 def h5_basic_joined(log: DataFrame, window: ReportWindow) -> DataFrame:
-    """Detail rows of the basic report as five left joins; the form to check the core against."""
+    """Detail rows of the basic report as a left join; the form to check the core against."""
     rows = logs.day_range(log, window).select(
         "dateline",
         clean.trim_special(F.lower(clean.null_text(F.col("qid")))).alias("qid"),
@@ -216,9 +215,8 @@ def h5_basic_joined(log: DataFrame, window: ReportWindow) -> DataFrame:
 
 
 def h5_full_joined(log: DataFrame, active_log: DataFrame, sdk: DataFrame, window: ReportWindow) -> DataFrame:
-    """Detail and rollup rows of the full report as unions and seven left joins."""
-    lower = lambda df: df.withColumn("qid", F.lower("qid"))
-    rows = lower(rollups.union_rollups(logs.h5_clean(log, window), sdk))
-    active = lower(rollups.union_rollups(logs.h5_active(active_log, window), sdk))
+    """Detail and rollup rows of the full report as exploded rows and two left joins: three log scans."""
+    grouped = lambda df: rollups.with_rollups(rollups.flag_sdk(df, sdk)).withColumn("qid", F.lower("qid"))
+    rows, active = grouped(logs.h5_clean(log, window)), grouped(logs.h5_active(active_log, window))
     joined = joined_metrics(rows, ["qid"], "uid", "clientip", window.up, active)
     return h5_records(joined, F.lit(window.dt), F.lit(window.up))

@@ -136,6 +136,13 @@ def topk_channels(spark, sf):
     return counts.top_channels(counts.page_views_by(h5(spark, sf), ["qid"]), "pv")
 
 
+@query("sliced_day_report", with_views("""
+SELECT false AS is_total, qid, count(*) AS uv FROM (SELECT DISTINCT slot, uid, qid FROM sliced) GROUP BY qid
+UNION ALL SELECT true, NULL, count(DISTINCT uid) FROM sliced""", SLICED_ROWS))
+def sliced_day_report(spark, sf):
+    return counts.sliced_uv(sliced(spark, sf))
+
+
 @query("topk_sliced_uv", with_views(
     "SELECT qid, count(*) AS uv FROM (SELECT DISTINCT slot, uid, qid FROM sliced) GROUP BY qid "
     "ORDER BY uv DESC, qid LIMIT 10", SLICED_ROWS))

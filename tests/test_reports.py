@@ -153,9 +153,20 @@ def test_sliced_day(random_log):
     want = {}
     for _, _, q in seen:
         want[q] = want.get(q, 0) + 1
-    by_channel, total = reports.sliced_day_report(random_log["basic"], model.DT, model.DAY, now)
-    assert dict(collected(by_channel, ["qid", "uv"])) == want
-    assert total.first().uv == len({u for _, u, _ in seen})
+    report = reports.sliced_day_report(random_log["basic"], model.DT, model.DAY, now).cache()
+    assert dict(collected(report.where("not is_total"), ["qid", "uv"])) == want
+    assert [r.uv for r in report.where("is_total").collect()] == [len({u for _, u, _ in seen})]
+    nothing = reports.sliced_day_report(random_log["basic"].limit(0), model.DT, model.DAY, now)
+    assert collected(nothing, ["is_total", "qid", "uv"]) == [(True, None, 0)]
+
+
+def test_join_forms_scan_each_log_once_per_member(spark):
+    """The full form reads the traffic log twice and the activity log once, besides the channel list."""
+    logs_of = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("Relation")
+    sdk = spark.createDataFrame([("click_1",)], "h5qid string")
+    full = reports.h5_full_joined(derived.h5_log(spark, SF_DIR), derived.h5_active_log(spark, SF_DIR), sdk, WINDOW)
+    assert logs_of(full) == 3
+    assert logs_of(reports.h5_basic_joined(derived.basic_log(spark, SF_DIR), WINDOW)) == 2
 
 
 # ---- empty windows ----------------------------------------------------------------------------
