@@ -6,13 +6,14 @@ removal spans. Documents are never shuffled, and a shard never holds more than i
 are indexed in parts that overlap by a window.
 
 Windows are ``WINDOW`` consecutive words of a benchmark item, or all words of a shorter one. The benchmark
-goes to the tasks in blocks of at most ``BLOCK_BYTES`` of text on average (or one item), one pass over the
+goes to the tasks in blocks of at most ``BLOCK_BYTES`` of text on average (or one text), one pass over the
 documents each. A pass searches the whole texts and carries the ranges of the passes before it; ranges are
 merged, and cut out, once all blocks are searched, so the number of blocks changes no result.
 
 Null and empty texts have no words and no hits. Repeated ids are rows of their own. Items without words
-occur nowhere; an item id that is repeated counts once. An empty benchmark hits nothing. Columns other than
-the id and the text are not read, or passed through untouched by ``remove_spans``.
+occur nowhere; an item id that is repeated counts once, and its texts are dealt out over the blocks, equal
+ones once. An empty benchmark hits nothing. Columns other than the id and the text are not read, or passed
+through untouched by ``remove_spans``.
 """
 
 from __future__ import annotations
@@ -65,10 +66,10 @@ class Phrases:
 
 def _blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int) -> tuple[int, Iterator[Phrases]]:
     """How many blocks the benchmark has, and their windows."""
-    items = benchmark.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).where("i is not null and t is not null")
+    items = benchmark.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).where("i is not null and t is not null").distinct()
     total = items.agg(F.coalesce(F.sum(F.octet_length("t") + 16), F.lit(0))).first()[0]
     count = max(1, -(-int(total) // BLOCK_BYTES))
-    blocks = (items.where(F.pmod(F.xxhash64("i"), F.lit(count)) == k) for k in range(count))
+    blocks = (items.where(F.pmod(F.xxhash64("i", "t"), F.lit(count)) == k) for k in range(count))
     return count, (Phrases([(r.i, r.t) for r in block.collect()], window) for block in blocks)  # one block at a time, bounded
 
 

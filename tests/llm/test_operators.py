@@ -268,6 +268,10 @@ def test_decontamination_in_blocks(spark, docs, monkeypatch):
     monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 1500)
     assert decontaminate._blocks(bench, "item_id", "text", 10)[0] > 3
     assert results() == one
+    hot = bench.withColumn("item_id", F.lit(1)).union(bench.withColumn("item_id", F.lit(1)))  # one id has all texts, twice
+    count, blocks = decontaminate._blocks(hot, "item_id", "text", 10)
+    sizes = [sum(len(windows) for _, windows, *_ in b.groups) for b in blocks]
+    assert count > 3 and max(sizes) < 0.6 * sum(sizes)
 
 
 def test_pipeline(spark):
