@@ -7,14 +7,16 @@
    coordinate and its value. Nodes of at most ``SMALL`` sets are compared by brute force. In a larger node
    everything near its pivot (its lowest id) is linked to the pivot, sets close enough to it leave the node
    (by the triangle inequality whatever is similar to them is near the pivot too), and the rest is split
-   again, unless all of the node is near the pivot. The whole is repeated for ``RUNS`` independent trees, which takes recall to the target below.
+   again, unless all of the node is near the pivot. Independent trees are grown until the target recall below.
 3. Sets that are linked, directly or by others, form a candidate cluster. All pairs of a cluster are
    compared exactly, in blocks of ``BLOCK`` sets, with one matrix product per block pair; a block pair returns
    the number of links of each set and a spanning forest, never the pairs.
 
-Recall: two sets at the threshold share a sampled coordinate in one run with probability 1 - 1/e at the
-first level, and still about 0.37 three levels down, so ``RUNS`` = 10 find over 0.99 of them; more similar
-pairs are found more surely. What is returned is exact: no pair below the threshold counts.
+Recall: two sets at the threshold share one sampled coordinate of a node on average. So they are together
+one level down with probability p = 1 - 1/e, and with 1 - exp(-p) one further down, about 0.37 at the third
+level. At least ``RUNS`` trees are grown, and more until 1 - (1 - p)^trees reaches ``RECALL`` for the deepest
+level that any tree had to be split to; more similar pairs are found more surely. What is returned is exact:
+no pair below the threshold counts.
 
 Memory: a task holds one node of at most ``SMALL`` sketches or two blocks of sets. Hot nodes are joined with
 their pivots (skew that adaptive execution splits) and are never gathered.
@@ -27,6 +29,7 @@ texts, only one of them is compared, so ids should be unique. Extra columns are
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 from functools import reduce
 
@@ -47,6 +50,7 @@ SHINGLE = 5
 THRESHOLD = 0.8
 COORDS = 64
 RUNS = 10
+RECALL = 0.99
 SMALL = 256
 #: the bound doubles from level to level, as fewer rows are left, up to
 LARGEST = 4096
@@ -115,12 +119,20 @@ def _children(nodes: np.ndarray, sketch: np.ndarray) -> tuple[np.ndarray, np.nda
     return np.concatenate(out), np.concatenate(rows)
 
 
-def _split_roots(runs: int):
+def runs_for(depth: int, recall: float = RECALL) -> int:
+    """Trees that find a pair at the threshold with probability ``recall``, if nodes are split ``depth`` times."""
+    p = 1.0
+    for _ in range(depth):
+        p = 1 - math.exp(-p)
+    return 1 if p >= recall else math.ceil(math.log(1 - recall) / math.log(1 - p))
+
+
+def _split_roots(trees: range):
     def run(batches):
         arrow = to_arrow_schema(CHILD)
         for b in batches:
             sketch, ids = _matrix(b.column("sketch")), b.column("id").to_numpy()
-            for r in range(runs):
+            for r in trees:
                 child, rows = _children(np.full(len(ids), textops.mix(np.array([r + 1], U64))[0]), sketch)
                 yield record(arrow, child.view(np.int64), ids[rows])
 
@@ -192,10 +204,10 @@ def _few(df: DataFrame, rows: int, most: int) -> DataFrame:
     return F.broadcast(df) if rows <= most else df
 
 
-def candidate_links(sets: DataFrame, runs: int = RUNS, small: int = SMALL) -> DataFrame:
-    """(a, b) between sets that are likely similar; every similar pair is connected by links, up to the recall."""
-    grouped, links, limit = [], [], small
-    rows = stored(map_arrow(sets.select("id", "sketch"), _split_roots(runs), CHILD), "paths")
+def _grow(sets: DataFrame, trees: range, small: int) -> tuple[DataFrame, int]:
+    """Links that some trees give, and how often their nodes had to be split."""
+    grouped, links, limit, depth = [], [], small, 1
+    rows = stored(map_arrow(sets.select("id", "sketch"), _split_roots(trees), CHILD), "paths")
     while True:
         sizes = rows.groupBy("node").agg(F.count("*").alias("n"), F.min("id").alias("pivot")).where("n > 1")
         full = stored(rows.join(sizes, "node").join(sets.select("id", "sketch"), "id").select("node", "n", "pivot", "id", "sketch"), "nodes")
@@ -212,9 +224,20 @@ def candidate_links(sets: DataFrame, runs: int = RUNS, small: int = SMALL) -> Da
         mixed = near.where(F.col("share") < NEAR).select(F.col("node").alias("m")).distinct()
         left = near.where(F.col("share") < CLOSE).join(mixed, F.col("node") == F.col("m"), "left_semi")
         rows = stored(map_arrow(left.select("node", "id", "sketch"), _split, CHILD), "paths")
-        limit = min(2 * limit, LARGEST)
+        limit, depth = min(2 * limit, LARGEST), depth + 1
     every = reduce(DataFrame.union, grouped).repartition("node").sortWithinPartitions("node", "id")
-    return stored(reduce(DataFrame.union, links, map_arrow(every, _brute, LINK)), "links")
+    return stored(reduce(DataFrame.union, links, map_arrow(every, _brute, LINK)), "links"), depth
+
+
+def candidate_links(sets: DataFrame, runs: int = RUNS, small: int = SMALL, recall: float = RECALL) -> DataFrame:
+    """(a, b) between sets that are likely similar; every similar pair is connected by links, up to the recall."""
+    links, done, wanted, deepest = [], 0, runs, 0
+    while done < wanted:
+        found, depth = _grow(sets, range(done, wanted), small)
+        links.append(found)
+        deepest = max(deepest, depth)
+        done, wanted = wanted, max(wanted, runs_for(deepest, recall))
+    return reduce(DataFrame.union, links)
 
 
 def _set_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -304,6 +327,7 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     ``n_links`` counts the other documents whose shingle sets have a Jaccard similarity of ``threshold`` or
     more with it, copies included. ``class_id`` is the lowest id connected to it by links. ``threshold``
     counts in thousandths and must not be under 0.8, which the sampling rates and bounds above are for.
+    ``runs`` is the least number of trees.
     """
     if threshold < THRESHOLD:
         raise ValueError(f"threshold must be at least {THRESHOLD}")

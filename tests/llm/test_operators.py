@@ -56,6 +56,24 @@ def test_jaccard_join(spark, docs):
         jaccard_join.similar(docs, threshold=0.5)
 
 
+def test_trees_are_grown_until_the_recall(spark, monkeypatch):
+    assert [jaccard_join.runs_for(d) for d in (0, 1, 3)] == [1, 5, 10] and jaccard_join.runs_for(6) > 15
+    grown = []
+
+    def grow(sets, trees, small):
+        grown.append(trees)
+        return spark.createDataFrame([(1, 2)], "a bigint, b bigint"), min(3 + len(grown), 6)
+
+    monkeypatch.setattr(jaccard_join, "_grow", grow)
+    jaccard_join.candidate_links(None, 10)
+    assert grown[0] == range(0, 10) and all(b.start == a.stop for a, b in zip(grown, grown[1:]))
+    assert len(grown) == 4 and grown[-1].stop == jaccard_join.runs_for(6)
+    grown.clear()
+    monkeypatch.setattr(jaccard_join, "_grow", lambda sets, trees, small: (grown.append(trees) or spark.createDataFrame([(1, 2)], "a bigint, b bigint"), 2))
+    jaccard_join.candidate_links(None, 10)
+    assert grown == [range(0, 10)]  # shallow trees need no more
+
+
 def test_components_in_parts(spark):
     rng = random.Random(2)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(None, 1), (5, 5), (1, None)]
