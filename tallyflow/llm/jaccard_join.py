@@ -18,8 +18,9 @@ level. At least ``RUNS`` trees are grown, and more until 1 - (1 - p)^trees reach
 level that any tree had to be split to; more similar pairs are found more surely. What is returned is exact:
 no pair below the threshold counts.
 
-Memory: a task holds one node of at most ``SMALL`` sketches or two blocks of sets. Hot nodes are joined with
-their pivots (skew that adaptive execution splits) and are never gathered.
+Memory: a task holds nodes of at most ``SMALL`` sketches, twice that at each level down up to ``LARGEST``, or
+two blocks of sets. Larger nodes are never gathered: sizes and pivots of up to ``FEW`` of them go to every
+task; only of more than that are the rows joined by node (skew that adaptive execution splits).
 
 Null texts and texts without a word have no set: they link to nothing and are classes of their own. A text
 of fewer words than a shingle, but not none, is one shingle. Rows with a null id link to
@@ -204,13 +205,23 @@ def _few(df: DataFrame, rows: int, most: int) -> DataFrame:
     return F.broadcast(df) if rows <= most else df
 
 
+def _sized(rows: DataFrame, sizes: DataFrame, limit: int) -> DataFrame:
+    """``rows`` with the size and pivot of their node. Rows of large nodes are not gathered by node, if the large nodes are few."""
+    large = sizes.where(F.col("n") > limit)
+    if large.count() > FEW:
+        return rows.join(sizes, "node")
+    rest = rows.join(F.broadcast(large.select("node")), "node", "left_anti").join(sizes.where(F.col("n") <= limit), "node")
+    return rest.unionByName(rows.join(F.broadcast(large), "node"))
+
+
 def _grow(sets: DataFrame, trees: range, small: int) -> tuple[DataFrame, int]:
     """Links that some trees give, and how often their nodes had to be split."""
     grouped, links, limit, depth = [], [], small, 1
     rows = stored(map_arrow(sets.select("id", "sketch"), _split_roots(trees), CHILD), "paths")
     while True:
-        sizes = rows.groupBy("node").agg(F.count("*").alias("n"), F.min("id").alias("pivot")).where("n > 1")
-        full = stored(rows.join(sizes, "node").join(sets.select("id", "sketch"), "id").select("node", "n", "pivot", "id", "sketch"), "nodes")
+        sizes = stored(rows.groupBy("node").agg(F.count("*").alias("n"), F.min("id").alias("pivot")).where("n > 1"), "sizes")
+        sized = _sized(rows, sizes, limit)
+        full = stored(sized.join(sets.select("id", "sketch"), "id").select("node", "n", "pivot", "id", "sketch"), "nodes")
         grouped.append(full.where(F.col("n") <= limit).select("node", "id", "sketch"))
         large = full.where(F.col("n") > limit)
         pivots = large.where("id = pivot").select(F.col("node").alias("p"), F.col("sketch").alias("pivot_sketch"))
