@@ -9,7 +9,7 @@ buckets by the hash of the pair, and its parts are added up afterwards.
 
 Files are written under a name of the task's attempt, and only names that Spark has committed are used, so a
 lost executor's files are never read. They lie in the scratch folder; a worker maps those it needs, from a
-mounted folder in place, else from a copy.
+mounted folder in place, else from a copy that lasts as long as the worker.
 
 Scoring. p(w | v) = max(c(vw) - D, 0) / c(v) + gamma(v) p(w), and p(w) likewise from the numbers of different
 words before w, down to 1 / (V + 1), with modified Kneser-Ney discounts from counts of counts.
@@ -207,13 +207,16 @@ class Model:
         if (order, bucket) not in self.maps:
             uri, n, m = getattr(self, order).files[bucket]
             system, path = _open(uri)
-            if system.type_name != "local":
+            copied = system.type_name != "local"
+            if copied:
                 handle, copy = tempfile.mkstemp()
                 with os.fdopen(handle, "wb") as out, system.open_input_stream(path) as f:
                     while part := f.read(1 << 20):
                         out.write(part)
                 path = copy
             raw = np.memmap(path, np.uint8, "r") if n or m else np.zeros(0, np.uint8)
+            if copied:
+                os.unlink(path)  # the mapping keeps the bytes until the worker ends
             cut = np.cumsum([0, 8 * n, 4 * n, 8 * m, 16 * m])
             parts = [raw[lo:hi] for lo, hi in zip(cut[:-1], cut[1:])]
             self.maps[order, bucket] = (parts[0].view("<u8"), parts[1].view("<u4"), parts[2].view("<u8"), parts[3].view("<u4").reshape(-1, 4))
