@@ -1,20 +1,24 @@
-"""An interpolated modified Kneser-Ney bigram model, counted in Spark and mapped into memory by the workers.
-
-Counting. Tasks combine counts before they leave, packed as arrays by bucket of a hash. Each bucket is merged
-by one task, which writes a file of sorted hash arrays: words with counts; word pairs with counts, and their
-contexts with totals and the numbers of pairs seen once, twice and more often; words with the number of
-different words before them. The number of buckets follows the size of the corpus, so a bucket has a bounded
-size; a context with more than its share of all words (at most ``4 * buckets`` of them) is spread over all
-buckets by the hash of the pair, and its parts are added up afterwards.
+"""An interpolated modified Kneser-Ney model of n-grams, of order three by default, counted in Spark and mapped into memory by the workers.
+
+Counting. Tasks combine counts before they leave, packed by bucket of a hash: common words as ranks (a list of
+fewer than ``COMMON``), other words as hashes, in compressed byte planes. Each bucket is merged by one task, which
+writes a file of sorted hash arrays: words with counts; n-grams with counts, and their contexts with totals and
+the numbers of n-grams seen once, twice and more often. Only words and n-grams of the full order are counted from
+texts. The n-grams of each lower order come from the merged buckets of the next: their count is the number of
+different words before them, or if they start with the begin, where nothing else can stand before, the count
+itself. The number of buckets follows the size of the corpus, so a bucket has a bounded size; a context with more
+than its share of all words (at most ``4 * buckets`` of each length) is spread over all buckets by the hash of
+the n-gram, and its parts are added up afterwards. Such a context of several words has only such words, so only
+those are counted to find it.
 
 Files are written under a name of the task's attempt, and only names that Spark has committed are used, so a
 lost executor's files are never read. They lie in the scratch folder; a worker maps those it needs, from a
 mounted folder in place, else from a copy that lasts as long as the worker.
 
-Scoring. p(w | v) = max(c(vw) - D, 0) / c(v) + gamma(v) p(w), and p(w) likewise from the numbers of different
-words before w, down to 1 / (V + 1), with modified Kneser-Ney discounts from counts of counts.
+Scoring. p(w | u v) = max(c(uvw) - D, 0) / c(uv) + gamma(uv) p(w | v), and so on down to 1 / (V + 1), with
+modified Kneser-Ney discounts from each order's counts of counts; a context never seen leaves it to the next.
 
-Words are lower-cased, one end is counted after each text and a begin stands before it. Null and empty texts
+Words are lower-cased, one end is counted after each text and begins stand before it. Null and empty texts
 are one end. Without training texts every p is 1 / (V + 1) = 1. Repeated rows count each. Extra columns are
 not read.
 """
@@ -29,7 +33,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyarrow.fs import FileSystem
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,18 +45,23 @@ from tallyflow.llm.tasks import map_arrow
 from tallyflow.llm.toxicity import held_out
 from tallyflow.sinks.scratch import scratch_path, stored
 
+#: words of an n-gram
+ORDER = 3
 #: bytes of text per bucket
 BUCKET_BYTES = 16 << 20
 #: distinct keys a task holds before it sends them
 HELD = 1_500_000
+#: words sent as ranks, each with more than one in so many of all words
+COMMON = 1 << 20
 
 U64 = np.uint64
 BEGIN, END = U64(0xB5297A4D3F84D5B5), U64(0x1B56C4E9F1D2A7C3)
+UNRANKED = 0xFFFFFFFF
 
-PACKED = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("keys", T.BinaryType()), T.StructField("counts", T.BinaryType())])
+PACKED = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("data", T.BinaryType())])
 #: what a merged bucket is: its file, sizes, counts of counts, the next order's counts, and parts of hot contexts
 MERGED = T.StructType([
-    T.StructField("bucket", T.IntegerType()), T.StructField("file", T.StringType()), T.StructField("keys", T.LongType()), T.StructField("contexts", T.LongType()),
+    T.StructField("bucket", T.IntegerType()), T.StructField("file", T.StringType()), T.StructField("keys", T.LongType()),
     T.StructField("total", T.LongType()), T.StructField("of", T.ArrayType(T.LongType())),
     T.StructField("hot", T.ArrayType(T.ArrayType(T.LongType()))), T.StructField("next", T.ArrayType(PACKED)),
 ])
@@ -62,61 +71,113 @@ def _bucket(hash: np.ndarray, buckets: int) -> np.ndarray:
     return ((hash >> U64(32)) * U64(buckets) >> U64(32)).astype(np.int64)
 
 
-def _pair_hash(before: np.ndarray, word: np.ndarray) -> np.ndarray:
-    return textops.mix(before * U64(0xC2B2AE3D27D4EB4F) + word)
+def _key(grams: np.ndarray) -> np.ndarray:
+    """One hash for each row of words; that of one word is its own."""
+    hash = grams[:, 0]
+    for k in range(1, grams.shape[1]):
+        hash = textops.mix(hash * U64(0xC2B2AE3D27D4EB4F) + grams[:, k])
+    return hash
+
 
+def _spot(among: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of values in a sorted array, and whether they are there."""
+    if not len(among):
+        return np.zeros(len(values), np.int64), np.zeros(len(values), bool)
+    place = np.minimum(np.searchsorted(among, values), len(among) - 1)
+    return place, among[place] == values
 
-def _pair_bucket(before: np.ndarray, pair: np.ndarray, hot: np.ndarray, buckets: int) -> np.ndarray:
-    """Pairs lie with their context, those of hot contexts anywhere."""
-    return _bucket(np.where(np.isin(before, hot), pair, textops.mix(before)), buckets)
 
+def _gram_bucket(grams: np.ndarray, hash: np.ndarray, hot: np.ndarray, buckets: int) -> np.ndarray:
+    """N-grams lie with their context, those of hot contexts and single words anywhere."""
+    if grams.shape[1] == 1:
+        return _bucket(hash, buckets)
+    context = _key(grams[:, :-1])
+    return _bucket(np.where(_spot(hot, context)[1], hash, textops.mix(context)), buckets)
 
-def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word hashes with an end after each text, the word before each, and the rows."""
+
+def _tokens(texts: pa.Array, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """N-grams of word hashes that end in each word, with an end after each text, and the rows."""
     w = textops.words(texts, textops.SPACED, textops.LOWER)
     rows = len(texts)
     out = np.insert(w.hash, w.first[1:], END)
     first = w.first + np.arange(rows + 1)
-    before = np.empty(len(out), U64)
-    before[1:] = out[:-1]
-    before[first[:-1]] = BEGIN
-    return out, before, np.repeat(np.arange(rows), np.diff(first))
-
-
-def _counted(keys: np.ndarray, counts: np.ndarray, by: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys (rows of ``keys``, told apart by ``by``) with summed counts."""
-    hash, at, inverse = np.unique(by, return_index=True, return_inverse=True)
-    return keys[at], np.bincount(inverse.ravel(), counts, len(hash)).astype(np.int64), hash
-
-
-def _packed(arrow: pa.Schema, bucket: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-    order = np.argsort(bucket, kind="stable")
-    names, at = np.unique(bucket[order], return_index=True)
-    at = np.append(at, len(order))
-    flat, n = keys[order], counts[order].astype("<u4")
-    width = flat.shape[1]
-    return record(arrow, names.astype(np.int32), textops.binaries(flat.ravel(), at * width), textops.binaries(n, at))
-
-
-def _count(pairs: bool, hot: np.ndarray, buckets: int):
+    row = np.repeat(np.arange(rows), np.diff(first))
+    inside = np.arange(len(out)) - first[:-1][row]
+    grams = np.full((len(out), order), BEGIN)
+    grams[:, -1] = out
+    for k in range(1, order):
+        own = np.flatnonzero(inside >= k)
+        grams[own, -1 - k] = out[own - k]
+    return grams, row
+
+
+def _counted(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct n-grams with summed counts and hashes, in the order of the hashes."""
+    hash = _key(grams)
+    order = np.argsort(hash, kind="stable")
+    hash = hash[order]
+    new = np.flatnonzero(np.append(True, hash[1:] != hash[:-1])[: len(hash)])
+    return grams[order[new]], np.add.reduceat(counts[order], new) if len(new) else counts[:0], hash[new]
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """First all lowest bytes, then the next, and so on: upper bytes are mostly zeros, which compress."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes()
+
+
+def _unplaned(data: np.ndarray, kind: str) -> np.ndarray:
+    return np.ascontiguousarray(data.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+class Common:
+    """The most frequent words, which are sent as ranks."""
+
+    def __init__(self, words: np.ndarray, counts: np.ndarray):
+        self.words = words[np.argsort(-counts, kind="stable")]
+        self.rank = np.argsort(self.words).astype(np.uint32)
+        self.sorted = self.words[self.rank]
+
+    def pack(self, grams: np.ndarray, bucket: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+        """Bucket numbers, and one compressed packet of n-grams and counts for each."""
+        ranks = np.full(grams.shape, UNRANKED, "<u4")
+        place, known = _spot(self.sorted, grams.ravel())
+        ranks.ravel()[known] = self.rank[place[known]]
+        order = np.lexsort([*ranks[:, :2].T[::-1], bucket])
+        names, at = np.unique(bucket[order], return_index=True)
+        codec, packets = pa.Codec("zstd", compression_level=1), []
+        for own in np.split(order, at[1:]) if len(names) else []:
+            columns = ranks[own].T
+            raw = np.int64(len(own)).tobytes() + b"".join(_planes(np.ascontiguousarray(c)) for c in columns) + _planes(counts[own].astype(COUNT)) + grams[own].T[columns == UNRANKED].astype("<u8").tobytes()
+            packets.append(np.int64(len(raw)).tobytes() + codec.compress(raw, asbytes=True))
+        return names.astype(np.int32), packets
+
+    def unpack(self, packet: bytes, order: int) -> tuple[np.ndarray, np.ndarray]:
+        size = int(np.frombuffer(packet, "<i8", 1)[0])
+        raw = np.frombuffer(pa.Codec("zstd").decompress(packet[8:], size), np.uint8)
+        n, at, columns = int(raw[:8].view("<i8")[0]), 8, []
+        for _ in range(order):
+            columns.append(_unplaned(raw[at : at + 4 * n], "<u4"))
+            at += 4 * n
+        wide = np.dtype(COUNT).itemsize * n
+        counts = _unplaned(raw[at : at + wide], COUNT).astype(np.int64)
+        ranks = np.stack(columns)
+        words, other = np.empty(ranks.shape, U64), ranks == UNRANKED
+        words[~other] = self.words[ranks[~other]]
+        words[other] = np.frombuffer(raw[at + wide :].tobytes(), "<u8")
+        return np.ascontiguousarray(words.T), counts
+
+
+def _count(order: int, hot: np.ndarray, buckets: int, shared: Broadcast):
     def run(batches):
         arrow, held, size = to_arrow_schema(PACKED), [], 0
 
-        def by(keys):
-            return _pair_hash(keys[:, 0], keys[:, 1]) if pairs else keys[:, 0]
-
-        def merged():
-            keys, counts = np.concatenate([k for k, _ in held]), np.concatenate([n for _, n in held])
-            return _counted(keys, counts, by(keys))
-
         def flush():
-            keys, counts, hash = merged()
-            return _packed(arrow, _pair_bucket(keys[:, 0], hash, hot, buckets) if pairs else _bucket(hash, buckets), keys, counts)
+            grams, counts, hash = _counted(np.concatenate([k for k, _ in held]), np.concatenate([n for _, n in held]))
+            return record(arrow, *shared.value.pack(grams, _gram_bucket(grams, hash, hot, buckets), counts))
 
         for piece in textops.pieces(batches, "text"):
-            word, before, _ = _tokens(piece.column("text"))
-            keys = np.stack([before, word], 1) if pairs else word[:, None]
-            held.append(_counted(keys, np.ones(len(keys), np.int64), by(keys))[:2])
+            grams, _ = _tokens(piece.column("text"), order)
+            held.append(_counted(grams, np.ones(len(grams), np.int64))[:2])
             size += len(held[-1][0])
             if size > HELD:
                 yield flush()
@@ -127,38 +188,127 @@ def _count(pairs: bool, hot: np.ndarray, buckets: int):
     return run
 
 
+def _frequent_contexts(order: int, hot: np.ndarray):
+    """Counts of contexts of two words or more that have only hot words."""
+
+    def run(batches):
+        arrow, held, size = pa.schema([("words", pa.int32()), ("w", pa.int64()), ("n", pa.int64())]), {}, 0
+
+        def flush(k):
+            grams, counts, hash = _counted(np.concatenate([g for g, _ in held[k]]), np.concatenate([n for _, n in held[k]]))
+            return record(arrow, np.full(len(hash), k, np.int32), hash.view(np.int64), counts)
+
+        for piece in textops.pieces(batches, "text"):
+            grams, _ = _tokens(piece.column("text"), order)
+            is_hot = _spot(hot, grams.ravel())[1].reshape(grams.shape)
+            for k in range(2, order):
+                own = grams[is_hot[:, -1 - k : -1].all(1), -1 - k : -1]
+                held.setdefault(k, []).append(_counted(own, np.ones(len(own), np.int64))[:2])
+                size += len(held[k][-1][0])
+            if size > HELD:
+                yield from (flush(k) for k in held)
+                held, size = {}, 0
+        yield from (flush(k) for k in held)
+
+    return run
+
+
+#: how counts are sent and stored
+COUNT = "<u4"
+KEYS, COUNTS = ["<u4", "<u4", "<u2"], ["<u4"]
+
+
+def _count_arrays(counts: np.ndarray) -> list[np.ndarray]:
+    return [counts]
+
+
+def _count_values(arrays: list[np.ndarray], place: np.ndarray) -> np.ndarray:
+    """Counts at the given places."""
+    return arrays[0][place].astype(np.int64)
+
+
 def _open(uri: str) -> tuple[FileSystem, str]:
     return FileSystem.from_uri(re.sub(r"^file:/(?!/)", "file:///", uri))
 
 
-def _merge(out: str, pairs: bool, hot: np.ndarray, buckets: int):
-    """Merges whole buckets: writes their files, returns what is known of them."""
+#: low bits of a key that are stored; the others follow from its place
+REST = U64(48)
+#: arrays of a file: places of keys by upper bits, their lower bits in two parts, counts, and the same for contexts with their four totals
+ARRAYS = [*KEYS, *COUNTS, *KEYS, *COUNTS]
+
+
+def _key_arrays(hash: np.ndarray) -> list[np.ndarray]:
+    first = np.searchsorted(hash >> REST, np.arange((1 << 16) + 1, dtype=U64))
+    return [first.astype("<u4"), (hash >> U64(16)).astype("<u4"), hash.astype("<u2")]
+
+
+def _keys(first: np.ndarray, high: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """All keys of sorted arrays."""
+    return np.repeat(np.arange(1 << 16, dtype=U64), np.diff(first.astype(np.int64))) << REST | high.astype(U64) << U64(16) | low
+
+
+def _place(first: np.ndarray, high: np.ndarray, low: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Places of keys in sorted arrays by bisection, -1 where they are not."""
+    upper = (key >> REST).astype(np.int64)
+    lo, end = first[upper].astype(np.int64), first[upper + 1].astype(np.int64)
+    hi, rest = end, key & U64((1 << 48) - 1)
+
+    def at(k):
+        k = np.minimum(k, len(high) - 1)
+        return high[k].astype(U64) << U64(16) | low[k]
+
+    if not len(high):
+        return np.full(len(key), -1)
+    for _ in range(int((hi - lo).max(initial=0)).bit_length()):
+        mid = lo + hi >> 1
+        less = (lo < hi) & (at(mid) < rest)
+        lo, hi = np.where(less, mid + 1, lo), np.where(less | (lo >= hi), hi, mid)
+    return np.where((lo < end) & (at(lo) == rest), lo, -1)
+
+
+def _written(arrays: list[np.ndarray]) -> bytes:
+    """The arrays after their lengths, each from a multiple of eight bytes."""
+    parts = [a.astype(kind).tobytes() for a, kind in zip(arrays, ARRAYS, strict=True)]
+    return np.array([len(a) for a in arrays], "<u8").tobytes() + b"".join(x + bytes(-len(x) % 8) for x in parts)
+
+
+def _mapped(raw: np.ndarray) -> list[np.ndarray]:
+    at, out = 8 * len(ARRAYS), []
+    for n, kind in zip(raw[:at].view("<u8").tolist(), ARRAYS):
+        size = n * np.dtype(kind).itemsize
+        out.append(raw[at : at + size].view(kind))
+        at += size + -size % 8
+    return out
+
+
+def _merge(out: str, order: int, hot: np.ndarray, buckets: int, shared: Broadcast, next_hot: np.ndarray | None = None):
+    """Merges whole buckets: writes their files, returns what is known of them and, given ``next_hot``, counts of the next lower order."""
     from tallyflow.llm.jaccard_join import _runs_of
 
-    def one(bucket: int, parts: pa.RecordBatch, arrow: pa.Schema) -> pa.RecordBatch:
-        keys = np.frombuffer(b"".join(parts.column("keys").to_pylist()), U64).reshape(-1, 1 + pairs)
-        counts = np.frombuffer(b"".join(parts.column("counts").to_pylist()), "<u4").astype(np.int64)
-        keys, counts, hash = _counted(keys, counts, _pair_hash(keys[:, 0], keys[:, 1]) if pairs else keys[:, 0])
-        arrays, contexts, spread, after = [hash.astype("<u8"), counts.astype("<u4")], 0, [], []
-        if pairs:
-            context, inverse = np.unique(keys[:, 0], return_inverse=True)
+    def one(bucket: int, packets: list[bytes], arrow: pa.Schema) -> pa.RecordBatch:
+        parts = [shared.value.unpack(x, order) for x in packets]
+        grams, counts, hash = _counted(np.concatenate([g for g, _ in parts]), np.concatenate([n for _, n in parts]))
+        del parts
+        spread, after, contexts, table = [], [], np.zeros(0, U64), np.zeros((0, 4), np.int64)
+        if order > 1:
+            context, inverse = np.unique(_key(grams[:, :-1]), return_inverse=True)
             inverse = inverse.ravel()
-            sums = [np.bincount(inverse, counts, len(context))] + [np.bincount(inverse[m], minlength=len(context)) for m in (counts == 1, counts == 2, counts > 2)]
-            table = np.stack(sums, 1).astype("<u4")
-            is_hot = np.isin(context, hot)
+            sums = np.zeros(len(context), np.int64)
+            np.add.at(sums, inverse, counts)
+            table = np.stack([sums] + [np.bincount(inverse[m], minlength=len(context)) for m in (counts == 1, counts == 2, counts > 2)], 1)
+            is_hot = _spot(hot, context)[1]
             spread = [[int(x), *map(int, r)] for x, r in zip(context[is_hot].view(np.int64), table[is_hot])]
-            arrays += [context[~is_hot].astype("<u8"), table[~is_hot]]
-            contexts = int((~is_hot).sum())
-            word, n = np.unique(keys[:, 1], return_counts=True)
-            after = _packed(to_arrow_schema(PACKED), _bucket(word, buckets), word[:, None], n).to_pylist()
+            contexts, table = context[~is_hot], table[~is_hot]
+        if next_hot is not None:
+            lower, n, own = _counted(grams[:, 1:], np.where(grams[:, 1] == BEGIN, counts, 1))
+            after = [{"bucket": int(b), "data": x} for b, x in zip(*shared.value.pack(lower, _gram_bucket(lower, own, next_hot, buckets), n))]
         name = f"{out}/{bucket:08d}-{TaskContext.get().taskAttemptId()}.bin"
         system, path = _open(name)
         system.create_dir(path.rpartition("/")[0], recursive=True)
         with system.open_output_stream(path, compression=None) as f:
-            for a in arrays:
-                f.write(np.ascontiguousarray(a).tobytes())
+            f.write(_written([*_key_arrays(hash), *_count_arrays(counts), *_key_arrays(contexts), *_count_arrays(table.ravel())]))
         of = [int((counts == k).sum()) for k in (1, 2, 3, 4)] + [int((counts > 2).sum())]
-        return record(arrow, [bucket], [name], [len(hash)], [contexts], [int(counts.sum())], [of], [spread], [after])
+        return record(arrow, [bucket], [name], [len(hash)], [int(counts.sum())], [of], [spread], [after])
 
     def run(batches):
         arrow = to_arrow_schema(MERGED)
@@ -166,19 +316,21 @@ def _merge(out: str, pairs: bool, hot: np.ndarray, buckets: int):
             bucket = b.column("bucket").to_numpy()
             cuts = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(bucket))
             for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-                yield one(int(bucket[lo]), b.slice(lo, hi - lo), arrow)
+                yield one(int(bucket[lo]), b.column("data").slice(lo, hi - lo).to_pylist(), arrow)
 
     return run
 
 
 @dataclass
 class Order:
-    """Files of one table, by bucket, with its totals."""
+    """Files of one table, by bucket, with its totals and its hot contexts with theirs."""
 
-    files: dict[int, tuple[str, int, int]]
+    files: dict[int, str]
     total: int
     keys: int
     of: list[int]
+    hot: np.ndarray
+    hot_totals: np.ndarray
 
     def discounts(self) -> np.ndarray:
         """What is taken from counts of 0, 1, 2 and more."""
@@ -192,20 +344,16 @@ class Order:
 
 @dataclass
 class Model:
-    """The three tables: word counts, pair counts, and how many different words stand before each word."""
+    """Word counts, and a table for each order from 1, the last with counts of n-grams, the others with the numbers of different words before them."""
 
     words: Order
-    pairs: Order
-    before: Order
-    hot: np.ndarray
-    hot_totals: np.ndarray
+    grams: list[Order]
     buckets: int
     maps: dict = field(default_factory=dict)
 
-    def _map(self, order: str, bucket: int) -> tuple[np.ndarray, ...]:
+    def _map(self, uri: str) -> list[np.ndarray]:
         """The arrays of one bucket's file."""
-        if (order, bucket) not in self.maps:
-            uri, n, m = getattr(self, order).files[bucket]
+        if uri not in self.maps:
             system, path = _open(uri)
             copied = system.type_name != "local"
             if copied:
@@ -214,104 +362,120 @@ class Model:
                     while part := f.read(1 << 20):
                         out.write(part)
                 path = copy
-            raw = np.memmap(path, np.uint8, "r") if n or m else np.zeros(0, np.uint8)
+            raw = np.memmap(path, np.uint8, "r")
             if copied:
                 os.unlink(path)  # the mapping keeps the bytes until the worker ends
-            cut = np.cumsum([0, 8 * n, 4 * n, 8 * m, 16 * m])
-            parts = [raw[lo:hi] for lo, hi in zip(cut[:-1], cut[1:])]
-            self.maps[order, bucket] = (parts[0].view("<u8"), parts[1].view("<u4"), parts[2].view("<u8"), parts[3].view("<u4").reshape(-1, 4))
-        return self.maps[order, bucket]
+            self.maps[uri] = _mapped(raw)
+        return self.maps[uri]
 
-    def _find(self, order: str, bucket: np.ndarray, key: np.ndarray, contexts: bool = False) -> np.ndarray:
+    def _find(self, order: Order, bucket: np.ndarray, key: np.ndarray, contexts: bool = False) -> np.ndarray:
         """Counts of keys, or the four totals of contexts; 0 where there are none."""
         out = np.zeros((len(key), 4) if contexts else len(key), np.int64)
         by = np.lexsort((key, bucket))
         names, at = np.unique(bucket[by], return_index=True)
+        half = len(KEYS) + len(COUNTS)
         for name, own in zip(names.tolist(), np.split(by, at[1:])):
-            if name not in getattr(self, order).files:
+            if name not in order.files:
                 continue
-            keys, values = self._map(order, name)[2:] if contexts else self._map(order, name)[:2]
-            if len(keys):
-                place = np.minimum(np.searchsorted(keys, key[own]), len(keys) - 1)
-                hit = keys[place] == key[own]
-                out[own[hit]] = values[place[hit]]
+            arrays = self._map(order.files[name])[half:] if contexts else self._map(order.files[name])[:half]
+            place = _place(*arrays[: len(KEYS)], key[own])
+            own, place = own[place >= 0], place[place >= 0]
+            out[own] = _count_values(arrays[len(KEYS) :], 4 * place[:, None] + np.arange(4) if contexts else place)
         return out
 
     def logs(self, word: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Training count, log10 of the add-one probability and of the model's, for each word after ``before``."""
-        pair = _pair_hash(before, word)
-        _, at, inverse = np.unique(pair, return_index=True, return_inverse=True)
-        w, v, pair, inverse = word[at], before[at], pair[at], inverse.ravel()
-        only, of_word = np.unique(w, return_inverse=True)
+        """Training count, log10 of the add-one probability and of the model's, for each word after ``before``.
+
+        ``before`` has one column for each word, the nearest last, or is that word; with fewer than the model's, the lower order is used.
+        """
+        grams = np.column_stack([before, word])
+        _, at, inverse = np.unique(_key(grams), return_index=True, return_inverse=True)
+        grams, inverse = grams[at], inverse.ravel()
+        only, of_word = np.unique(grams[:, -1], return_inverse=True)
         of_word, place = of_word.ravel(), _bucket(only, self.buckets)
-        c = self._find("words", place, only)
+        c = self._find(self.words, place, only)
         size = self.words.keys + 1
         base = np.log10((c + 1) / (self.words.total + size))
-        k = self._find("before", place, only)
-        d, total = self.before.discounts(), self.before.total
+        first = self.grams[0]
+        k = self._find(first, place, only)
+        d, total = first.discounts(), first.total
         if total:
-            taken = d[1] * self.before.of[0] + d[2] * self.before.of[1] + d[3] * self.before.of[4]
+            taken = d[1] * first.of[0] + d[2] * first.of[1] + d[3] * first.of[4]
             p = (np.maximum(k - d[np.minimum(k, 3)], 0) + taken / size) / total
         else:
             p = np.full(len(only), 1 / size)
         p = p[of_word]
-        n = self._find("pairs", _pair_bucket(v, pair, self.hot, self.buckets), pair)
-        heads, of_head = np.unique(v, return_inverse=True)
-        sums = self._find("pairs", _bucket(textops.mix(heads), self.buckets), heads, True)
-        if len(self.hot):
-            spot = np.minimum(np.searchsorted(self.hot, heads), len(self.hot) - 1)
-            is_hot = self.hot[spot] == heads
-            sums[is_hot] = self.hot_totals[spot[is_hot]]
-        sums, d = sums[of_head.ravel()], self.pairs.discounts()
-        seen = sums[:, 0] > 0
-        full = np.maximum(sums[:, 0], 1)
-        p = np.where(seen, (np.maximum(n - d[np.minimum(n, 3)], 0) + (sums[:, 1:] @ d[1:]) * p) / full, p)
+        for n, order in enumerate(self.grams[1 : grams.shape[1]], 2):
+            own = grams[:, -n:]
+            hash = _key(own)
+            k = self._find(order, _gram_bucket(own, hash, order.hot, self.buckets), hash)
+            heads, of_head = np.unique(_key(own[:, :-1]), return_inverse=True)
+            sums = self._find(order, _bucket(textops.mix(heads), self.buckets), heads, True)
+            spot, is_hot = _spot(order.hot, heads)
+            sums[is_hot] = order.hot_totals[spot[is_hot]]
+            sums, d = sums[of_head.ravel()], order.discounts()
+            seen = sums[:, 0] > 0
+            full = np.maximum(sums[:, 0], 1)
+            p = np.where(seen, (np.maximum(k - d[np.minimum(k, 3)], 0) + (sums[:, 1:] @ d[1:]) * p) / full, p)
         return c[of_word][inverse], base[of_word][inverse], np.log10(p)[inverse]
 
 
-def _order(rows: list) -> Order:
+def _order(merged: DataFrame, hot: np.ndarray) -> Order:
+    rows = merged.select("bucket", "file", "keys", "total", "of").collect()  # one row per bucket
     of = np.sum([r["of"] for r in rows], axis=0).tolist() if rows else [0] * 5
-    return Order({r.bucket: (r.file, r["keys"], r.contexts) for r in rows}, sum(r.total for r in rows), sum(r["keys"] for r in rows), of)
+    spread = merged.select(F.explode("hot").alias("h")).groupBy(F.col("h")[0].alias("w")).agg(*[F.sum(F.col("h")[k]).alias(f"n{k}") for k in range(1, 5)])
+    totals = np.zeros((len(hot), 4), np.int64)
+    for r in spread.collect() if len(hot) else []:  # one row per hot context
+        totals[np.searchsorted(hot, np.array([r.w], np.int64).view(U64))[0]] = [r.n1, r.n2, r.n3, r.n4]
+    return Order({r.bucket: r.file for r in rows}, sum(r.total for r in rows), sum(r["keys"] for r in rows), of, hot, totals)
 
 
-def train(docs: DataFrame, text_col: str = "text") -> Model:
-    """The model of all texts."""
+def train(docs: DataFrame, text_col: str = "text", order: int = ORDER) -> Model:
+    """The model of all texts, of n-grams of ``order`` words, two or more."""
+    if order < 2:
+        raise ValueError("the order is two or more")
     spark = docs.sparkSession
     rows, out = docs.select(F.col(text_col).alias("text")), scratch_path(spark, "ngrams")
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(8, -(-int(total) // BUCKET_BYTES))
-    known = ["bucket", "file", "keys", "contexts", "total", "of"]  # one row per bucket
+    none = np.zeros(0, U64)
 
-    def merged(packed: DataFrame, name: str, pairs: bool, hot: np.ndarray) -> DataFrame:
+    def merged(packed: DataFrame, name: str, *how) -> DataFrame:
         dealt = packed.repartition(buckets, "bucket").sortWithinPartitions("bucket")
-        return stored(map_arrow(dealt, _merge(f"{out}/{name}", pairs, hot, buckets), MERGED), name)
+        return stored(map_arrow(dealt, _merge(f"{out}/{name}", *how), MERGED), name)
 
-    none = np.zeros(0, U64)
-    words = _order(merged(map_arrow(rows, _count(False, none, buckets), PACKED), "words", False, none).select(known).collect())
+    shared = spark.sparkContext.broadcast(Common(none, none.astype(np.int64)))
+    words = _order(merged(map_arrow(rows, _count(1, none, buckets, shared), PACKED), "words", 1, none, buckets, shared), none)
     bar = max(1, words.total // (4 * buckets))
+    least = min(bar, words.total // COMMON)
 
     def frequent(batches):
-        schema = pa.schema([("w", pa.int64())])
+        schema = pa.schema([("w", pa.int64()), ("n", pa.int64())])
         for b in batches:
-            for file, n in zip(b.column("file").to_pylist(), b.column("keys").to_pylist()):
+            for file in b.column("file").to_pylist():
                 system, path = _open(file)
                 with system.open_input_file(path) as f:
-                    hash, count = np.frombuffer(f.read(8 * n), "<u8"), np.frombuffer(f.read(4 * n), "<u4")
-                yield pa.RecordBatch.from_arrays([pa.array(hash[count > bar].view(np.int64))], schema=schema)
-
-    files = spark.createDataFrame([(f, n) for f, n, _ in words.files.values()], "file string, keys bigint")
-    hot = [r.w for r in map_arrow(files, frequent, "w bigint").collect()]  # fewer than 4 * buckets
-    hot = np.unique(np.append(np.array(hot, np.int64).view(U64), BEGIN))
-
-    both = merged(map_arrow(rows, _count(True, hot, buckets), PACKED), "pairs", True, hot)
-    pairs = _order(both.select(known).collect())
-    spread = both.select(F.explode("hot").alias("h")).groupBy(F.col("h")[0].alias("w")).agg(*[F.sum(F.col("h")[k]).alias(f"n{k}") for k in range(1, 5)])
-    totals = np.zeros((len(hot), 4), np.int64)
-    for r in spread.collect():  # one row per hot context
-        totals[np.searchsorted(hot, np.array([r.w], np.int64).view(U64))[0]] = [r.n1, r.n2, r.n3, r.n4]
-    after = both.select(F.explode("next").alias("x")).select("x.*")
-    before = _order(merged(after, "before", False, none).select(known).collect())
-    return Model(words, pairs, before, hot, totals, buckets)
+                    arrays = _mapped(np.frombuffer(f.read(), np.uint8))
+                hash = _keys(*arrays[: len(KEYS)])
+                count = _count_values(arrays[len(KEYS) :], np.arange(len(hash)))
+                yield record(schema, hash[count > least].view(np.int64), count[count > least])
+
+    files = spark.createDataFrame([(f,) for f in words.files.values()], "file string")
+    common = map_arrow(files, frequent, "w bigint, n bigint").toArrow()  # fewer than the larger of COMMON and 4 * buckets
+    word, count = common["w"].to_numpy().view(U64), common["n"].to_numpy()
+    hot = {1: none, 2: np.unique(np.append(word[count > bar], BEGIN))}
+    contexts = map_arrow(rows, _frequent_contexts(order, hot[2]), "words int, w bigint, n bigint")
+    often = contexts.groupBy("words", "w").agg(F.sum("n").alias("n")).where(F.col("n") > bar).collect() if order > 2 else []  # fewer than 4 * buckets of each length
+    for k in range(2, order):
+        hot[k + 1] = np.unique(np.array([r.w for r in often if r.words == k], np.int64).view(U64))
+
+    shared = spark.sparkContext.broadcast(Common(np.append(word, BEGIN), np.append(count, words.total)))
+    packed, grams = map_arrow(rows, _count(order, hot[order], buckets, shared), PACKED), []
+    for k in range(order, 0, -1):
+        both = merged(packed, f"grams{k}", k, hot[k], buckets, shared, hot[k - 1] if k > 1 else None)
+        grams.insert(0, _order(both, hot[k]))
+        packed = both.select(F.explode("next").alias("x")).select("x.*")
+    return Model(words, grams, buckets)
 
 
 def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -323,8 +487,8 @@ def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     def run(batches):
         arrow, own = to_arrow_schema(schema), shared.value
         for piece in textops.pieces(batches, "text"):
-            word, before, row = _tokens(piece.column("text"))
-            count, base, score = own.logs(word, before)
+            grams, row = _tokens(piece.column("text"), len(own.grams))
+            count, base, score = own.logs(grams[:, -1], grams[:, :-1])
             n = piece.num_rows
             yield record(arrow, piece.column("id"), np.bincount(row, minlength=n), np.bincount(row[count > 0], minlength=n), np.bincount(row, base, n), np.bincount(row, score, n))
 

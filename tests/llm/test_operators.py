@@ -217,6 +217,45 @@ def test_language_model_sums_to_one_and_counts(spark, docs):
     assert len(none) == docs.count() and all(r.n_known == 0 and r.score == 0 for r in none)
 
 
+def test_language_model_is_kneser_ney_of_any_order(spark, docs, monkeypatch):
+    """Every score is that of a row-by-row interpolated model, for orders two to four and with most contexts hot or none."""
+    cut = lambda t: [*re.findall(SPACED, (t or "").translate(LOWER)), "</s>"]
+    some = docs.where("doc_id not in (6, 7)").union(docs.where("doc_id = 3").crossJoin(spark.range(80).select(F.col("id").alias("k"))).drop("k"))
+    texts = {r.doc_id: cut(r.text) for r in docs.collect()}
+    every = [texts[r.doc_id] for r in some.collect()]
+    vocabulary = {w for t in every for w in t}
+    for order, bucket_bytes in ((2, 16 << 20), (3, 16 << 20), (3, 600), (4, 16 << 20)):
+        monkeypatch.setattr(lm, "BUCKET_BYTES", bucket_bytes)
+        counts = {order: collections.Counter(tuple((["<s>"] * (order - 1) + t)[i : i + order]) for t in every for i in range(len(t)))}
+        for k in range(order - 1, 0, -1):
+            counts[k] = collections.Counter()
+            for g, n in counts[k + 1].items():
+                counts[k][g[1:]] += n if g[1] == "<s>" else 1
+        discount, contexts = {}, {k: collections.defaultdict(list) for k in counts}
+        for k, table in counts.items():
+            n = [sum(c == i for c in table.values()) for i in range(5)]
+            y = n[1] / (n[1] + 2 * n[2]) if n[1] and n[2] and n[3] else None
+            raw = [0, 1 - 2 * y * n[2] / n[1], 2 - 3 * y * n[3] / n[2], 3 - 4 * y * n[4] / n[3]] if y is not None else [0, 0.5, 0.75, 0.9]
+            discount[k] = [0, *(min(max(x, lo), hi) for x, lo, hi in zip(raw[1:], (0.05, 0.1, 0.1), (1, 2, 3)))] if y is not None else raw
+            for g, c in table.items():
+                contexts[k][g[:-1]].append(c)
+
+        def p(g):
+            if not g:
+                return 1 / (len(vocabulary) + 1)
+            own, d, c = contexts[len(g)].get(g[:-1]), discount[len(g)], counts[len(g)][g]
+            return p(g[1:]) if not own else (max(c - d[min(c, 3)], 0) + sum(d[min(x, 3)] for x in own) * p(g[1:])) / sum(own)
+
+        model = lm.train(some, order=order)
+        assert len(model.grams) == order and (bucket_bytes > 600 or max(len(o.hot) for o in model.grams[2:]) > 1)
+        got = {r.id: r.score for r in lm.scored(docs, model).collect()}
+        for i in (0, 1, 3, 4, 5, 6, 8, 10, 12, 25):
+            t = ["<s>"] * (order - 1) + texts[i]
+            want = sum(np.log10(p(tuple(t[k : k + order]))) for k in range(len(texts[i])))
+            assert got[i] == pytest.approx(want, rel=1e-9, abs=1e-9), (order, i)
+    assert lm.ORDER >= 3
+
+
 def test_warc(spark):
     rows = [(1, "http://www.B.example.com/x?q=1#f", "<p>é</p>"), (2, None, "<p>é</p>"), (3, "http://a.example.com/", None), (4, "not a url [", ""), (5, "http://a.example.com/", "z"), (5, "http://a.example.com/", "z"), (None, "http://c.example.com/\r\nx", "q")]
     pages = spark.createDataFrame([(*r, "x") for r in rows], "page_id bigint, url string, html string, digest string")
