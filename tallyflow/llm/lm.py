@@ -213,18 +213,24 @@ def _frequent_contexts(order: int, hot: np.ndarray):
     return run
 
 
-#: how counts are sent and stored
-COUNT = "<u4"
-KEYS, COUNTS = ["<u4", "<u4", "<u2"], ["<u4"]
+#: how counts are sent and stored; stored ones of over 254 are in a table of their own, by place
+COUNT = "<u8"
+KEYS, COUNTS = ["<u4", "<u4", "<u2"], ["u1", "<u8", "<u8"]
 
 
 def _count_arrays(counts: np.ndarray) -> list[np.ndarray]:
-    return [counts]
+    large = np.flatnonzero(counts > 254)
+    return [np.minimum(counts, 255), large, counts[large]]
 
 
 def _count_values(arrays: list[np.ndarray], place: np.ndarray) -> np.ndarray:
     """Counts at the given places."""
-    return arrays[0][place].astype(np.int64)
+    small, at, large = arrays
+    counts = small[place].astype(np.int64)
+    over = counts == 255
+    if over.any():
+        counts[over] = large[np.searchsorted(at, place[over])]
+    return counts
 
 
 def _open(uri: str) -> tuple[FileSystem, str]:
@@ -457,7 +463,7 @@ def train(docs: DataFrame, text_col: str = "text", order: int = ORDER) -> Model:
                 with system.open_input_file(path) as f:
                     arrays = _mapped(np.frombuffer(f.read(), np.uint8))
                 hash = _keys(*arrays[: len(KEYS)])
-                count = _count_values(arrays[len(KEYS) :], np.arange(len(hash)))
+                count = _count_values(arrays[len(KEYS) : len(KEYS) + len(COUNTS)], np.arange(len(hash)))
                 yield record(schema, hash[count > least].view(np.int64), count[count > least])
 
     files = spark.createDataFrame([(f,) for f in words.files.values()], "file string")

@@ -256,6 +256,23 @@ def test_language_model_is_kneser_ney_of_any_order(spark, docs, monkeypatch):
     assert lm.ORDER >= 3
 
 
+def test_language_model_counts_beyond_32_bits(tmp_path, monkeypatch):
+    """Counts and context totals that no 32-bit number holds come back as they are."""
+    from types import SimpleNamespace
+
+    monkeypatch.setattr(lm, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(taskAttemptId=lambda: 0)))
+    common = lm.Common(np.array([7, 8], np.uint64), np.array([2, 1]))
+    grams, sums = np.array([[7, 8], [7, 9], [7, 10], [8, 7]], np.uint64), np.array([3_000_000_000, 254, 255, 5_000_000_000])
+    _, packet = common.pack(grams, np.zeros(4, np.int64), sums)
+    rows = pa.RecordBatch.from_pydict({"bucket": pa.array([0, 0], pa.int32()), "data": pa.array(packet * 2, pa.binary())})
+    (merged,) = lm._merge(str(tmp_path), 2, np.zeros(0, np.uint64), 1, SimpleNamespace(value=common))([rows])
+    assert merged.column("total").to_pylist() == [2 * int(sums.sum())]
+    order = lm.Order({0: merged.column("file")[0].as_py()}, 0, 4, [0] * 5, np.zeros(0, np.uint64), np.zeros((0, 4), np.int64))
+    model, at = lm.Model(order, [order], 1), np.zeros(5, np.int64)
+    assert model._find(order, at, lm._key(np.append(grams, np.array([[9, 9]], np.uint64), 0))).tolist() == [*(2 * sums).tolist(), 0]
+    assert model._find(order, at[:3], np.array([7, 8, 9], np.uint64), True)[:, 0].tolist() == [2 * int(sums[:3].sum()), 2 * int(sums[3]), 0]
+
+
 def test_warc(spark):
     rows = [(1, "http://www.B.example.com/x?q=1#f", "<p>é</p>"), (2, None, "<p>é</p>"), (3, "http://a.example.com/", None), (4, "not a url [", ""), (5, "http://a.example.com/", "z"), (5, "http://a.example.com/", "z"), (None, "http://c.example.com/\r\nx", "q")]
     pages = spark.createDataFrame([(*r, "x") for r in rows], "page_id bigint, url string, html string, digest string")
