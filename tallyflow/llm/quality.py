@@ -1,10 +1,10 @@
 """Quality rules with risk-controlled thresholds, in DataFrame functions only.
 
 Each rule compares one ratio of a text with a cutoff. Labelled good texts decide the cutoff of each stratum
-(language): a cutoff is certified if the exact binomial test rejects a false-rejection rate of ``RISK`` or
-more, P(Bin(n, RISK) <= k) <= ``DELTA`` / number of tests, where k of the n good texts would be rejected. The
-number of tests is strata * rules * cutoffs (Bonferroni), so with probability 1 - ``DELTA`` no rule rejects
-more than ``RISK`` of the good texts of any stratum. The strictest certified cutoff is used; a rule without
+(language): a cutoff is certified if the exact binomial test rejects a false-rejection rate of r = ``RISK`` /
+number of rules or more, P(Bin(n, r) <= k) <= ``DELTA`` / number of tests, where k of the n good texts would be
+rejected. The number of tests is strata * rules * cutoffs (Bonferroni), so with probability 1 - ``DELTA`` all
+rules together reject at most ``RISK`` of the good texts of any stratum that pass the base rule. The strictest certified cutoff is used; a rule without
 one is off in that stratum. Cutoffs are a fixed list, so nothing else is fitted on the labels.
 
 Null and empty texts have no words and fail the base rule. A null language is a stratum. A null label, and
@@ -112,7 +112,8 @@ def _log_tail(k: Column, n: Column, risk: float) -> Column:
 
 
 def thresholds(measured: DataFrame, labels: DataFrame, label_col: str = "quality", label_id: str = "doc_id", risk: float = RISK, delta: float = DELTA) -> DataFrame:
-    """One row per stratum with the certified cutoff of each rule, null where there is none."""
+    """One row per stratum with the certified cutoff of each rule, null where there is none; ``risk`` is that of all rules together."""
+    risk = risk / len(RULES)
     good = labels.where(F.col(label_col) == 1).select(F.col(label_id).alias("i"))
     held = measured.where("not base_failed").join(good, F.col("doc_id") == F.col("i"))
     cells = [(rule, c, F.sum((_ratio(rule) > c).cast("bigint"))) for rule in RULES for c in CUTOFFS]

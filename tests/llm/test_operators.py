@@ -157,6 +157,20 @@ def test_quality_counts_and_cutoffs(spark, docs):
         assert tail == pytest.approx(sum(comb(n, i) * 0.01**i * 0.99 ** (n - i) for i in range(k + 1)))
 
 
+def test_quality_risk_holds_for_all_rules_together(spark):
+    labels = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+
+    def cuts(each, of):  # every rule would reject ``each`` other good texts of ``of``
+        own = {part: F.when(F.floor(F.col("id") % of / each) == k, 6).otherwise(0).cast("bigint").alias(part) for k, (part, _) in enumerate(quality.RULES.values())}
+        whole = [F.lit(10).cast("bigint").alias(c) for c in {w for _, w in quality.RULES.values()}]
+        measured = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("en").alias("stratum"), F.lit(False).alias("base_failed"), *own.values(), *whole)
+        (row,) = quality.thresholds(measured, labels).collect()
+        return [row[f"cut_{r}"] for r in quality.RULES]
+
+    assert cuts(7, 1000) == [None] * 5  # 0.7 % by each rule is 3.5 % by all
+    assert cuts(5, 10_000) == [quality.CUTOFFS[0]] * 5  # 0.05 % by each
+
+
 def test_line_dedup(spark, docs):
     df = queries.QUERIES["op5_line_dedup"](spark, SF_DIR)
     assert difference(connect(), queries.SQL["op5_line_dedup"], df) is None
