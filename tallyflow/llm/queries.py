@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyflow.llm import bpe, decontaminate, jaccard_join, language, line_dedup, lm, quality, token_files, toxicity, warc
+from tallyflow.llm import bpe, decontaminate, jaccard_join, language, line_dedup, lm, quality, token_alignment, token_counts, token_files, toxicity, warc, word_runs
 
 
-def tokenizer() -> str:
-    """The tokenizer file of the queries."""
+def tokenizer(name: str = "word_bpe_49k.json") -> str:
+    """A tokenizer file of the queries."""
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,11 +60,23 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.spans(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")))
 
 
+def op11_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_runs.digest(word_runs.repeats(word_runs.planted(_table(spark, sf_dir, "documents"))))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.limited(_table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.Alignment(_table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model")).per_document()
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_jaccard_join, op2_bpe, op3_quality, op4_token_files, op5_line_dedup, op6_language, op7_toxicity, op8_language_model, op9_warc, op10_decontaminate, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_jaccard_join, op2_bpe, op3_quality, op4_token_files, op5_line_dedup, op6_language, op7_toxicity, op8_language_model, op9_warc, op10_decontaminate, op11_word_runs, op12_token_counts, op13_token_alignment, pipeline)}
 SQL: dict[str, str] = {"op5_line_dedup": line_dedup.SQL}
