@@ -21,8 +21,8 @@ long text is handled alone. Empty tables give empty results. Extra columns are n
 from __future__ import annotations
 
 import hashlib
+import json
 from dataclasses import dataclass
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +39,11 @@ from tallyflow.llm.tasks import map_arrow
 from tallyflow.sinks.scratch import stored
 
 HOT = 2000
-PIECE = 1 << 20
+PIECE = 1 << 19
+
+#: the pattern and the settings of byte-level files (fixed values of the format)
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
 
 INTS = T.ArrayType(T.IntegerType())
 TOKENS = T.StructType([T.StructField("key", T.BinaryType()), T.StructField("copies", T.LongType()), T.StructField("a", INTS), T.StructField("b", INTS)])
@@ -51,24 +55,68 @@ MEASURES = T.StructType([
 ])
 
 
-class Vocabularies:
-    """Bytes of each id of both files, and the pairs of ids that can be linked."""
+class Files:
+    """Two tokenizer files as they encode: ids of texts, and the bytes of each id.
+
+    The first is read by the tokenizers library. Where all its entries merge from their own bytes to one token
+    (``proved``), merging by the rank of the joined bytes does the same on every text: two tokens x, y that stand
+    for an entry t can only be neighbours if merging t alone comes to x, y, and then x, y is t's own pair. So
+    a byte-level file with the usual pattern is then merged by tiktoken, with the file's own entries as ranks.
+    """
 
-    def __init__(self, a_path: str, b_path: str):
+    def __init__(self, a_path: str, b_path: str, proved: bool | None = None):
         from sentencepiece import SentencePieceProcessor
         from tokenizers import Tokenizer
 
-        self.a_file, self.b_file = Tokenizer.from_file(a_path), SentencePieceProcessor(model_file=b_path)
-        self.a_file.encode_special_tokens = True
+        a_file, self.b_file = Tokenizer.from_file(a_path), SentencePieceProcessor(model_file=b_path)
+        a_file.encode_special_tokens = True
         byte = {c: n for n, c in enumerate(byte_letters())}
-        names = {i: t for t, i in self.a_file.get_vocab(with_added_tokens=True).items()}
-        added = set(self.a_file.get_added_tokens_decoder())
-        self.a = [names[i].encode() if i in added else bytes(byte[c] for c in names.get(i, "")) for i in range(1 + max(names))]
+        added = {t.content for t in a_file.get_added_tokens_decoder().values()}
+        vocab = a_file.get_vocab(with_added_tokens=True)
+        self.a = [b""] * (1 + max(vocab.values()))
+        for t, i in vocab.items():
+            self.a[i] = t.encode() if t in added else bytes(byte[c] for c in t)
         sp = self.b_file
         self.b = [bytes([int(t[3:5], 16)]) if sp.is_byte(i) else t.replace(BLANK, " ").encode() for i in range(sp.get_piece_size()) for t in [sp.id_to_piece(i)]]
-        self.a_size, self.b_size = (np.array(list(map(len, x)), np.int64) for x in (self.a, self.b))
+        if proved is None:
+            proved = self._proved(a_path, a_file, {t: i for t, i in vocab.items() if t not in added})
+        self.proved = proved
+        if proved:
+            from tiktoken import Encoding
+
+            ranks = {self.a[i]: i for t, i in vocab.items() if t not in added}
+            self._a_ids = Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        else:
+            self._a_ids = lambda text: a_file.encode(text, add_special_tokens=False).ids
+
+    @staticmethod
+    def _proved(path: str, file, vocab: dict[str, int]) -> bool:
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in spec["model"]["merges"]]
+        made = [vocab[a + b] for a, b in pairs]
+        plain = spec["normalizer"] is None and spec["pre_tokenizer"] | {"trim_offsets": True} == BYTE_LEVEL and not spec["model"].get("ignore_merges")
+        in_order = all(x < y for x, y in zip(made, made[1:])) and len(made) + 256 == len(vocab)
+        return plain and in_order and all([t.id for t in file.model.tokenize(name)] == [i] for name, i in vocab.items())
+
+    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        """Ids of each text by both files; both empty where one does not give back a blank and the text."""
+        a = [self._a_ids(" " + t) for t in texts]
+        b = self.b_file.encode(texts, num_threads=1)
+        for k, t in enumerate(texts):
+            want = (" " + t).encode()
+            if not t or b"".join(map(self.a.__getitem__, a[k])) != want or b"".join(map(self.b.__getitem__, b[k])) != want:
+                a[k] = b[k] = []
+        return a, b
+
+
+class Vocabularies:
+    """Sizes in bytes of all ids of both files, and the pairs of ids that can be linked."""
+
+    def __init__(self, a: list[bytes], b: list[bytes]):
+        self.a_size, self.b_size = (np.array(list(map(len, x)), np.int64) for x in (a, b))
         key = set()
-        for one, other, place in ((self.a, self.b, lambda i, j: i * len(self.b) + j), (self.b, self.a, lambda j, i: i * len(self.b) + j)):
+        for one, other, place in ((a, b, lambda i, j: i * len(b) + j), (b, a, lambda j, i: i * len(b) + j)):
             by_bytes: dict[bytes, list[int]] = {}
             for i, t in enumerate(other):
                 by_bytes.setdefault(t, []).append(i)
@@ -77,24 +125,10 @@ class Vocabularies:
                     key.update(place(i, j) for j in by_bytes.get(t[k:], ()))
         #: all pairs that can be linked, as a * (entries of b) + b
         self.pairs = np.array(sorted(key), np.int64)
-        self.marks = [s % i for i in range(len(self.a)) for s in (b"%d,", b"%d|")] + [s % i for i in range(len(self.b)) for s in (b"%d,", b"%d;")]
-
-    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of each text by both files; both empty where one does not give back a blank and the text."""
-        spaced = [" " + t for t in texts]
-        a = [e.ids for e in self.a_file.encode_batch_fast(spaced, add_special_tokens=False)]
-        b = self.b_file.encode(texts, num_threads=1)
-        for k, t in enumerate(spaced):
-            want = t.encode()
-            if not texts[k] or b"".join(map(self.a.__getitem__, a[k])) != want or b"".join(map(self.b.__getitem__, b[k])) != want:
-                a[k] = b[k] = []
-        return a, b
-
 
-@cache
-def vocabularies(a_path: str, b_path: str) -> Vocabularies:
-    """The files, read once in each worker."""
-    return Vocabularies(a_path, b_path)
+    def marks(self) -> list[bytes]:
+        """Each id as written within a group and at the end of its side, those of the first file first."""
+        return [s % i for i in range(len(self.a_size)) for s in (b"%d,", b"%d|")] + [s % i for i in range(len(self.b_size)) for s in (b"%d,", b"%d;")]
 
 
 @dataclass
@@ -114,22 +148,22 @@ class Aligned:
 
     def pairs(self, v: Vocabularies) -> np.ndarray:
         """The number of each link's pair, in text order."""
-        return np.searchsorted(v.pairs, self.a[self.a_last].astype(np.int64) * len(v.b) + self.b[self.b_last])
+        return np.searchsorted(v.pairs, self.a[self.a_last].astype(np.int64) * len(v.b_size) + self.b[self.b_last])
 
-    def written(self, v: Vocabularies) -> list[bytes]:
-        """Each text as ``a1,a2|b1;a3|b2,b3``."""
+    def written(self, marks: list[bytes], n_a: int) -> list[bytes]:
+        """Each text as ``a1,a2|b1;a3|b2,b3``; ``marks`` of a vocabulary whose first file has ``n_a`` ids."""
         a_end, b_end = np.append(0, np.flatnonzero(self.a_last) + 1), np.append(0, np.flatnonzero(self.b_last) + 1)
         a_group, b_group = np.cumsum(self.a_last) - self.a_last, np.cumsum(self.b_last) - self.b_last
-        marks = np.empty(len(self.a) + len(self.b), np.int64)
-        marks[np.arange(len(self.a)) + b_end[a_group]] = 2 * self.a + self.a_last
-        marks[np.arange(len(self.b)) + a_end[b_group + 1]] = 2 * (len(v.a) + self.b) + self.b_last
+        at = np.empty(len(self.a) + len(self.b), np.int32)
+        at[np.arange(len(self.a)) + b_end[a_group]] = 2 * self.a + self.a_last
+        at[np.arange(len(self.b)) + a_end[b_group + 1]] = 2 * (n_a + self.b) + self.b_last
         first = self.a_first + self.b_first
-        return [b"".join(map(v.marks.__getitem__, marks[lo:hi].tolist()))[:-1] for lo, hi in zip(first[:-1].tolist(), first[1:].tolist())]
+        return [b"".join(map(marks.__getitem__, at[lo:hi].tolist()))[:-1] for lo, hi in zip(first[:-1].tolist(), first[1:].tolist())]
 
 
 def aligned(v: Vocabularies, a: pa.Array, b: pa.Array) -> Aligned:
     """Groups of texts from their ids, which cover the same bytes on both sides."""
-    (a, a_first), (b, b_first) = ((x.values.to_numpy(zero_copy_only=False).astype(np.int64), x.offsets.to_numpy().astype(np.int64)) for x in (a, b))
+    (a, a_first), (b, b_first) = ((x.values.to_numpy(zero_copy_only=False), x.offsets.to_numpy().astype(np.int64)) for x in (a, b))
     a, b = a[a_first[0] : a_first[-1]], b[b_first[0] : b_first[-1]]
     a_end, b_end = np.cumsum(v.a_size[a]), np.cumsum(v.b_size[b])
     size = int(a_end[-1]) + 1 if len(a) else 1
@@ -138,30 +172,37 @@ def aligned(v: Vocabularies, a: pa.Array, b: pa.Array) -> Aligned:
     return Aligned(a, b, on_b[a_end], on_a[b_end], a_first - a_first[0], b_first - b_first[0])
 
 
-def _batches(batches, rows: int = 1 << 9):
+def _batches(batches, limit: int = 1 << 18):
+    """Batches cut so that their texts have at most ``limit`` ids of the first file together, or are one text."""
     for b in batches:
-        for at in range(0, b.num_rows, rows):
-            yield b.slice(at, rows)
+        first, at = b.column("a").offsets.to_numpy(), 0
+        while at < b.num_rows:
+            to = max(at + 1, int(np.searchsorted(first, first[at] + limit, side="right")) - 1)
+            yield b.slice(at, to - at)
+            at = to
 
 
 class Alignment:
     """Tokens, pair counts and measures of a table of documents."""
 
     def __init__(self, docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text"):
-        self.paths = a_path, b_path
+        files = Files(a_path, b_path)
+        self.paths, self.proved = (a_path, b_path), files.proved
+        self.vocabularies = Vocabularies(files.a, files.b)
         self.spark = docs.sparkSession
+        self._sent = self.spark.sparkContext.broadcast(self.vocabularies)
         self.docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
         self._tokens = self._pairs = None
 
     def distinct_tokens(self) -> DataFrame:
         """(key, copies, a, b) per distinct text that is not empty: its SHA-256, its rows, its ids by both files."""
         if self._tokens is None:
-            paths = self.paths
+            paths, proved = self.paths, self.proved
 
             def run(batches):
-                v, arrow = vocabularies(*paths), to_arrow_schema(TOKENS)
+                files, arrow = Files(*paths, proved), to_arrow_schema(TOKENS)
                 for piece in textops.pieces(batches, "text", PIECE):
-                    a, b = v.encode(piece.column("text").to_pylist())
+                    a, b = files.encode(piece.column("text").to_pylist())
                     yield record(arrow, piece.column("key"), piece.column("copies"), pa.array(a, pa.list_(pa.int32())), pa.array(b, pa.list_(pa.int32())))
 
             once = self.docs.where("text <> ''").groupBy("text").agg(F.count(F.lit(1)).alias("copies"))
@@ -170,10 +211,10 @@ class Alignment:
 
     def groups(self) -> DataFrame:
         """(key, groups) per distinct text: the ids of each group on both sides, in text order."""
-        paths = self.paths
+        sent = self._sent
 
         def run(batches):
-            v, arrow = vocabularies(*paths), to_arrow_schema(GROUPS)
+            v, arrow = sent.value, to_arrow_schema(GROUPS)
             ints = lambda ids, ends: pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(ids, pa.int32()))
             for piece in _batches(batches):
                 x = aligned(v, piece.column("a"), piece.column("b"))
@@ -184,10 +225,10 @@ class Alignment:
 
     def _pair_counts(self) -> DataFrame:
         if self._pairs is None:
-            paths = self.paths
+            sent = self._sent
 
             def run(batches):
-                v = vocabularies(*paths)
+                v = sent.value
                 total = np.zeros(len(v.pairs), np.int64)
                 for piece in _batches(batches):
                     x = aligned(v, piece.column("a"), piece.column("b"))
@@ -205,29 +246,28 @@ class Alignment:
 
     def pair_counts(self) -> DataFrame:
         """(a, b, n): how many links of all documents hold a pair of ids linked."""
-        pairs = vocabularies(*self.paths).pairs
-        n_b = len(vocabularies(*self.paths).b)
+        pairs, n_b = self.vocabularies.pairs, len(self.vocabularies.b_size)
         names = self.spark.createDataFrame(pa.table({"pair": pa.array(np.arange(len(pairs)), pa.int32()), "a": pa.array(pairs // n_b, pa.int32()), "b": pa.array(pairs % n_b, pa.int32())}))
         return self._pair_counts().join(F.broadcast(names), "pair").select("a", "b", "n")
 
     def measures(self) -> DataFrame:
         """(key, copies, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256) per distinct text."""
-        paths, v = self.paths, vocabularies(*self.paths)
+        sent, v = self._sent, self.vocabularies
         counted = self._pair_counts().toArrow()  # at most one row per pair of the vocabularies
         n = np.zeros(len(v.pairs), np.int64)
         n[counted["pair"].to_numpy()] = counted["n"].to_numpy()
-        highest = np.zeros(len(v.b), np.int64)
-        np.maximum.at(highest, v.pairs % len(v.b), n)
-        known = self.spark.sparkContext.broadcast((n, n == highest[v.pairs % len(v.b)]))
+        b, highest = v.pairs % len(v.b_size), np.zeros(len(v.b_size), np.int64)
+        np.maximum.at(highest, b, n)
+        known = self.spark.sparkContext.broadcast((n, n == highest[b]))
 
         def run(batches):
-            v, arrow = vocabularies(*paths), to_arrow_schema(MEASURES)
-            n, best = known.value
+            v, arrow = sent.value, to_arrow_schema(MEASURES)
+            (n, best), marks = known.value, v.marks()
             for piece in _batches(batches):
                 x = aligned(v, piece.column("a"), piece.column("b"))
                 pair, first = x.pairs(v), x.groups()
                 sums = lambda values: np.diff(np.append(0, np.cumsum(values))[first])
-                digests = [hashlib.sha256(t).hexdigest() if t else "" for t in x.written(v)]
+                digests = [hashlib.sha256(t).hexdigest() if t else "" for t in x.written(marks, len(v.a_size))]
                 links = np.diff(first)
                 yield record(arrow, piece.column("key"), piece.column("copies"), np.diff(x.a_first), np.diff(x.b_first), links, links, sums(best[pair].astype(np.int64)), sums(n[pair]), digests)
 

@@ -10,6 +10,7 @@ from fractions import Fraction
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from tallyflow.llm import queries, token_alignment, token_counts, word_runs
 from tallyflow.llm.pieces import Pieces
@@ -166,9 +167,9 @@ def test_token_counts_of_the_table(spark):
         assert (got[r.doc_id].n_bytes, got[r.doc_id].n_tokens) == (len((r.text or "").encode()), len(sp.encode(r.text or "")))
 
 
-def groups_of(v, text):
+def groups_of(v, library, text):
     """Groups of one text, by walking over the ends of its tokens."""
-    a, b = ([], []) if not text else (v.a_file.encode(" " + text, add_special_tokens=False).ids, v.b_file.encode(text))
+    a, b = ([], []) if not text else (library.encode(" " + text, add_special_tokens=False).ids, v.b_file.encode(text))
     want = (" " + (text or "")).encode()
     if b"".join(v.a[i] for i in a) != want or b"".join(v.b[i] for i in b) != want:
         return []
@@ -192,9 +193,11 @@ def groups_of(v, text):
 @pytest.mark.parametrize("hot", [token_alignment.HOT, 3])
 def test_alignment(spark, docs, monkeypatch, hot):
     monkeypatch.setattr(token_alignment, "HOT", hot)
-    v = token_alignment.vocabularies(BYTES, PIECES)
+    v = token_alignment.Files(BYTES, PIECES)
+    library = Tokenizer.from_file(BYTES)
+    library.encode_special_tokens = True
     rows = docs.select("doc_id", "text").collect()
-    groups = {r.text: groups_of(v, r.text) for r in rows}
+    groups = {r.text: groups_of(v, library, r.text) for r in rows}
     count = collections.Counter((a[-1], b[-1]) for r in rows for a, b in groups[r.text])
     highest = collections.Counter()
     for (_, b), n in count.items():
@@ -219,7 +222,24 @@ def test_alignment(spark, docs, monkeypatch, hot):
 
 
 def test_pairs_that_can_be_linked_are_bounded_by_the_files():
-    v = token_alignment.vocabularies(BYTES, PIECES)
-    assert 0 < len(v.pairs) <= sum(map(len, v.a)) + sum(map(len, v.b))
-    a, b = v.pairs // len(v.b), v.pairs % len(v.b)
-    assert all(v.a[i].endswith(v.b[j]) or v.b[j].endswith(v.a[i]) for i, j in zip(a[::97].tolist(), b[::97].tolist()))
+    f = token_alignment.Files(BYTES, PIECES)
+    v = token_alignment.Vocabularies(f.a, f.b)
+    assert 0 < len(v.pairs) <= sum(map(len, f.a)) + sum(map(len, f.b))
+    a, b = v.pairs // len(f.b), v.pairs % len(f.b)
+    assert all(f.a[i].endswith(f.b[j]) or f.b[j].endswith(f.a[i]) for i, j in zip(a[::97].tolist(), b[::97].tolist()))
+
+
+def test_merging_by_ranks_is_the_library():
+    """On characters of every kind; and a file with an entry that its own merges do not reach is not proved."""
+    files, library = token_alignment.Files(BYTES, PIECES), Tokenizer.from_file(BYTES)
+    library.encode_special_tokens = True
+    assert files.proved
+    points = [c for c in range(0, 0x110000, 23) if not 0xD800 <= c < 0xE000]
+    texts = [f"a{c}b {c}1{c} {c}{c}! '{c}  {c} " for c in map(chr, points)]
+    for t, e in zip(texts, library.encode_batch([" " + t for t in texts], add_special_tokens=False)):
+        assert files._a_ids(" " + t) == e.ids, repr(t)
+    vocab = {t: i for t, i in library.get_vocab(with_added_tokens=False).items() if i < 50256}
+    assert files._proved(BYTES, library, vocab)
+    assert not files._proved(BYTES, library, vocab | {"Ġthequick": vocab["Ġthe"]})
+    slow = token_alignment.Files(BYTES, PIECES, proved=False)
+    assert slow.encode(texts[:300]) == files.encode(texts[:300])
