@@ -39,7 +39,7 @@ from tallyflow.llm.tasks import map_arrow
 from tallyflow.sinks.scratch import stored
 
 HOT = 2000
-PIECE = 1 << 19
+PIECE = 1 << 18
 
 #: the pattern and the settings of byte-level files (fixed values of the format)
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -85,9 +85,10 @@ class Files:
             from tiktoken import Encoding
 
             ranks = {self.a[i]: i for t, i in vocab.items() if t not in added}
-            self._a_ids = Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+            encoding = Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+            self._a_ids = lambda text: encoding.encode_to_numpy(text, disallowed_special=())
         else:
-            self._a_ids = lambda text: a_file.encode(text, add_special_tokens=False).ids
+            self._a_ids = lambda text: np.array(a_file.encode(text, add_special_tokens=False).ids, np.uint32)
 
     @staticmethod
     def _proved(path: str, file, vocab: dict[str, int]) -> bool:
@@ -99,15 +100,36 @@ class Files:
         in_order = all(x < y for x, y in zip(made, made[1:])) and len(made) + 256 == len(vocab)
         return plain and in_order and all([t.id for t in file.model.tokenize(name)] == [i] for name, i in vocab.items())
 
-    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+    def encode(self, texts: list[str]) -> tuple[pa.ListArray, pa.ListArray]:
         """Ids of each text by both files; both empty where one does not give back a blank and the text."""
-        a = [self._a_ids(" " + t) for t in texts]
-        b = self.b_file.encode(texts, num_threads=1)
-        for k, t in enumerate(texts):
-            want = (" " + t).encode()
-            if not t or b"".join(map(self.a.__getitem__, a[k])) != want or b"".join(map(self.b.__getitem__, b[k])) != want:
-                a[k] = b[k] = []
-        return a, b
+        spaced = [(" " + t) if t else "" for t in texts]
+        each = [self._a_ids(t) for t in spaced]
+        a, a_first = np.concatenate([*each, np.zeros(0, np.uint32)]).astype(np.int32), np.cumsum([0, *map(len, each)])
+        found = pa.array(self.b_file.encode(texts, num_threads=1), pa.list_(pa.int32()))
+        b, b_first = found.values.to_numpy(), found.offsets.to_numpy()
+        raw = [t.encode() for t in spaced]
+        want, first = np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])
+        good = _gives(self.a, a, a_first, want, first) & _gives(self.b, b, b_first, want, first)
+        return tuple(_kept(x, at, good) for x, at in ((a, a_first), (b, b_first)))
+
+
+def _gives(entries: list[bytes], ids: np.ndarray, at: np.ndarray, want: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Whether the bytes of each text's ids are the bytes wanted of it."""
+    size, flat = np.array(list(map(len, entries)), np.int64), np.frombuffer(b"".join(entries), np.uint8)
+    start, own = np.cumsum(size) - size, size[ids]
+    end = np.append(0, np.cumsum(own))
+    same = np.diff(end[at]) == np.diff(first)
+    if same.all():
+        got = flat[np.arange(end[-1]) - np.repeat(end[:-1] - start[ids], own)]
+        return np.diff(np.append(0, np.cumsum(got != want))[first]) == 0
+    for k in np.flatnonzero(same):
+        same[k] = b"".join(map(entries.__getitem__, ids[at[k] : at[k + 1]].tolist())) == want[first[k] : first[k + 1]].tobytes()
+    return same
+
+
+def _kept(ids: np.ndarray, at: np.ndarray, good: np.ndarray) -> pa.ListArray:
+    n = np.diff(at)
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n * good)), pa.int32()), pa.array(ids[np.repeat(good, n)], pa.int32()))
 
 
 class Vocabularies:
@@ -125,10 +147,38 @@ class Vocabularies:
                     key.update(place(i, j) for j in by_bytes.get(t[k:], ()))
         #: all pairs that can be linked, as a * (entries of b) + b
         self.pairs = np.array(sorted(key), np.int64)
-
-    def marks(self) -> list[bytes]:
-        """Each id as written within a group and at the end of its side, those of the first file first."""
-        return [s % i for i in range(len(self.a_size)) for s in (b"%d,", b"%d|")] + [s % i for i in range(len(self.b_size)) for s in (b"%d,", b"%d;")]
+        # and where each is, by its hash, or in one of the places behind that
+        bits = max(4, int(8 * len(self.pairs)).bit_length())
+        self._shift, self._mask = np.uint64(64 - bits), (1 << bits) - 1
+        self._key, self._number = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int32)
+        todo, place = np.arange(len(self.pairs)), self._place(self.pairs)
+        while len(todo):
+            free = todo[self._key[place[todo]] < 0]
+            put = free[np.unique(place[free], return_index=True)[1]]
+            self._key[place[put]], self._number[place[put]] = self.pairs[put], put
+            todo = np.setdiff1d(todo, put, assume_unique=True)
+            place[todo] = place[todo] + 1 & self._mask
+
+    def _place(self, key: np.ndarray) -> np.ndarray:
+        return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self._shift).astype(np.int64)
+
+    def number(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The number of each pair of ids, all of which can be linked."""
+        key = a.astype(np.int64) * len(self.b_size) + b
+        place = self._place(key)
+        out = self._number[place]
+        todo = np.flatnonzero(self._key[place] != key)
+        while len(todo):
+            place[todo] = place[todo] + 1 & self._mask
+            out[todo] = self._number[place[todo]]
+            todo = todo[self._key[place[todo]] != key[todo]]
+        return out
+
+    def marks(self) -> np.ndarray:
+        """Each id as written within a group and at the end of its side, those of the first file first; filled up with zeros."""
+        own = [s % i for i in range(len(self.a_size)) for s in (b"%d,", b"%d|")] + [s % i for i in range(len(self.b_size)) for s in (b"%d,", b"%d;")]
+        wide = np.array(own)
+        return wide.view(np.uint8).reshape(len(own), -1)
 
 
 @dataclass
@@ -148,17 +198,20 @@ class Aligned:
 
     def pairs(self, v: Vocabularies) -> np.ndarray:
         """The number of each link's pair, in text order."""
-        return np.searchsorted(v.pairs, self.a[self.a_last].astype(np.int64) * len(v.b_size) + self.b[self.b_last])
+        return v.number(self.a[self.a_last], self.b[self.b_last])
 
-    def written(self, marks: list[bytes], n_a: int) -> list[bytes]:
+    def written(self, marks: np.ndarray, n_a: int) -> list[bytes]:
         """Each text as ``a1,a2|b1;a3|b2,b3``; ``marks`` of a vocabulary whose first file has ``n_a`` ids."""
         a_end, b_end = np.append(0, np.flatnonzero(self.a_last) + 1), np.append(0, np.flatnonzero(self.b_last) + 1)
         a_group, b_group = np.cumsum(self.a_last) - self.a_last, np.cumsum(self.b_last) - self.b_last
         at = np.empty(len(self.a) + len(self.b), np.int32)
         at[np.arange(len(self.a)) + b_end[a_group]] = 2 * self.a + self.a_last
         at[np.arange(len(self.b)) + a_end[b_group + 1]] = 2 * (n_a + self.b) + self.b_last
-        first = self.a_first + self.b_first
-        return [b"".join(map(marks.__getitem__, at[lo:hi].tolist()))[:-1] for lo, hi in zip(first[:-1].tolist(), first[1:].tolist())]
+        text = marks[at]
+        used = text != 0
+        first = np.append(0, np.cumsum(used.sum(1)))[self.a_first + self.b_first].tolist()
+        raw = text[used].tobytes()
+        return [raw[lo : max(lo, hi - 1)] for lo, hi in zip(first[:-1], first[1:])]
 
 
 def aligned(v: Vocabularies, a: pa.Array, b: pa.Array) -> Aligned:
@@ -172,7 +225,7 @@ def aligned(v: Vocabularies, a: pa.Array, b: pa.Array) -> Aligned:
     return Aligned(a, b, on_b[a_end], on_a[b_end], a_first - a_first[0], b_first - b_first[0])
 
 
-def _batches(batches, limit: int = 1 << 18):
+def _batches(batches, limit: int = 1 << 17):
     """Batches cut so that their texts have at most ``limit`` ids of the first file together, or are one text."""
     for b in batches:
         first, at = b.column("a").offsets.to_numpy(), 0
@@ -203,7 +256,7 @@ class Alignment:
                 files, arrow = Files(*paths, proved), to_arrow_schema(TOKENS)
                 for piece in textops.pieces(batches, "text", PIECE):
                     a, b = files.encode(piece.column("text").to_pylist())
-                    yield record(arrow, piece.column("key"), piece.column("copies"), pa.array(a, pa.list_(pa.int32())), pa.array(b, pa.list_(pa.int32())))
+                    yield record(arrow, piece.column("key"), piece.column("copies"), a, b)
 
             once = self.docs.where("text <> ''").groupBy("text").agg(F.count(F.lit(1)).alias("copies"))
             self._tokens = stored(map_arrow(once.select(F.unhex(F.sha2("text", 256)).alias("key"), "copies", "text"), run, TOKENS), "distinct-tokens")
@@ -232,11 +285,10 @@ class Alignment:
                 total = np.zeros(len(v.pairs), np.int64)
                 for piece in _batches(batches):
                     x = aligned(v, piece.column("a"), piece.column("b"))
-                    copies = np.repeat(piece.column("copies").to_numpy(), np.diff(x.groups()))
-                    own, at = np.unique(x.pairs(v), return_inverse=True)
-                    sums = np.zeros(len(own), np.int64)
-                    np.add.at(sums, at, copies)
-                    total[own] += sums
+                    copies, pair = np.repeat(piece.column("copies").to_numpy(), np.diff(x.groups())), x.pairs(v)
+                    many = copies > 1
+                    total += np.bincount(pair[~many], minlength=len(total))
+                    np.add.at(total, pair[many], copies[many])
                 used = np.flatnonzero(total)
                 yield record(to_arrow_schema(PAIR_COUNTS), used, total[used])
 
