@@ -180,7 +180,7 @@ def semi_sdk_large_list(spark, sf):
 
 @query("semi_sdk_many_matches", with_views(f"SELECT * FROM rows_h5 WHERE qid IN {_SDK}", h5_rows()))
 def semi_sdk_many_matches(spark, sf):
-    """Too many channels of the list occur in the log as well: a shuffled join by salted keys."""
+    """Too many channels of the list occur in the log as well: hot ones are broadcast, rows that pass a Bloom filter shuffled."""
     return rollups.sdk_rows(_clean_h5(spark, sf), derived.sdk_list(spark, sf), list_rows=0, matched_rows=0)
 
 

@@ -34,6 +34,8 @@ APP_METRICS = _schema(
     "incr_pv bigint, incr_uv bigint, incr_ip bigint, currenttime string"
 )
 
+SLOT_COUNTS = _schema("dt string, upto bigint, qid string, pv bigint, uv bigint")
+
 H5_KEYS = ["dt", "currenttime", "qid"]
 APP_KEYS = ["dt", "logtime", "apptypeid", "qid", "currenttime"]
 # partition columns of a metrics table: the day and the tick

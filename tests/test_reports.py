@@ -75,7 +75,8 @@ def test_large_channel_list_gives_the_same(spark, random_log):
         for join in (rollups.sdk_rows, rollups.flag_sdk):
             small, large, shuffled = join(rows, sdk), join(rows, sdk, list_rows=0), join(rows, sdk, list_rows=0, matched_rows=0)
             assert "BroadcastHashJoin" in plan_of(small) and "BroadcastHashJoin" in plan_of(large)
-            assert "ShuffledHashJoin" in plan_of(shuffled) and "BroadcastHashJoin" not in plan_of(shuffled)
+            # only rows that pass the filter are shuffled; the hot channels alone are broadcast
+            assert "ShuffledHashJoin" in plan_of(shuffled) and "getbit" in plan_of(shuffled) and "Subquery" in plan_of(shuffled)
             assert small.columns == large.columns == shuffled.columns and small.count() > 0
             for other in (large, shuffled):
                 assert small.exceptAll(other).isEmpty() and other.exceptAll(small).isEmpty()
@@ -83,14 +84,34 @@ def test_large_channel_list_gives_the_same(spark, random_log):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_rows_of_one_channel_spread_over_the_salts(spark):
-    """Visitors of one channel do not meet in one reducer, and a row's salt does not depend on its place."""
-    hot = spark.range(0, 6400, 1, 4).selectExpr("1 AS dateline", "'ip' AS clientip", "'click_1' AS qid", "concat('u', id) AS uid")
-    channels = spark.createDataFrame([("click_1",)], schema.SDK_LIST)
-    salted, again = rollups._spread(hot, channels)[0], rollups._spread(hot.repartition(3, "uid"), channels)[0]
-    counts = [r["count"] for r in salted.groupBy("salt").count().collect()]
-    assert len(counts) == rollups.SALTS and max(counts) < 2 * 6400 // rollups.SALTS
-    assert salted.exceptAll(again).isEmpty()
+def test_bloom_filter_drops_no_listed_channel(spark):
+    channels = spark.range(3000).select(F.concat(F.lit("c"), "id").alias("h5qid"))
+    others = spark.range(20_000).select(F.concat(F.lit("d"), "id").alias("qid"))
+    for max_bits, most in ((rollups.MAX_BLOOM_BITS, 0.05), (1 << 12, 1.0)):
+        bits, size = rollups.bloom_filter(channels, 3000, max_bits)
+        might = rollups.might_be_listed(F.col("qid"), bits, size)
+        assert channels.select(F.col("h5qid").alias("qid")).where(might).count() == 3000
+        assert others.where(might).count() <= most * 20_000
+        assert len(bits.first().words) == size // 64 <= max_bits // 64
+    none = spark.createDataFrame([(None,)], "qid string")
+    assert none.where(might).isEmpty() and none.where(~might).count() == 1
+
+
+def test_filtered_list_shuffles_no_hot_channel_and_few_other_rows(spark):
+    """Half of the rows are on a listed channel, a third on another one; of the rest one in ten is listed."""
+    rows = spark.range(0, 60_000, 1, 4).selectExpr(
+        "1 AS dateline", "CASE WHEN id % 6 < 3 THEN 'hot' WHEN id % 6 < 5 THEN 'cold' WHEN id % 60 = 5 THEN concat('c', id % 2000) "
+        "ELSE concat('x', id) END AS qid", "concat('u', id) AS uid")
+    sdk = spark.range(2000).selectExpr("concat('c', id) AS h5qid").union(spark.createDataFrame([("hot",), ("hot",), (None,)], "h5qid string"))
+    plan = rollups._plan(rows, rollups.channel_list(sdk), 0, 0)
+    assert isinstance(plan, rollups.Filtered)
+    assert sorted(map(tuple, plan.hot.collect())) == [("cold", False), ("hot", True)]
+    sent = rollups.candidates(rows, plan)
+    assert sent.where("qid in ('hot', 'cold')").isEmpty()
+    assert 1000 <= sent.count() < 1500  # of 60,000
+    flagged = rollups.flag_sdk(rows, sdk, 0, 0)
+    assert flagged.count() == 60_000 and flagged.where("in_sdk").count() == 31_000 == rollups.sdk_rows(rows, sdk, 0, 0).count()
+    assert flagged.where("in_sdk <> (qid = 'hot' or qid like 'c%' and qid <> 'cold')").isEmpty()
 
 
 def test_broadcast_limits(spark):
