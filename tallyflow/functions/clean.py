@@ -155,17 +155,20 @@ def is_integer(c: Column) -> Column:
 def regex_group(c: Column, pattern: str | None, index: int) -> Column:
     """Group ``index`` of the first match starting at character ``index`` or later.
 
-    Null or empty text gives null, as does no match. A null or empty pattern is returned as it is.
-    Text shorter than the start position, or a group the pattern lacks, is an error. A group that
-    exists but takes no part in the match gives an empty string.
+    Null or empty text gives null, as does no match, and a group that exists but takes no part in the match. A
+    null or empty pattern is returned as it is. Text shorter than the start position, or a group the pattern
+    lacks, is an error.
     """
     if not pattern:
         text_only = F.lit(pattern).cast("string")
         return F.when(c.isNull() | (c == ""), F.lit(None).cast("string")).otherwise(text_only)
     full = pattern if index == 0 else rf"^(?s:.{{{index},}}?)(?:{pattern})"
+    # a look-ahead keeps its groups, and a reference to one that took no part fails
+    took_part = F.lit(True) if index == 0 else c.rlike(rf"^(?=(?s:.{{{index},}}?)(?:{pattern}))(?s:.*?)\{index}")
     too_short = F.raise_error(F.lit(f"text is shorter than start position {index}")).cast("string")
+    group = F.regexp_extract(c, full, index)
     return (
         F.when(c.isNull() | (c == ""), F.lit(None).cast("string"))
         .when(F.length(c) < index, too_short)
-        .when(c.rlike(full), F.regexp_extract(c, full, index))
+        .when(c.rlike(full), F.when(group.isNull() | took_part, group))
     )

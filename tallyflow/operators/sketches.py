@@ -9,7 +9,7 @@ log. Sketches merge on the map side like sums, so hot groups need no care.
 here, sketches list them and the count is exact but for collisions of 26-bit hashes. A sketch takes at most
 2 ** lg bytes.
 
-A null member is one member.
+A null member is one member; sketches would leave out nulls and empty texts, so members are stored behind a sign.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -25,7 +25,7 @@ def relative_error(lg: int = LG) -> float:
 
 def slot_sketches(rows: DataFrame, keys: list[str], members: dict[str, Column], lg: int = LG) -> DataFrame:
     """(dt, slot, keys, dim, n, sketch): rows and members of each slot; ``members`` maps a dim to the column with its members."""
-    spread = rows.select("dt", "slot", *keys, *[F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit("")).alias(d) for d, c in members.items()])
+    spread = rows.select("dt", "slot", *keys, *[F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit("-")).alias(d) for d, c in members.items()])
     spread = spread.unpivot(["dt", "slot", *keys], list(members), "dim", "member")
     return spread.groupBy("dt", "slot", *keys, "dim").agg(F.count("*").alias("n"), F.hll_sketch_agg("member", F.lit(lg)).alias("sketch"))
 

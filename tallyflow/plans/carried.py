@@ -85,8 +85,10 @@ class DaySoFar:
 
     def forget(self, dt: str) -> None:
         """Drop a day's state."""
-        for table in (self.counts, self.members):
-            self.spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (dt = '{dt}')")
+        if ticks := self.finished(dt):
+            slices = ", ".join(f"PARTITION (dt = '{dt}', upto = {t})" for t in ticks)
+            self.spark.sql(f"ALTER TABLE {self.counts} DROP IF EXISTS {slices}")
+        self.spark.sql(f"ALTER TABLE {self.members} DROP IF EXISTS PARTITION (dt = '{dt}')")
 
     def compact(self, dt: str) -> None:
         """Each member of a day once, one file a bucket."""

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyflow.functions.timing import ReportWindow
-from tallyflow.plans import backfill, reports
+from tallyflow.plans import backfill, carried, reports
 from tallyflow.sinks import tables
 from tallyflow.sinks.tables import APP, H5, MetricsTable
 
@@ -25,6 +25,29 @@ def run_h5_full(
     return _replace(spark, reports.h5_full_report(log, active_log, sdk, window), H5, window, staging, final)
 
 
+def run_h5_full_carried(
+    spark: SparkSession, name: str, log: DataFrame, active_log: DataFrame, sdk: DataFrame, window: ReportWindow, staging: str, final: str
+) -> int:
+    """As ``run_h5_full``, counted on from the last tick; the day's state is in tables of the given name."""
+    state = carried.DaySoFar(spark, name)
+    state.create()
+    return _replace(spark, carried.h5_full_report(state, log, active_log, sdk, window), H5, window, staging, final)
+
+
+def run_app_carried(spark: SparkSession, name: str, log: DataFrame, window: ReportWindow, staging: str, final: str) -> int:
+    state = carried.DaySoFar(spark, name, carried.APP_KEYS)
+    state.create()
+    return _replace(spark, carried.app_report(state, log, window), APP, window, staging, final)
+
+
+def run_sliced_day(log: DataFrame, window: ReportWindow, out: str) -> int:
+    """Visitors over the complete slices of the day, in a folder of the day and tick, in place of what is there."""
+    report = reports.sliced_day_report(log, window.dt, window.low, window.up)
+    path = f"{out}/dt={window.dt}/now={window.up}"
+    report.write.mode("overwrite").parquet(path)
+    return report.sparkSession.read.schema(report.schema).parquet(path).count()
+
+
 def run_mini_program(
     spark: SparkSession, log: DataFrame, active_log: DataFrame, window: ReportWindow, staging: str, final: str
 ) -> int:
@@ -33,6 +56,11 @@ def run_mini_program(
     return tables.publish(spark, staging, final, H5, window.dt, window.up)
 
 
+def run_older_loader(report: DataFrame, final: str, window: ReportWindow) -> int:
+    """A report straight into its slice of the final table, in place of what is there, with quotes stripped from channels."""
+    return tables.overwrite_slice(tables.strip_quotes(report), final, H5, window.dt, window.up)
+
+
 def run_app(spark: SparkSession, log: DataFrame, window: ReportWindow, staging: str, final: str) -> int:
     return _replace(spark, reports.app_report(log, window), APP, window, staging, final)
 

@@ -1,4 +1,4 @@
-from tallyflow.registry import aggregates, reports, scans, stores
+from tallyflow.registry import aggregates, reports, scans, stateful, stores
 from tallyflow.registry.base import Entry
 
-ALL: dict[str, Entry] = {**scans.REGISTRY, **aggregates.REGISTRY, **reports.REGISTRY, **stores.REGISTRY}
+ALL: dict[str, Entry] = {**scans.REGISTRY, **aggregates.REGISTRY, **reports.REGISTRY, **stores.REGISTRY, **stateful.REGISTRY}

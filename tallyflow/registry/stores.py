@@ -17,7 +17,7 @@ from tallyflow.sources import derived, logs
 
 REGISTRY = Registry()
 query = REGISTRY.query
-DAYS = ["20240114", "20240115"]
+DAYS = ["20240114", "20240115", "20240116"]
 
 
 # ---- reports at other ticks ---------------------------------------------------------------------
@@ -57,7 +57,7 @@ def _stored_log(log, path, columns):
 
 
 @query("log_partition_insert", with_views(
-    f"SELECT {', '.join(f.name for f in schema.H5_LOG)} FROM h5_log WHERE dt IN ('20240114', '20240115')"))
+    f"SELECT {', '.join(f.name for f in schema.H5_LOG)} FROM h5_log"))
 def log_partition_insert(spark, sf):
     return _stored_log(derived.h5_log(spark, sf), tables.scratch_path(spark, "h5_log"), schema.H5_LOG)
 

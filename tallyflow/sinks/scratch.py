@@ -13,6 +13,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def scratch_table(spark: SparkSession, label: str) -> str:
+    """A new table name in the current database."""
+    return f"{label}_{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written as Parquet and read again: cuts the lineage and survives lost executors."""
     spark = df.sparkSession

@@ -8,6 +8,7 @@ partitions and the range reaches the file source.
 A null channel becomes ``null`` before the charset filter, in every scan.
 """
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,13 +25,28 @@ def read_log(spark: SparkSession, name: str, schema: T.StructType, days: list[st
     """A log by table name, or by path when the name has a slash.
 
     The schema keeps ``dt`` a string where it is a folder name and would be read as a number. With
-    ``days``, only the folders of those days are listed; each has to exist.
+    ``days``, only the folders of those days are listed; a day without a folder is an empty one, but a log that is
+    not there at all is an error.
     """
-    if "/" in name:
-        if days is not None:
-            return spark.read.schema(schema).option("basePath", name).parquet(*[f"{name}/dt={d}" for d in days])
+    if "/" not in name:
+        return spark.table(name).select([f.name for f in schema])
+    if days is None:
         return spark.read.schema(schema).parquet(name)
-    return spark.table(name).select([f.name for f in schema])
+    there = [d for d in days if _is_there(spark, f"{name}/dt={d}", schema)]
+    if there:
+        return spark.read.schema(schema).option("basePath", name).parquet(*[f"{name}/dt={d}" for d in there])
+    spark.read.schema(schema).parquet(name)  # an error if there is no log
+    return spark.createDataFrame([], schema)
+
+
+def _is_there(spark: SparkSession, path: str, schema: T.StructType) -> bool:
+    try:
+        spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
 
 
 def in_window(log: DataFrame, window: ReportWindow) -> DataFrame:
