@@ -9,11 +9,13 @@ Texts are encoded once; the ids are stored as integers, counted over all documen
 the document id and coded. Only the counts (one per vocabulary entry) and one total per part reach the driver.
 
 Null and empty texts have only the end id. A null id sorts first. Rows of equal ids follow each other in the
-order of their ids' bytes. An empty table gives empty blocks. Extra columns are not read.
+order of their ids' bytes. An empty table gives empty blocks. Extra columns are not read. Ids are whole numbers.
 """
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -35,6 +37,8 @@ BLOCK = 1 << 16
 #: bytes of stored ids in a part, on average
 PART_BYTES = 16 << 20
 PIECE = 2 << 20
+#: bytes of pre-tokens and their ids that a task remembers
+HELD_BYTES = 96 << 20
 
 IDS = T.StructType([T.StructField("id", T.LongType()), T.StructField("n", T.LongType()), T.StructField("ids", T.BinaryType())])
 COUNTS = T.StructType([T.StructField("token", T.LongType()), T.StructField("n", T.LongType())])
@@ -45,20 +49,37 @@ BLOCKS = T.StructType([
 DOCS = T.StructType([T.StructField("id", T.LongType()), T.StructField("part", T.IntegerType()), T.StructField("start", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())])
 
 
-def _library_ids(tokenizer, texts: pa.Array, specials: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all texts; the library's model encodes each distinct pre-token once."""
-    p = pretokens(texts, specials)
-    if not len(p.hash):
-        return np.zeros(0, np.int64), np.zeros(len(texts) + 1, np.int64)
-    hash = np.where(p.special < 0, p.hash, p.special.astype(np.uint64))
-    _, at, word = np.unique(hash, return_index=True, return_inverse=True)
-    letter_of = dict(enumerate(byte_letters()))
-    model, tokens, bounds = tokenizer.model, [], [0]
-    raw = p.data.tobytes()
-    for lo, hi, special in zip(p.start[at].tolist(), p.end[at].tolist(), p.special[at].tolist()):
-        tokens += [special] if special >= 0 else [t.id for t in model.tokenize(raw[lo:hi].decode("latin-1").translate(letter_of))]
-        bounds.append(len(tokens))
-    return gather(p, np.array(tokens, np.int64), np.array(bounds), word.ravel(), len(texts))
+class LibraryIds:
+    """Ids of texts; the library's model encodes each distinct pre-token once for each time a task's table of them starts."""
+
+    def __init__(self, tokenizer):
+        self.model, self.specials = tokenizer.model, {t.content: i for i, t in tokenizer.get_added_tokens_decoder().items()}
+        self.letters = dict(enumerate(byte_letters()))
+        self.held: dict[int, list[int]] = {}
+        self.size = 0
+
+    def _ids(self, word: bytes) -> list[int]:
+        return [t.id for t in self.model.tokenize(word.decode("latin-1").translate(self.letters))]
+
+    def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, and where each text's begin."""
+        p = pretokens(texts, self.specials)
+        if not len(p.hash):
+            return np.zeros(0, np.int64), np.zeros(len(texts) + 1, np.int64)
+        hash = np.where(p.special < 0, p.hash, p.special.astype(np.uint64))
+        own, at, word = np.unique(hash, return_index=True, return_inverse=True)
+        if self.size > HELD_BYTES:  # bounds memory, changes no id
+            self.held, self.size = {}, 0
+        raw, held = p.data.tobytes(), self.held
+        found = list(map(held.get, own.tolist()))
+        new = [k for k, ids in enumerate(found) if ids is None]
+        lo, hi, special = (x[at[new]].tolist() for x in (p.start, p.end, p.special))
+        for k, key, a, b, s in zip(new, own[new].tolist(), lo, hi, special):
+            found[k] = held[key] = [s] if s >= 0 else self._ids(raw[a:b])
+            self.size += 150 + 8 * (b - a)
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        tokens = np.fromiter(chain.from_iterable(found), np.int64, int(sizes.sum()))
+        return gather(p, tokens, np.append(0, np.cumsum(sizes)), word.ravel(), len(texts))
 
 
 def width(path: str) -> str:
@@ -77,11 +98,9 @@ def token_ids(docs: DataFrame, path: str, kind: str, id_col: str = "doc_id", tex
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-        specials = {t.content: i for i, t in tokenizer.get_added_tokens_decoder().items()}
-        arrow = to_arrow_schema(IDS)
+        encoder, arrow = LibraryIds(Tokenizer.from_file(path)), to_arrow_schema(IDS)
         for piece in textops.pieces(batches, "text", PIECE):
-            ids, at = _library_ids(tokenizer, piece.column("text"), specials)
+            ids, at = encoder.texts(piece.column("text"))
             rows = np.arange(len(at))
             out = np.insert(ids, at[1:], end).astype(kind)
             at = at + rows
