@@ -26,13 +26,11 @@ not read.
 from __future__ import annotations
 
 import os
-import re
 import tempfile
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyarrow.fs import FileSystem
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,16 +39,18 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from tallyflow.llm import textops
 from tallyflow.llm.tasks import batch as record
-from tallyflow.llm.tasks import map_arrow
+from tallyflow.llm.tasks import map_arrow, open_uri
 from tallyflow.llm.toxicity import held_out
-from tallyflow.sinks.scratch import scratch_path, stored
+from tallyflow.sinks.scratch import scratch_path
 
 #: words of an n-gram
 ORDER = 3
 #: bytes of text per bucket
-BUCKET_BYTES = 16 << 20
-#: distinct keys a task holds before it sends them
-HELD = 1_500_000
+BUCKET_BYTES = 8 << 20
+#: distinct keys a task holds before it sends them, and rows of a bucket that are merged at once
+HELD = 800_000
+#: bytes of text scored at once, and of mapped files that a worker keeps
+SCORED, MAPPED = 4 << 20, 256 << 20
 #: words sent as ranks, each with more than one in so many of all words
 COMMON = 1 << 20
 
@@ -233,8 +233,10 @@ def _count_values(arrays: list[np.ndarray], place: np.ndarray) -> np.ndarray:
     return counts
 
 
-def _open(uri: str) -> tuple[FileSystem, str]:
-    return FileSystem.from_uri(re.sub(r"^file:/(?!/)", "file:///", uri))
+def remove(uri: str) -> None:
+    """Deletes a scratch folder of this job."""
+    system, path = open_uri(uri)
+    system.delete_dir(path)
 
 
 #: low bits of a key that are stored; the others follow from its place
@@ -291,9 +293,14 @@ def _merge(out: str, order: int, hot: np.ndarray, buckets: int, shared: Broadcas
     """Merges whole buckets: writes their files, returns what is known of them and, given ``next_hot``, counts of the next lower order."""
     from tallyflow.llm.jaccard_join import _runs_of
 
-    def one(bucket: int, packets: list[bytes], arrow: pa.Schema) -> pa.RecordBatch:
-        parts = [shared.value.unpack(x, order) for x in packets]
-        grams, counts, hash = _counted(np.concatenate([g for g, _ in parts]), np.concatenate([n for _, n in parts]))
+    def one(bucket: int, packets: pa.Array, arrow: pa.Schema) -> pa.RecordBatch:
+        parts, size = [], 0
+        for k, packet in enumerate(packets):
+            parts.append(shared.value.unpack(packet.as_py(), order))
+            size += len(parts[-1][1])
+            if size > HELD or k == len(packets) - 1:
+                grams, counts, hash = _counted(np.concatenate([g for g, _ in parts]), np.concatenate([n for _, n in parts]))
+                parts, size = [(grams, counts)], 0
         del parts
         spread, after, contexts, table = [], [], np.zeros(0, U64), np.zeros((0, 4), np.int64)
         if order > 1:
@@ -309,7 +316,7 @@ def _merge(out: str, order: int, hot: np.ndarray, buckets: int, shared: Broadcas
             lower, n, own = _counted(grams[:, 1:], np.where(grams[:, 1] == BEGIN, counts, 1))
             after = [{"bucket": int(b), "data": x} for b, x in zip(*shared.value.pack(lower, _gram_bucket(lower, own, next_hot, buckets), n))]
         name = f"{out}/{bucket:08d}-{TaskContext.get().taskAttemptId()}.bin"
-        system, path = _open(name)
+        system, path = open_uri(name)
         system.create_dir(path.rpartition("/")[0], recursive=True)
         with system.open_output_stream(path, compression=None) as f:
             f.write(_written([*_key_arrays(hash), *_count_arrays(counts), *_key_arrays(contexts), *_count_arrays(table.ravel())]))
@@ -322,7 +329,7 @@ def _merge(out: str, order: int, hot: np.ndarray, buckets: int, shared: Broadcas
             bucket = b.column("bucket").to_numpy()
             cuts = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(bucket))
             for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-                yield one(int(bucket[lo]), b.column("data").slice(lo, hi - lo).to_pylist(), arrow)
+                yield one(int(bucket[lo]), b.column("data").slice(lo, hi - lo), arrow)
 
     return run
 
@@ -356,11 +363,18 @@ class Model:
     grams: list[Order]
     buckets: int
     maps: dict = field(default_factory=dict)
+    mapped: int = 0
+
+    def unmap(self, most: int = 0) -> None:
+        """Closes all files if more than ``most`` bytes are mapped."""
+        if self.mapped > most:
+            self.maps.clear()
+            self.mapped = 0
 
     def _map(self, uri: str) -> list[np.ndarray]:
         """The arrays of one bucket's file."""
         if uri not in self.maps:
-            system, path = _open(uri)
+            system, path = open_uri(uri)
             copied = system.type_name != "local"
             if copied:
                 handle, copy = tempfile.mkstemp()
@@ -368,7 +382,8 @@ class Model:
                     while part := f.read(1 << 20):
                         out.write(part)
                 path = copy
-            raw = np.memmap(path, np.uint8, "r")
+            raw = np.asarray(np.memmap(path, np.uint8, "r"))
+            self.mapped += len(raw)
             if copied:
                 os.unlink(path)  # the mapping keeps the bytes until the worker ends
             self.maps[uri] = _mapped(raw)
@@ -448,7 +463,9 @@ def train(docs: DataFrame, text_col: str = "text", order: int = ORDER) -> Model:
 
     def merged(packed: DataFrame, name: str, *how) -> DataFrame:
         dealt = packed.repartition(buckets, "bucket").sortWithinPartitions("bucket")
-        return stored(map_arrow(dealt, _merge(f"{out}/{name}", *how), MERGED), name)
+        path = f"{out}/{name}-merged"
+        map_arrow(dealt, _merge(f"{out}/{name}", *how), MERGED).write.parquet(path)
+        return spark.read.schema(MERGED).parquet(path)
 
     shared = spark.sparkContext.broadcast(Common(none, none.astype(np.int64)))
     words = _order(merged(map_arrow(rows, _count(1, none, buckets, shared), PACKED), "words", 1, none, buckets, shared), none)
@@ -459,7 +476,7 @@ def train(docs: DataFrame, text_col: str = "text", order: int = ORDER) -> Model:
         schema = pa.schema([("w", pa.int64()), ("n", pa.int64())])
         for b in batches:
             for file in b.column("file").to_pylist():
-                system, path = _open(file)
+                system, path = open_uri(file)
                 with system.open_input_file(path) as f:
                     arrays = _mapped(np.frombuffer(f.read(), np.uint8))
                 hash = _keys(*arrays[: len(KEYS)])
@@ -479,6 +496,8 @@ def train(docs: DataFrame, text_col: str = "text", order: int = ORDER) -> Model:
     packed, grams = map_arrow(rows, _count(order, hot[order], buckets, shared), PACKED), []
     for k in range(order, 0, -1):
         both = merged(packed, f"grams{k}", k, hot[k], buckets, shared, hot[k - 1] if k > 1 else None)
+        if k < order:
+            remove(f"{out}/grams{k + 1}-merged")  # its packets are merged, its figures are known
         grams.insert(0, _order(both, hot[k]))
         packed = both.select(F.explode("next").alias("x")).select("x.*")
     return Model(words, grams, buckets)
@@ -492,11 +511,15 @@ def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
     def run(batches):
         arrow, own = to_arrow_schema(schema), shared.value
-        for piece in textops.pieces(batches, "text"):
-            grams, row = _tokens(piece.column("text"), len(own.grams))
-            count, base, score = own.logs(grams[:, -1], grams[:, :-1])
-            n = piece.num_rows
-            yield record(arrow, piece.column("id"), np.bincount(row, minlength=n), np.bincount(row[count > 0], minlength=n), np.bincount(row, base, n), np.bincount(row, score, n))
+        try:
+            for piece in textops.pieces(batches, "text", SCORED):
+                grams, row = _tokens(piece.column("text"), len(own.grams))
+                count, base, score = own.logs(grams[:, -1], grams[:, :-1])
+                n = piece.num_rows
+                yield record(arrow, piece.column("id"), np.bincount(row, minlength=n), np.bincount(row[count > 0], minlength=n), np.bincount(row, base, n), np.bincount(row, score, n))
+                own.unmap(MAPPED)
+        finally:
+            own.unmap()  # the worker lives on
 
     return map_arrow(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), run, schema)
 

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
+from pyarrow.fs import FileSystem
 from pyspark import SparkContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -37,6 +39,11 @@ def map_arrow(df: DataFrame, run: Callable[[Iterable[pa.RecordBatch]], Iterator[
     return df.mapInArrow(run, schema, barrier)
 
 
+def open_uri(uri: str) -> tuple[FileSystem, str]:
+    """The file system and path of a file or folder in the shared scratch folder."""
+    return FileSystem.from_uri(re.sub(r"^file:/(?!/)", "file:///", uri))
+
+
 def batch(schema: pa.Schema, *columns: object) -> pa.RecordBatch:
     """A record batch of ``schema`` from arrays, numpy arrays or lists."""
     cols = [x if isinstance(x, pa.Array) else pa.array(x, f.type) for x, f in zip(columns, schema)]
