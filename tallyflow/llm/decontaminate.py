@@ -6,13 +6,15 @@ removal spans. Documents are never shuffled, and a shard never holds more than i
 are indexed in parts that overlap by a window.
 
 Windows are ``WINDOW`` consecutive words of a benchmark item, or all words of a shorter one. The benchmark
-goes to the tasks in blocks of at most ``BLOCK_BYTES`` of text on average (or one text), one pass over the
-documents each. A pass searches the whole texts and carries the ranges of the passes before it; ranges are
-merged, and cut out, once all blocks are searched, so the number of blocks changes no result.
+is cut into blocks of at most ``BLOCK_BYTES`` of text on average (or one text). One block is broadcast; several are
+files, which a task reads one after the other for each of its shards, so a shard is indexed once and documents are
+read once whatever the size of the benchmark. Ranges are merged, and cut out, once all blocks are searched, so the
+number of blocks changes no result.
 
 Null and empty texts have no words and no hits. Repeated ids are rows of their own. Items without words
 occur nowhere; an item id that is repeated counts once, and its texts are dealt out over the blocks, equal
-ones once. An empty benchmark hits nothing. Columns other than the id and the text are not read, or passed
+ones once. Texts of a null item id are searched and hit like others, but a null is not listed as an item. An empty
+benchmark hits nothing. Columns other than the id and the text are not read, or passed
 through untouched by ``remove_spans``.
 """
 
@@ -23,6 +25,8 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import parquet
+from pyarrow.fs import FileType
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,8 +35,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from tallyflow.llm import textops
 from tallyflow.llm.fm_index import Shard
 from tallyflow.llm.tasks import batch as record
-from tallyflow.llm.tasks import map_arrow
-from tallyflow.sinks.scratch import stored
+from tallyflow.llm.tasks import map_arrow, open_uri
+from tallyflow.sinks.scratch import scratch_path
 
 WINDOW = 10
 SHARD_WORDS = 1 << 20
@@ -43,10 +47,10 @@ SPAN = T.ArrayType(T.StructType([T.StructField("lo", T.LongType()), T.StructFiel
 
 
 class Phrases:
-    """Distinct windows of a block of items, by their length, each with the items that have it."""
+    """Distinct windows of a block of items, by their length, each with the items that have it; the last name is the null one."""
 
     def __init__(self, items: list[tuple[object, str | None]], window: int):
-        self.names = sorted({name for name, _ in items})
+        self.names = [*sorted({name for name, _ in items} - {None}), None]
         place = {name: k for k, name in enumerate(self.names)}
         item = np.array([place[name] for name, _ in items], np.int64)
         w = textops.words(pa.array([text or "" for _, text in items], pa.large_string()), textops.ALNUM, textops.LOWER)
@@ -61,16 +65,30 @@ class Phrases:
             having = np.unique(which.ravel() * len(self.names) + np.repeat(item[own], counts))
             bounds = np.searchsorted(having, np.arange(len(at) + 1) * len(self.names))
             self.groups.append((size, windows[at], having % len(self.names), bounds))
-        self.longest = int(sizes.max(initial=1))
 
 
-def _blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int) -> tuple[int, Iterator[Phrases]]:
-    """How many blocks the benchmark has, and their windows."""
-    items = benchmark.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).where("i is not null and t is not null").distinct()
+def _blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int) -> tuple[int, Callable[[], Iterator[Phrases]]]:
+    """How many blocks the benchmark has, and what gives their windows, one block after the other, in a task."""
+    spark = benchmark.sparkSession
+    items = benchmark.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).where("t is not null").distinct()
     total = items.agg(F.coalesce(F.sum(F.octet_length("t") + 16), F.lit(0))).first()[0]
     count = max(1, -(-int(total) // BLOCK_BYTES))
-    blocks = (items.where(F.pmod(F.xxhash64("i", "t"), F.lit(count)) == k) for k in range(count))
-    return count, (Phrases([(r.i, r.t) for r in block.collect()], window) for block in blocks)  # one block at a time, bounded
+    if count == 1:
+        shared = spark.sparkContext.broadcast(Phrases([(r.i, r.t) for r in items.collect()], window))  # BLOCK_BYTES at most
+        return 1, lambda: iter([shared.value])
+    path = scratch_path(spark, "benchmark")
+    block = F.pmod(F.xxhash64("i", "t"), F.lit(count))
+    items.withColumn("block", block).repartition(count, "block").write.partitionBy("block").parquet(path)
+
+    def read() -> Iterator[Phrases]:
+        for k in range(count):
+            system, folder = open_uri(f"{path}/block={k}")
+            if system.get_file_info(folder).type == FileType.NotFound:
+                continue
+            table = parquet.read_table(folder, filesystem=system, columns=["i", "t"], partitioning=None)
+            yield Phrases(list(zip(*(c.to_pylist() for c in table.columns))), window)
+
+    return count, read
 
 
 def _search(shard: Shard, phrases: Phrases) -> Iterator[tuple[int, int, int, list]]:
@@ -80,7 +98,7 @@ def _search(shard: Shard, phrases: Phrases) -> Iterator[tuple[int, int, int, lis
         some = np.flatnonzero(high > low)
         if not len(some):
             continue
-        names = {p: [phrases.names[k] for k in having[bounds[p] : bounds[p + 1]]] for p in some.tolist()}
+        names = {p: [x for k in having[bounds[p] : bounds[p + 1]] if (x := phrases.names[k]) is not None] for p in some.tolist()}
         width = (high - low)[some]
         which = np.repeat(some, width)
         rows = np.arange(width.sum()) - np.repeat(np.cumsum(width) - width, width) + np.repeat(low[some], width)
@@ -99,17 +117,14 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def scan(batches: Iterable[pa.RecordBatch], column: str, phrases: Phrases, shard_words: int, carried: bool = False) -> Iterator[tuple[pa.RecordBatch, list, list, list, np.ndarray]]:
-    """Pieces of the batches, each with the word spans, byte spans, items and words of its rows.
-
-    With ``carried``, the last two columns are spans and items found before, which count too.
-    """
+def scan(batches: Iterable[pa.RecordBatch], column: str, blocks: Callable[[], Iterator[Phrases]], window: int, shard_words: int) -> Iterator[tuple[pa.RecordBatch, list, list, list, np.ndarray]]:
+    """Pieces of the batches, each with the word spans, byte spans, items and words of its rows."""
     held: list[tuple[pa.RecordBatch, textops.Words]] = []
     size = 0
 
     def flush():
         parts, owner = [], []
-        overlap = phrases.longest - 1
+        overlap = window - 1
         for k, (_, w) in enumerate(held):
             for row in range(len(w.first) - 1):
                 lo, hi = int(w.first[row]), int(w.first[row + 1])
@@ -127,20 +142,20 @@ def scan(batches: Iterable[pa.RecordBatch], column: str, phrases: Phrases, shard
                 n += len(parts[j])
                 j += 1
             shard = Shard(np.concatenate(parts[i:j]), np.concatenate([[0], np.cumsum([len(p) for p in parts[i:j]])]))
-            for text, word, width, names in _search(shard, phrases):
-                k, row, base = owner[i + text]
-                hits[k, row].append((base + word, base + word + width, names))
+            for phrases in blocks():
+                for text, word, width, names in _search(shard, phrases):
+                    k, row, base = owner[i + text]
+                    hits[k, row].append((base + word, base + word + width, names))
             i = j
         for k, (batch, w) in enumerate(held):
             spans, cuts, items = [], [], []
-            old = [c.to_pylist() for c in batch.columns[-2:]] if carried else [[()] * batch.num_rows] * 2
-            for row, (old_spans, old_items) in enumerate(zip(*old)):
+            for row in range(batch.num_rows):
                 own = hits.get((k, row), ())
-                merged = _merged([(x["lo"], x["hi"]) for x in old_spans] + [(lo, hi) for lo, hi, _ in own])
+                merged = _merged([(lo, hi) for lo, hi, _ in own])
                 base, at = int(w.first[row]), int(w.offsets[row])
                 spans.append(merged)
                 cuts.append([(int(w.start[base + lo]) - at, int(w.end[base + hi - 1]) - at) for lo, hi in merged])
-                items.append(sorted({x for *_, names in own for x in names}.union(old_items)))
+                items.append(sorted({x for *_, names in own for x in names}))
             yield batch, spans, cuts, items, np.diff(w.first)
         held.clear()
 
@@ -164,21 +179,14 @@ def _searched(
 ) -> DataFrame:
     """Rows of ``schema``, which ``finish`` makes from a piece and what all blocks of the benchmark hit in it."""
     width = len(rows.columns)
-    found = T.StructType([*rows.schema.fields, T.StructField("__hit_spans", SPAN), T.StructField("__hit_items", T.ArrayType(benchmark.schema[item_col].dataType))])
-    count, blocks = _blocks(benchmark, item_col, item_text, window)
-    for k, phrases in enumerate(blocks):
-        shared, last = rows.sparkSession.sparkContext.broadcast(phrases), k == count - 1
-
-        def run(batches, shared=shared, last=last, carried=k > 0):
-            arrow = to_arrow_schema(schema if last else found)
-            for piece, spans, cuts, items, n in scan(batches, text_col, shared.value, shard_words, carried):
-                own = piece.columns[:width]
-                yield record(arrow, *(finish(own, spans, cuts, items, n) if last else (*own, _pairs(spans), items)))
-
-        rows = map_arrow(rows, run, schema if last else found)
-        if not last:
-            rows = stored(rows, "searched")
-    return rows
+    _, blocks = _blocks(benchmark, item_col, item_text, window)
+
+    def run(batches):
+        arrow = to_arrow_schema(schema)
+        for piece, spans, cuts, items, n in scan(batches, text_col, blocks, window, shard_words):
+            yield record(arrow, *finish(piece.columns[:width], spans, cuts, items, n))
+
+    return map_arrow(rows, run, schema)
 
 
 def spans(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", window: int = WINDOW, shard_words: int = SHARD_WORDS) -> DataFrame:
