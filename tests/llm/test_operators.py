@@ -162,13 +162,68 @@ def test_quality_risk_holds_for_all_rules_together(spark):
 
     def cuts(each, of):  # every rule would reject ``each`` other good texts of ``of``
         own = {part: F.when(F.floor(F.col("id") % of / each) == k, 6).otherwise(0).cast("bigint").alias(part) for k, (part, _) in enumerate(quality.RULES.values())}
-        whole = [F.lit(10).cast("bigint").alias(c) for c in {w for _, w in quality.RULES.values()}]
-        measured = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("en").alias("stratum"), F.lit(False).alias("base_failed"), *own.values(), *whole)
+        whole = [F.lit(6).cast("bigint").alias(c) for c in {w for _, w in quality.RULES.values()}]
+        measured = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("en").alias("stratum"), F.col("id").alias("text_key"), F.lit(False).alias("base_failed"), *own.values(), *whole)
         (row,) = quality.thresholds(measured, labels).collect()
         return [row[f"cut_{r}"] for r in quality.RULES]
 
     assert cuts(7, 1000) == [None] * 5  # 0.7 % by each rule is 3.5 % by all
-    assert cuts(5, 10_000) == [quality.CUTOFFS[0]] * 5  # 0.05 % by each
+    assert cuts(5, 10_000) == list(quality.SETTINGS[-1])  # 0.05 % by each
+    assert all(a >= b for one, two in zip(quality.SETTINGS, quality.SETTINGS[1:]) for a, b in zip(one, two))
+
+
+def test_quality_risk_in_simulated_holdouts(spark):
+    """Of many holdouts with known risks, those that certify a setting of too high a risk are as few as stated."""
+    trials, n = 600, 700
+    symbols = F.when(F.rand(5) < 0.004, 30).when(F.rand(6) < 0.007, 3).otherwise(0)  # 0.4 % over cutoffs to 0.2, 1.1 % over the strict ones
+    rows = spark.range(trials * n).select(
+        F.col("id").alias("doc_id"), (F.col("id") / n).cast("int").cast("string").alias("stratum"), F.col("id").alias("text_key"), F.lit(False).alias("base_failed"), symbols.cast("bigint").alias("n_symbols"),
+        *[F.lit(0).cast("bigint").alias(c) for c in ("n_marks", "n_capitals", "n_dup_lines", "n_repeat_words")], *[F.lit(100).cast("bigint").alias(c) for c in ("word_chars", "n_lines", "n_words")])
+    labels = spark.range(trials * n).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    bad = quality.thresholds(rows, labels, delta=0.05 * trials).where("cut_symbols < 0.03").count()
+    assert bad <= 0.05 * trials + 3 * (0.05 * 0.95 * trials) ** 0.5
+    none = quality.thresholds(rows, labels, delta=0.05 * trials).where("level = 0").count()
+    assert none < trials
+
+
+def test_quality_verdict_by_certified_settings(spark):
+    """``kept`` is that of a row-by-row version with the settings it certifies itself."""
+    from math import comb
+
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    rows = []
+    for i in range(1600):
+        words = [word() for _ in range(30)]
+        if i % 4 == 0:
+            words[: rng.choice((1, 4, 9, 15))] = ["#*$%"] * 2
+        if i % 11 == 0:
+            words = [w.upper() for w in words]
+        rows.append((i, " ".join(words), ("en", "de", None)[i % 3 if i < 1000 else 0]))
+    rows += [(2000 + k, rows[1][1], "en") for k in range(300)]  # copies are one trial
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i % 4 != 0 and i % 11 != 0), 0) for i, *_ in rows], "doc_id bigint, quality int, toxic int")
+    bad = {i for i, *_ in rows if i % 4 == 0 or i % 11 == 0}
+
+    def ratios(t):
+        size = sum(map(len, t.split()))
+        return [sum(c in "#*$%&|<>" for c in t) / size, t.count("!") / size, sum("A" <= c <= "Z" for c in t) / size, 0.0, 0.0]
+
+    rejects = lambda t, cuts: any(r > c for r, c in zip(ratios(t), cuts))
+    level = {}
+    for lang in ("en", "de", None):
+        good = {t for i, t, x in rows if x == lang and i not in bad}
+        level[lang] = 0
+        for cuts in quality.SETTINGS:
+            k = sum(rejects(t, cuts) for t in good)
+            if sum(comb(len(good), i) * 0.01**i * 0.99 ** (len(good) - i) for i in range(k + 1)) > quality.DELTA / 3:
+                break
+            level[lang] += 1
+    assert level["en"] == len(quality.SETTINGS) and level["de"] == level[None] == 0  # too few texts
+    got = by_id(quality.judged(docs, labels))
+    for i, t, lang in rows:
+        assert got[i].kept == (not got[i].base_failed and not (level[lang] and rejects(t, quality.SETTINGS[level[lang] - 1]))), i
+    assert not any(got[i].kept for i, t, x in rows if x == "en" and "#" in t)
 
 
 def test_line_dedup(spark, docs):
@@ -325,7 +380,7 @@ def test_decontamination(spark, docs, shard_words):
     windows = collections.defaultdict(set)
     for name, t in items:
         w = cut(t)
-        for k in range(len(w) - min(10, len(w)) + 1 if w and name else 0):
+        for k in range(len(w) - min(10, len(w)) + 1 if w else 0):
             windows[tuple(w[k : k + 10])].add(name)
     got = by_id(decontaminate.digest(decontaminate.spans(docs, bench, shard_words=shard_words)))
     for i, t in texts.items():
@@ -334,10 +389,11 @@ def test_decontamination(spark, docs, shard_words):
             for k in range(len(w) - n + 1):
                 if own := windows.get(tuple(w[k : k + n])):
                     hit.update(range(k, k + n))
-                    names |= own
+                    names |= own - {None}
         assert tuple(got[i])[1:] == (len(w), len(hit), len(names), hashlib.sha256(",".join(sorted(names)).encode()).hexdigest(), bool(hit)), i
     clean = by_id(decontaminate.remove_spans(docs, bench, shard_words=shard_words))
-    assert clean[3].text == "one " and clean[0].text is None and clean[8].text == texts[8] and clean[8].id == "id"
+    assert got[3].n_hit == 2 and got[3].n_items == 1  # the text of a null id hits, and is no item
+    assert clean[3].text == "" and clean[0].text is None and clean[8].text == texts[8] and clean[8].id == "id"
     assert by_id(decontaminate.digest(decontaminate.spans(docs, bench.limit(0))))[7].n_hit == 0
 
 
@@ -354,11 +410,17 @@ def test_decontamination_in_blocks(spark, docs, monkeypatch):
     one = results()
     assert len(one[0]) == docs.count() + 2 and sum(r[2] > 0 for r in one[0]) == 2
     monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 1500)
-    assert decontaminate._blocks(bench, "item_id", "text", 10)[0] > 3
+    count, blocks = decontaminate._blocks(bench, "item_id", "text", 10)
+    assert count > 3
     assert results() == one
+    # each shard is indexed once, whatever the number of blocks
+    made, shard = [], decontaminate.Shard
+    monkeypatch.setattr(decontaminate, "Shard", lambda *a: made.append(a) or shard(*a))
+    local = pa.record_batch({"text": pa.array([r.text for r in docs.collect()])})
+    assert len(list(decontaminate.scan([local], "text", blocks, 10, 8000))) > 0 and sum(len(a[0]) for a in made) < 40_000 + 9 * len(made)
     hot = bench.withColumn("item_id", F.lit(1)).union(bench.withColumn("item_id", F.lit(1)))  # one id has all texts, twice
     count, blocks = decontaminate._blocks(hot, "item_id", "text", 10)
-    sizes = [sum(len(windows) for _, windows, *_ in b.groups) for b in blocks]
+    sizes = [sum(len(windows) for _, windows, *_ in b.groups) for b in blocks()]
     assert count > 3 and max(sizes) < 0.6 * sum(sizes)
 
 
