@@ -46,13 +46,13 @@ from tallyflow.sinks.scratch import scratch_path
 #: words of an n-gram
 ORDER = 3
 #: bytes of text per bucket
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 12 << 20
 #: distinct keys a task holds before it sends them, and rows of a bucket that are merged at once
-HELD = 800_000
+HELD = 1_200_000
 #: bytes of text scored at once, and of mapped files that a worker keeps
 SCORED, MAPPED = 4 << 20, 256 << 20
 #: words sent as ranks, each with more than one in so many of all words
-COMMON = 1 << 20
+COMMON = 1 << 23
 
 U64 = np.uint64
 BEGIN, END = U64(0xB5297A4D3F84D5B5), U64(0x1B56C4E9F1D2A7C3)
@@ -114,7 +114,7 @@ def _tokens(texts: pa.Array, order: int) -> tuple[np.ndarray, np.ndarray]:
 def _counted(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct n-grams with summed counts and hashes, in the order of the hashes."""
     hash = _key(grams)
-    order = np.argsort(hash, kind="stable")
+    order = np.argsort(hash)
     hash = hash[order]
     new = np.flatnonzero(np.append(True, hash[1:] != hash[:-1])[: len(hash)])
     return grams[order[new]], np.add.reduceat(counts[order], new) if len(new) else counts[:0], hash[new]
@@ -142,7 +142,7 @@ class Common:
         ranks = np.full(grams.shape, UNRANKED, "<u4")
         place, known = _spot(self.sorted, grams.ravel())
         ranks.ravel()[known] = self.rank[place[known]]
-        order = np.lexsort([*ranks[:, :2].T[::-1], bucket])
+        order = self._order(ranks, bucket)
         names, at = np.unique(bucket[order], return_index=True)
         codec, packets = pa.Codec("zstd", compression_level=1), []
         for own in np.split(order, at[1:]) if len(names) else []:
@@ -151,6 +151,14 @@ class Common:
             packets.append(np.int64(len(raw)).tobytes() + codec.compress(raw, asbytes=True))
         return names.astype(np.int32), packets
 
+    @staticmethod
+    def _order(ranks: np.ndarray, bucket: np.ndarray) -> np.ndarray:
+        """By bucket, then by the first two words."""
+        if not len(bucket) or bucket.max() >= 1 << 16 or ranks.shape[1] < 2:
+            return np.lexsort([*ranks[:, :2].T[::-1], bucket])
+        one, two = (np.minimum(ranks[:, k], (1 << 24) - 1).astype(U64) for k in (0, 1))  # ranks are far under that
+        return np.argsort(bucket.astype(U64) << U64(48) | one << U64(24) | two)
+
     def unpack(self, packet: bytes, order: int) -> tuple[np.ndarray, np.ndarray]:
         size = int(np.frombuffer(packet, "<i8", 1)[0])
         raw = np.frombuffer(pa.Codec("zstd").decompress(packet[8:], size), np.uint8)
@@ -392,7 +400,7 @@ class Model:
     def _find(self, order: Order, bucket: np.ndarray, key: np.ndarray, contexts: bool = False) -> np.ndarray:
         """Counts of keys, or the four totals of contexts; 0 where there are none."""
         out = np.zeros((len(key), 4) if contexts else len(key), np.int64)
-        by = np.lexsort((key, bucket))
+        by = np.argsort(bucket.astype(np.uint16) if len(bucket) and bucket.max() < 1 << 16 else bucket, kind="stable")
         names, at = np.unique(bucket[by], return_index=True)
         half = len(KEYS) + len(COUNTS)
         for name, own in zip(names.tolist(), np.split(by, at[1:])):
