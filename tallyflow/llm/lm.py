@@ -48,7 +48,7 @@ ORDER = 3
 #: bytes of text per bucket
 BUCKET_BYTES = 12 << 20
 #: distinct keys a task holds before it sends them, and rows of a bucket that are merged at once
-HELD = 1_200_000
+HELD, MERGED_AT = 1_200_000, 2_500_000
 #: bytes of text scored at once, and of mapped files that a worker keeps
 SCORED, MAPPED = 4 << 20, 256 << 20
 #: words sent as ranks, each with more than one in so many of all words
@@ -111,6 +111,16 @@ def _tokens(texts: pa.Array, order: int) -> tuple[np.ndarray, np.ndarray]:
     return grams, row
 
 
+def _distinct(hash: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each distinct value stands, in their order, and the number of each value's."""
+    order = np.argsort(hash)
+    there = hash[order]
+    new = np.append(True, there[1:] != there[:-1])[: len(there)]
+    inverse = np.empty(len(hash), np.int64)
+    inverse[order] = np.cumsum(new) - 1
+    return order[new], inverse
+
+
 def _counted(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct n-grams with summed counts and hashes, in the order of the hashes."""
     hash = _key(grams)
@@ -267,19 +277,23 @@ def _place(first: np.ndarray, high: np.ndarray, low: np.ndarray, key: np.ndarray
     """Places of keys in sorted arrays by bisection, -1 where they are not."""
     upper = (key >> REST).astype(np.int64)
     lo, end = first[upper].astype(np.int64), first[upper + 1].astype(np.int64)
-    hi, rest = end, key & U64((1 << 48) - 1)
-
-    def at(k):
-        k = np.minimum(k, len(high) - 1)
-        return high[k].astype(U64) << U64(16) | low[k]
-
+    hi, rest, last = end, (key >> U64(16)).astype(np.uint32), (key & U64(0xFFFF)).astype(np.uint16)
     if not len(high):
         return np.full(len(key), -1)
+    most = len(high) - 1
+    # first by the larger part alone, which two keys of one place hardly share
     for _ in range(int((hi - lo).max(initial=0)).bit_length()):
         mid = lo + hi >> 1
-        less = (lo < hi) & (at(mid) < rest)
-        lo, hi = np.where(less, mid + 1, lo), np.where(less | (lo >= hi), hi, mid)
-    return np.where((lo < end) & (at(lo) == rest), lo, -1)
+        less = (lo < hi) & (high[np.minimum(mid, most)] < rest)
+        lo, hi = np.where(less, mid + 1, lo), np.where(less, hi, mid)
+    todo = np.arange(len(key))
+    while len(todo):
+        at = lo[todo]
+        own = np.minimum(at, most)
+        todo = todo[(at < end[todo]) & (high[own] == rest[todo]) & (low[own] < last[todo])]
+        lo[todo] += 1
+    own = np.minimum(lo, most)
+    return np.where((lo < end) & (high[own] == rest) & (low[own] == last), lo, -1)
 
 
 def _written(arrays: list[np.ndarray]) -> bytes:
@@ -306,14 +320,15 @@ def _merge(out: str, order: int, hot: np.ndarray, buckets: int, shared: Broadcas
         for k, packet in enumerate(packets):
             parts.append(shared.value.unpack(packet.as_py(), order))
             size += len(parts[-1][1])
-            if size > HELD or k == len(packets) - 1:
+            if size > MERGED_AT or k == len(packets) - 1:
                 grams, counts, hash = _counted(np.concatenate([g for g, _ in parts]), np.concatenate([n for _, n in parts]))
                 parts, size = [(grams, counts)], 0
         del parts
         spread, after, contexts, table = [], [], np.zeros(0, U64), np.zeros((0, 4), np.int64)
         if order > 1:
-            context, inverse = np.unique(_key(grams[:, :-1]), return_inverse=True)
-            inverse = inverse.ravel()
+            context = _key(grams[:, :-1])
+            at, inverse = _distinct(context)
+            context = context[at]
             sums = np.zeros(len(context), np.int64)
             np.add.at(sums, inverse, counts)
             table = np.stack([sums] + [np.bincount(inverse[m], minlength=len(context)) for m in (counts == 1, counts == 2, counts > 2)], 1)
@@ -418,10 +433,11 @@ class Model:
         ``before`` has one column for each word, the nearest last, or is that word; with fewer than the model's, the lower order is used.
         """
         grams = np.column_stack([before, word])
-        _, at, inverse = np.unique(_key(grams), return_index=True, return_inverse=True)
-        grams, inverse = grams[at], inverse.ravel()
-        only, of_word = np.unique(grams[:, -1], return_inverse=True)
-        of_word, place = of_word.ravel(), _bucket(only, self.buckets)
+        at, inverse = _distinct(_key(grams))
+        grams = grams[at]
+        at, of_word = _distinct(grams[:, -1])
+        only = grams[at, -1]
+        place = _bucket(only, self.buckets)
         c = self._find(self.words, place, only)
         size = self.words.keys + 1
         base = np.log10((c + 1) / (self.words.total + size))
@@ -438,11 +454,13 @@ class Model:
             own = grams[:, -n:]
             hash = _key(own)
             k = self._find(order, _gram_bucket(own, hash, order.hot, self.buckets), hash)
-            heads, of_head = np.unique(_key(own[:, :-1]), return_inverse=True)
+            heads = _key(own[:, :-1])
+            at, of_head = _distinct(heads)
+            heads = heads[at]
             sums = self._find(order, _bucket(textops.mix(heads), self.buckets), heads, True)
             spot, is_hot = _spot(order.hot, heads)
             sums[is_hot] = order.hot_totals[spot[is_hot]]
-            sums, d = sums[of_head.ravel()], order.discounts()
+            sums, d = sums[of_head], order.discounts()
             seen = sums[:, 0] > 0
             full = np.maximum(sums[:, 0], 1)
             p = np.where(seen, (np.maximum(k - d[np.minimum(k, 3)], 0) + (sums[:, 1:] @ d[1:]) * p) / full, p)
