@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir), works on all that the one before kept, and returns the columns of
 ``documents`` (the last adds its own). ``n_chars`` follows the text. SQL cannot express a factorization
-machine, so ``ORACLE_SQL`` is None and the tests compare each stage with a row-by-row version.
+machine, so ``ORACLE_SQL`` is None. The tests compare each operator with a row-by-row version, and check what each stage
+keeps and removes on the test table.
 """
 
 from __future__ import annotations
