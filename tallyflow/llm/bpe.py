@@ -2,8 +2,10 @@
 
 Encoding. From the merge list alone follows how many symbols beyond a token's end can still change it: the
 *sufficient lookahead* (``Merges.lookahead``). A token is emitted once that many symbols behind it are known,
-or its word has ended. So a word of any length needs a window of fixed size; ordinary words are shorter than
-the window and are merged many at a time, one merge rank of each word per numpy round.
+or its word has ended. The transducer's window is the longest token and the lookahead, so every window emits,
+and a word of any length needs a window of fixed size. All distinct words of a piece go through it side by
+side: a step merges the window of each word, one merge rank of each word per numpy round, emits what is
+stable, and moves on to the first byte not emitted.
 
 Why the lookahead suffices: a token t = a b is formed unless b is first taken by a rule (b, x) of a lower
 rank, which needs x, which must be formed by still lower ranks. So reach(t) = max(reach(b), reach(a) - |b|,
@@ -33,7 +35,7 @@ from tallyflow.llm.pretokens import WordFile, byte_letters, pretokens, read_file
 from tallyflow.llm.tasks import batch as record
 from tallyflow.llm.tasks import map_arrow
 
-#: bytes of a word that are merged at once; longer words go through the window
+#: bytes up to which the window of a word that goes on is doubled; fewer steps for long words
 WINDOW = 512
 PIECE = 2 << 20
 NEVER = np.int32(2**31 - 1)
@@ -65,6 +67,8 @@ class Merges:
         self.sizes = np.zeros(1 + max(*vocab.values(), *file.specials.values(), 0), np.int64)
         for token, i in vocab.items():
             self.sizes[i] = len(token.removesuffix(file.suffix))
+        #: a window of this size emits a token, however the text goes on
+        self.window = int(self.sizes.max()) + self.lookahead
 
     def _slot(self, key: np.ndarray) -> np.ndarray:
         return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
@@ -136,23 +140,38 @@ class Merges:
         order = np.argsort(word, kind="stable")
         return out[order], np.searchsorted(word[order], np.arange(words + 1))
 
-    def stream(self, data: np.ndarray, window: int = WINDOW) -> Iterator[np.ndarray]:
+    def step(self, data: np.ndarray, at: np.ndarray, end: np.ndarray, window: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """One step of the transducer on each word, of which ``at`` to ``end`` is left: emitted tokens, their words, and the new ``at``."""
+        size = np.minimum(end - at, window)
+        ended = at + size == end
+        first = np.concatenate([[0], np.cumsum(size)])
+        place = np.arange(first[-1]) - np.repeat(first[:-1], size) + np.repeat(at, size)
+        symbols = self.base[data[place]]
+        tail = first[1:][ended] - 1
+        symbols[tail] = self.last[data[place[tail]]]
+        tokens, bounds = self.apply(symbols, first)
+        word = np.repeat(np.arange(len(at)), np.diff(bounds))
+        ends = np.cumsum(self.sizes[tokens]) - first[word]
+        stable = ended[word] | (ends <= size[word] - self.lookahead)
+        tokens, word = tokens[stable], word[stable]
+        return tokens, word, at + np.bincount(word, self.sizes[tokens], len(at)).astype(np.int64)
+
+    def steps(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(tokens, their words) of each step until all words have ended; a word's tokens come in order."""
+        left = np.flatnonzero(end > start)
+        at, end = start[left], end[left]
+        window = np.full(len(left), self.window)
+        while len(left):
+            tokens, word, at = self.step(data, at, end, window)
+            yield tokens, left[word]
+            on = at < end
+            left, at, end = left[on], at[on], end[on]
+            window = np.minimum(2 * window[on], max(WINDOW, self.window))
+
+    def stream(self, data: np.ndarray) -> Iterator[np.ndarray]:
         """Tokens of one word of any length, emitted as soon as they are stable."""
-        window, at = max(window, 4 * self.lookahead + 64), 0
-        while at + window < len(data):
-            held = data[at : at + window]
-            tokens, _ = self.apply(self.base[held], np.array([0, len(held)]))
-            ends = np.cumsum(self.sizes[tokens])
-            stable = int(np.searchsorted(ends, len(held) - self.lookahead, side="right"))
-            if stable:
-                yield tokens[:stable]
-                at += int(ends[stable - 1])
-            else:  # a token longer than the window
-                window *= 2
-        held = data[at:]
-        symbols = self.base[held]
-        symbols[-1:] = self.last[held[-1:]]
-        yield self.apply(symbols, np.array([0, len(symbols)]))[0]
+        for tokens, _ in self.steps(data, np.array([0]), np.array([len(data)])):
+            yield tokens
 
 
 class Encoder:
@@ -164,19 +183,13 @@ class Encoder:
 
     def words(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Tokens of the given words, and where each word's begin."""
-        size = end - start
-        short = size <= WINDOW
-        n = np.where(short, size, 0)
-        first = np.concatenate([[0], np.cumsum(n)])
-        at = np.arange(first[-1]) - np.repeat(first[:-1], n) + np.repeat(start, n)
-        symbols = self.merges.base[data[at]]
-        tail = first[1:][n > 0] - 1
-        symbols[tail] = self.merges.last[data[at[tail]]]
-        tokens, bounds = self.merges.apply(symbols, first)
-        if short.all():
-            return tokens, bounds
-        parts = [tokens[bounds[k] : bounds[k + 1]] if short[k] else np.concatenate(list(self.merges.stream(data[start[k] : end[k]]))) for k in range(len(start))]
-        return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+        parts = list(self.merges.steps(data, start, end))
+        tokens = np.concatenate([t for t, _ in parts]) if parts else np.zeros(0, np.int32)
+        word = np.concatenate([w for _, w in parts]) if parts else np.zeros(0, np.int64)
+        if len(parts) > 1:
+            order = np.argsort(word, kind="stable")
+            tokens, word = tokens[order], word[order]
+        return tokens, np.searchsorted(word, np.arange(len(start) + 1))
 
     def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and where each text's begin; each distinct word is merged once."""

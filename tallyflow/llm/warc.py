@@ -6,8 +6,13 @@ are never referred to. Of pages with equal payloads the one with the lowest id i
 revisit it. Digests are grouped, pages are not: only the lowest id of each repeated digest is joined back.
 
 Index. Captures are sorted by their reversed-host URL key over the whole archive and cut into compressed
-blocks of ``LINES``; a directory keeps each block's first key. A look-up searches the directory by bisection,
-reads one or more blocks by range, searches them, and reads the records by range.
+blocks of ``LINES``. A sparse directory keeps each block's first and last key. It is cut into pages of as many
+entries, and so on, until a root of at most ``LINES`` entries is left, which alone is sent to every task; so an
+archive of any size can be searched. A look-up bisects the root and then, by range reads, the pages below it
+to the blocks; these pairs of key and block are dealt by block, so a url with very many captures is read by many
+tasks. Each block is read once, bisected for its keys, and the records are read by range.
+
+Directory keys are cut to ``KEY`` characters, which bounds the root. Blocks have whole keys.
 
 Null payloads are empty. Null urls have an empty key. A null id is a response that nothing refers to.
 Repeated ids with equal payloads are all responses if theirs is the lowest id. An empty table gives an
@@ -24,6 +29,9 @@ import re
 import zlib
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import groupby, islice
+from operator import itemgetter
 from urllib.parse import urlsplit
 
 import pyarrow as pa
@@ -44,11 +52,16 @@ DATE = "1970-01-01T00:00:00Z"
 LEVEL = 5
 #: repeated digests that may be sent to every task, about 100 bytes each
 FEW = 500_000
-#: directory rows that a look-up sends to every task, about 100 bytes each
-FEW_BLOCKS = 500_000
+#: characters of a key in the directory
+KEY = 256
+#: directory pages a task keeps
+PAGES = 16
+#: most tasks that read records
+TASKS = 20_000
 
 WRITTEN = T.StructType([T.StructField("key", T.StringType()), T.StructField("url", T.StringType()), T.StructField("page_id", T.LongType()), T.StructField("file", T.StringType()), T.StructField("offset", T.LongType()), T.StructField("length", T.LongType())])
-BLOCKS = T.StructType([T.StructField("first_key", T.StringType()), T.StructField("last_key", T.StringType()), T.StructField("file", T.StringType()), T.StructField("offset", T.LongType()), T.StructField("length", T.LongType()), T.StructField("lines", T.LongType())])
+BLOCKS = T.StructType([T.StructField("first_key", T.StringType()), T.StructField("last_key", T.StringType()), T.StructField("file", T.StringType()), T.StructField("offset", T.LongType()), T.StructField("length", T.LongType()), T.StructField("blocks", T.LongType()), T.StructField("level", T.IntegerType())])
+FOUND = T.StructType([T.StructField("wanted", T.StringType()), T.StructField("key", T.StringType()), *BLOCKS.fields[2:5]])
 READ = T.StructType([T.StructField("page_id", T.LongType()), T.StructField("url", T.StringType()), T.StructField("payload_bytes", T.LongType()), T.StructField("payload_digest", T.StringType()), T.StructField("record_type", T.StringType()), T.StructField("refers_to", T.LongType()), T.StructField("payload", T.BinaryType())])
 
 
@@ -130,10 +143,12 @@ def _write(out: str, date: str):
     return run
 
 
-def _write_index(out: str):
+def _write_blocks(out: str, level: int, lines: int):
+    """Sorted captures (level 0), or directory entries of the level below, as compressed blocks."""
+
     def run(batches):
         arrow, context = to_arrow_schema(BLOCKS), TaskContext.get()
-        name = f"{out}/index/{context.partitionId():06d}-{context.taskAttemptId()}.cdxj.z"
+        name = f"{out}/index/{level}/{context.partitionId():06d}-{context.taskAttemptId()}.cdxj.z"
         file, at, held = None, 0, []
 
         def flush():
@@ -144,15 +159,16 @@ def _write_index(out: str):
                 file = system.open_output_stream(path, compression=None)
             raw = zlib.compress("\n".join(map(json.dumps, held)).encode(), LEVEL)
             file.write(raw)
-            row = record(arrow, [held[0][0]], [held[-1][0]], [name], [at], [len(raw)], [len(held)])
+            last = held[-1][1 if level else 0]
+            row = record(arrow, [held[0][0][:KEY]], [last[:KEY]], [name], [at], [len(raw)], [sum(x[5] for x in held) if level else 1], [level])
             at += len(raw)
             held.clear()
             return row
 
         for b in batches:
-            for r in zip(*(b.column(c).to_pylist() for c in WRITTEN.names)):
+            for r in zip(*(c.to_pylist() for c in b.columns)):
                 held.append(r)
-                if len(held) == LINES:
+                if len(held) == lines:
                     yield flush()
         if held:
             yield flush()
@@ -162,21 +178,27 @@ def _write_index(out: str):
     return run
 
 
-def write(pages: DataFrame, out: str, least_bytes: int = 0, date: str = DATE) -> None:
-    """Writes pages (page_id, url, html) below ``out``: ``data``, ``index``, and the ``directory`` of the index as Parquet."""
+def write(pages: DataFrame, out: str, least_bytes: int = 0, date: str = DATE, lines: int = LINES) -> None:
+    """Writes pages (page_id, url, html) below ``out``: ``data``, the levels of the ``index``, and its ``root`` as Parquet."""
     rows = pages.select("page_id", "url", "html", F.sha1(F.coalesce("html", F.lit("")).cast("binary")).alias("digest"), F.octet_length(F.coalesce("html", F.lit(""))).alias("bytes"))
     first = rows.where(F.col("bytes") >= least_bytes).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first")
     first = stored(first, "payloads")
     few = first.count() <= FEW
     dated = rows.join(F.broadcast(first) if few else first, "digest", "left").select("page_id", "url", "html", "first")
     captures = stored(map_arrow(dated, _write(out, date), WRITTEN), "captures")
-    parts = max(1, -(-captures.count() // (16 * LINES)))
-    by_key = captures.repartitionByRange(parts, "key", "page_id").sortWithinPartitions("key", "page_id")
-    map_arrow(by_key, _write_index(out), BLOCKS).write.parquet(f"{out}/directory")
+    rows, order, level = captures.select(WRITTEN.names), ("key", "page_id", "file", "offset"), 0
+    while True:
+        parts = max(1, -(-rows.count() // (16 * lines)))
+        by_key = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+        blocks = stored(map_arrow(by_key, _write_blocks(out, level, lines), BLOCKS), "directory")
+        if blocks.count() <= max(16, lines):
+            break
+        rows, order, level = blocks, ("first_key", "last_key", "file", "offset"), level + 1
+    blocks.coalesce(1).write.parquet(f"{out}/root")
 
 
-def directory(spark: SparkSession, out: str) -> DataFrame:
-    return spark.read.schema(BLOCKS).parquet(f"{out}/directory")
+def root(spark: SparkSession, out: str) -> DataFrame:
+    return spark.read.schema(BLOCKS).parquet(f"{out}/root")
 
 
 class _Files:
@@ -192,58 +214,111 @@ class _Files:
         return self.file.read_at(length, offset)
 
 
-def _block(files: _Files, file: str, offset: int, length: int) -> list[list]:
+def _lines(files: _Files, file: str, offset: int, length: int) -> list[list]:
     return [json.loads(x) for x in zlib.decompress(files.read(file, offset, length)).decode().split("\n")]
 
 
+class _Directory:
+    """The directory from its root down, with the pages used last."""
+
+    def __init__(self, top: list[list]):
+        self.top, self.files = top, _Files()
+        self.page = lru_cache(PAGES)(lambda *place: _lines(self.files, *place))
+
+    def blocks(self, key: str, entries: list[list] | None = None) -> Iterator[list]:
+        """Where the blocks are that may hold the key."""
+        entries, cut = self.top if entries is None else entries, key[:KEY]
+        for x in entries[bisect_left(entries, cut, key=itemgetter(1)) : bisect_right(entries, cut, key=itemgetter(0))]:
+            if x[6]:
+                yield from self.blocks(key, self.page(*x[2:5]))
+            else:
+                yield x[2:5]
+
+
 def _records(files: _Files, lines: list[list], arrow: pa.Schema, payloads: bool) -> Iterator[pa.RecordBatch]:
-    lines.sort(key=lambda x: (x[3], x[4]))
+    lines.sort(key=itemgetter(3, 4))
     for at in range(0, len(lines), 64):
         found = [parse(files.read(*x[3:])) for x in lines[at : at + 64]]
         yield record(arrow, *([r[c] if payloads or c != "payload" else None for r in found] for c in READ.names))
 
 
+def _tasks(blocks: int) -> int:
+    return max(1, min(blocks // 2, TASKS))
+
+
 def read(spark: SparkSession, out: str, payloads: bool = False) -> DataFrame:
-    """Every record, found through the index: directory, blocks, records. Revisits have no payload of their own."""
+    """Every record, by all pages of the directory. Revisits have no payload of their own."""
+
+    def pages(batches):
+        arrow, files = to_arrow_schema(BLOCKS), _Files()
+        for b in batches:
+            for place in zip(*(b.column(c).to_pylist() for c in ("file", "offset", "length"))):
+                yield record(arrow, *zip(*_lines(files, *place)))
 
     def run(batches):
         arrow, index, data = to_arrow_schema(READ), _Files(), _Files()
         for b in batches:
-            for file, offset, length in zip(*(b.column(c).to_pylist() for c in ("file", "offset", "length"))):
-                yield from _records(data, _block(index, file, offset, length), arrow, payloads)
+            for place in zip(*(b.column(c).to_pylist() for c in ("file", "offset", "length"))):
+                yield from _records(data, _lines(index, *place), arrow, payloads)
 
-    blocks = directory(spark, out).select("file", "offset", "length")
-    return map_arrow(blocks.repartition(max(1, blocks.count() // 2)), run, READ)
+    rows = root(spark, out)
+    n, levels = rows.agg(F.coalesce(F.sum("blocks"), F.lit(0)), F.coalesce(F.max("level"), F.lit(0))).first()
+    for _ in range(levels):
+        rows = map_arrow(rows.repartition(_tasks(n // LINES)), pages, BLOCKS)
+    return map_arrow(rows.select("file", "offset", "length").repartition(_tasks(n)), run, READ)
 
 
-def lookup(spark: SparkSession, out: str, urls: DataFrame, url_col: str = "url") -> DataFrame:
-    """(wanted, page_id, url, ...) of all captures of the given urls, by bisection and range reads."""
-    top = directory(spark, out).orderBy("first_key", "last_key").limit(FEW_BLOCKS + 1).collect()
-    if len(top) > FEW_BLOCKS:
-        raise ValueError("look-ups by a shared directory are for archives of fewer blocks; use read()")
-    firsts, lasts = [r.first_key for r in top], [r.last_key for r in top]
-    shared = spark.sparkContext.broadcast((firsts, lasts, [(r.file, r.offset, r.length) for r in top]))
-    schema = T.StructType([T.StructField("wanted", T.StringType()), *READ.fields])
+def keyed(urls: DataFrame, url_col: str = "url") -> DataFrame:
+    """(wanted, key) of each distinct url."""
+    schema = T.StructType(FOUND.fields[:2])
 
     def run(batches):
-        arrow, index, data = to_arrow_schema(schema), _Files(), _Files()
-        first, last, places = shared.value
+        arrow = to_arrow_schema(schema)
+        for b in batches:
+            yield record(arrow, b.column("wanted"), [url_key(u) for u in b.column("wanted").to_pylist()])
+
+    return map_arrow(urls.select(F.col(url_col).alias("wanted")).distinct(), run, schema)
+
+
+def fetch(spark: SparkSession, out: str, keys: DataFrame, payloads: bool = True) -> DataFrame:
+    """(wanted, page_id, url, ...): the captures of each row of ``keys`` (wanted, key), searched from the root down."""
+    top = root(spark, out).orderBy("first_key", "last_key").collect()  # at most LINES rows of bounded size
+    shared = spark.sparkContext.broadcast([list(x) for x in top])
+    schema = T.StructType([FOUND["wanted"], *READ.fields])
+
+    def search(batches):
+        arrow, directory = to_arrow_schema(FOUND), _Directory(shared.value)
         for b in batches:
-            for url in b.column("wanted").to_pylist():
-                key = url_key(url)
-                lines = []
-                for k in range(bisect_left(last, key), bisect_right(first, key)):
-                    own = _block(index, *places[k])
-                    keys = [x[0] for x in own]
-                    lines += own[bisect_left(keys, key) : bisect_right(keys, key)]
-                for found in _records(data, lines, to_arrow_schema(READ), True):
-                    yield record(arrow, [url] * found.num_rows, *found.columns)
+            found = ((wanted, key, *place) for wanted, key in zip(b.column("wanted").to_pylist(), b.column("key").to_pylist()) for place in directory.blocks(key))
+            while some := list(islice(found, 10_000)):
+                yield record(arrow, *zip(*some))
+
+    def run(batches):
+        arrow, inner, index, data = to_arrow_schema(schema), to_arrow_schema(READ), _Files(), _Files()
+        rows = (r for b in batches for r in zip(*(b.column(c).to_pylist() for c in FOUND.names)))
+        for place, wants in groupby(rows, key=itemgetter(2, 3, 4)):
+            own = _lines(index, *place)
+            keys = [x[0] for x in own]
+            lines = [[wanted, *x] for wanted, key, *_ in wants for x in own[bisect_left(keys, key) : bisect_right(keys, key)]]
+            lines.sort(key=lambda x: (x[4], x[5]))
+            for at in range(0, len(lines), 64):
+                part = lines[at : at + 64]
+                for found in _records(data, [x[1:] for x in part], inner, payloads):
+                    yield record(arrow, [x[0] for x in part], *found.columns)
+
+    found = stored(map_arrow(keys.repartitionByRange("key").sortWithinPartitions("key"), search, FOUND), "found")
+    by_block = found.repartitionByRange(_tasks(sum(x.blocks for x in top)), "file", "offset").sortWithinPartitions("file", "offset", "key")
+    return map_arrow(by_block, run, schema)
 
-    return map_arrow(urls.select(F.col(url_col).alias("wanted")), run, schema)
+
+def lookup(spark: SparkSession, out: str, urls: DataFrame, url_col: str = "url") -> DataFrame:
+    """(wanted, page_id, url, ...) of all captures of each distinct url given."""
+    return fetch(spark, out, keyed(urls, url_col))
 
 
 def write_and_read(pages: DataFrame) -> DataFrame:
-    """The records of ``pages`` after a round trip through archives in the scratch folder."""
+    """The records of ``pages`` after a round trip: archives in the scratch folder, searched for the key of every url."""
     spark, out = pages.sparkSession, scratch_path(pages.sparkSession, "warc")
     write(pages, out)
-    return read(spark, out).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    keys = keyed(pages).select(F.col("key").alias("wanted"), "key").distinct()
+    return fetch(spark, out, keys, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

@@ -107,6 +107,30 @@ def test_bpe_is_the_library(spark, docs):
     assert bpe.round_trip(docs.limit(0), path, keep=True).count() == 0
 
 
+def test_transducer_emits_stable_tokens(monkeypatch):
+    """Words longer than a window come out in several steps, with the library's tokens, and no step holds more than a window."""
+    path = queries.tokenizer()
+    tokenizer, merges = Tokenizer.from_file(path), bpe.Encoder(path).merges
+    assert 0 < merges.lookahead < merges.window <= bpe.WINDOW
+    monkeypatch.setattr(merges, "window", merges.lookahead + 20)
+    monkeypatch.setattr(bpe, "WINDOW", 0)
+    held = []
+    apply = merges.apply
+    monkeypatch.setattr(merges, "apply", lambda symbols, first: held.append(int(np.diff(first).max())) or apply(symbols, first))
+    rng = random.Random(8)
+    known = sorted(x for x in tokenizer.get_vocab() if x.isascii() and x.isalpha() and x.islower() and len(x) < 20)
+    words = ["".join(rng.choice(known) for _ in range(rng.randint(1, 30))) for _ in range(300)] + ["ing" * 300, "a" * 1000]
+    for w in words:
+        steps = [x.tolist() for x in merges.stream(np.frombuffer(w.encode(), np.uint8))]
+        assert sum(steps, []) == tokenizer.encode(w, add_special_tokens=False).ids, w
+        assert len(steps) > 1 or len(w) <= merges.window
+    assert max(held) <= merges.window
+    monkeypatch.undo()
+    encoder = bpe.Encoder(path)
+    ids, at = encoder.texts(pa.array([" ".join(words), *words]))
+    assert ids[: at[1]].tolist() == tokenizer.encode(" ".join(words), add_special_tokens=False).ids == ids[at[1] :].tolist()
+
+
 def test_decoder_holds_incomplete_characters():
     path = queries.tokenizer()
     encoder = bpe.Encoder(path)
@@ -352,6 +376,15 @@ def test_warc(spark):
     assert got == sorted([(i, len((h or "").encode()), *kinds[i], u) for i, u, h in rows], key=str)
     found = warc.lookup(spark, out, pages.select("url").where("page_id in (1, 5)").distinct())
     assert sorted(r.page_id for r in found.collect()) == [1, 3, 5, 5]
+    deep = f"{out}-deep"  # a directory of several levels, keys of one url in many blocks, keys alike up to the cut
+    urls = [f"http://h{i % 7}.example.com/{'p' * 300}{i % 90}" for i in range(260)] + ["http://hot.example.com/"] * 90
+    many = spark.createDataFrame([(i, u, f"{i % 50}") for i, u in enumerate(urls)], "page_id bigint, url string, html string").repartition(5)
+    warc.write(many, deep, lines=3)
+    assert warc.root(spark, deep).first().level >= 1 and warc.root(spark, deep).count() <= 16
+    assert sorted(r.page_id for r in warc.read(spark, deep).collect()) == list(range(350))
+    asked = sorted({*urls[::9], "http://hot.example.com/", "http://none.example.com/"})
+    hits = sorted((r.wanted, r.page_id) for r in warc.lookup(spark, deep, spark.createDataFrame([(u,) for u in asked * 2], "url string")).collect())
+    assert hits == sorted((u, i) for i, u in enumerate(urls) if u in asked)
     assert warc.url_key("http://www.B.example.com/x?q=1#f") == "com,example,b)/x?q=1"
     assert warc.write_and_read(pages.limit(0)).count() == 0
 
