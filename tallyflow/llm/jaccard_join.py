@@ -5,9 +5,10 @@
 2. Chosen-path recursion on the sketches: a node of the tree samples each coordinate with probability
    1 / (threshold * COORDS), as a hash of the node decides, and sends the set to one child per sampled
    coordinate and its value. Nodes of at most ``SMALL`` sets are compared by brute force. In a larger node
-   everything near its pivot (its lowest id) is linked to the pivot, sets close enough to it leave the node
-   (by the triangle inequality whatever is similar to them is near the pivot too), and the rest is split
-   again, unless all of the node is near the pivot. Independent trees are grown until the target recall below.
+   everything that agrees with its pivot (its lowest id) in ``PIVOT`` of the coordinates is linked to the pivot,
+   sets that agree in ``CLOSE`` leave the node, and the rest is split again, unless all of the node is linked.
+   By the triangle inequality, which holds for the sketches themselves, no set that leaves is a candidate pair
+   (``NEAR``) with one that is not linked to the same pivot. Independent trees are grown until the target recall below.
 3. Sets that are linked, directly or by others, form a candidate cluster. All pairs of a cluster are
    compared exactly, in blocks of ``BLOCK`` sets, with one matrix product per block pair; a block pair returns
    the number of links of each set and a spanning forest, never the pairs.
@@ -58,8 +59,10 @@ LARGEST = 4096
 BLOCK = 256
 #: estimated similarity from which two sets become candidates; 4 standard deviations below the threshold
 NEAR = 0.6
-#: and from which a set counts as surely similar to the pivot
-CLOSE = 0.8
+#: and from which a set leaves a node with its pivot
+CLOSE = 0.9
+#: whatever is NEAR a set that is CLOSE to the pivot is this near the pivot, as shares of differing coordinates add up at most
+PIVOT = CLOSE + NEAR - 1
 #: rows of a few numbers, and of sketches, that may be sent to every task: 80 and 30 MB
 FEW = 1_000_000
 SKETCHES = 100_000
@@ -230,9 +233,9 @@ def _grow(sets: DataFrame, trees: range, small: int) -> tuple[DataFrame, int]:
             break
         near = large.where("id <> pivot").join(_few(pivots, count, SKETCHES), F.col("node") == F.col("p")).select("node", "id", "sketch", "pivot", "pivot_sketch")
         near = stored(map_arrow(near, _against_pivot, "node bigint, id bigint, sketch binary, pivot bigint, share double"), "near")
-        links.append(near.where(F.col("share") >= NEAR).select(F.col("pivot").alias("a"), F.col("id").alias("b")))
-        # a node whose sets are all near its pivot is one cluster: nothing is left to find in it
-        mixed = near.where(F.col("share") < NEAR).select(F.col("node").alias("m")).distinct()
+        links.append(near.where(F.col("share") >= PIVOT).select(F.col("pivot").alias("a"), F.col("id").alias("b")))
+        # a node whose sets are all linked to its pivot is one cluster: nothing is left to find in it
+        mixed = near.where(F.col("share") < PIVOT).select(F.col("node").alias("m")).distinct()
         left = near.where(F.col("share") < CLOSE).join(mixed, F.col("node") == F.col("m"), "left_semi")
         rows = stored(map_arrow(left.select("node", "id", "sketch"), _split, CHILD), "paths")
         limit, depth = min(2 * limit, LARGEST), depth + 1

@@ -6,9 +6,9 @@ the filter's false positives, count' = (count - n fp) / (1 - fp) with fp from th
 the language's bit; the highest decides, and the score is its share of all counts.
 
 N-grams are 4 bytes of the lower-cased text in which runs of other characters are one blank. A language
-contains those that are at least ``LEAST_RATE`` of its n-grams, and at least ``SHARE`` of their highest rate
-in any language; so it has at most 1 / ``LEAST_RATE`` of them, whatever the corpus. Counts cover all
-training texts.
+contains those that are at least ``LEAST_RATE`` of its n-grams, so it has at most 1 / ``LEAST_RATE`` of them,
+whatever the corpus. An n-gram that many languages contain counts for each of them, and so decides nothing.
+Counts cover all training texts.
 
 Null texts and texts without a letter are ``und`` with score 0. A text none of whose n-grams is known gets
 the language with most n-grams in training, with score 0; ties go to the first language in order. Without
@@ -31,7 +31,6 @@ from tallyflow.llm.toxicity import held_out
 from tallyflow.sinks.scratch import stored
 
 LEAST_RATE = 1e-5
-SHARE = 0.3
 SLOTS = 1 << 21
 HASHES = 4
 UNKNOWN = "und"
@@ -140,9 +139,7 @@ def learn(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> Fi
     known = sorted((r.lang, r.total) for r in totals.collect())  # one row per language
     found = Filter([x for x, _ in known], int(np.argmax([n for _, n in known])) if known else -1)
     rates = counts.join(F.broadcast(totals), "lang").select("lang", "gram", (F.col("n") / F.col("total")).alias("rate"))
-    each = rates.where(F.col("rate") >= LEAST_RATE)  # at most 1 / LEAST_RATE rows a language from here on
-    top = each.groupBy("gram").agg(F.max("rate").alias("top"))
-    kept = each.join(top, "gram").where(F.col("rate") >= SHARE * F.col("top")).select("lang", "gram")
+    kept = rates.where(F.col("rate") >= LEAST_RATE).select("lang", "gram")  # at most 1 / LEAST_RATE rows a language
     place = {x: k for k, x in enumerate(found.langs)}
     members: dict[int, list[int]] = {k: [] for k in place.values()}
     for r in kept.collect():
