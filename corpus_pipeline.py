@@ -2,8 +2,7 @@
 
 Each stage takes (spark, docs, sf_dir), works on all that the one before kept, and returns the columns of
 ``documents`` (the last adds its own). ``n_chars`` follows the text. SQL cannot express a factorization
-machine, so ``ORACLE_SQL`` is None. The operators have tests of their own; that of the pipeline checks what each stage keeps
-and removes on the test table.
+machine, so ``ORACLE_SQL`` is None; tests compare each stage's output with plain Python on the test table.
 """
 
 from __future__ import annotations
