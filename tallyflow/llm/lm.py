@@ -146,12 +146,27 @@ class Common:
         self.words = words[np.argsort(-counts, kind="stable")]
         self.rank = np.argsort(self.words).astype(np.uint32)
         self.sorted = self.words[self.rank]
+        self.rest = U64(64 - max(1, len(words).bit_length()))
+        self.first = np.searchsorted(self.sorted >> self.rest, np.arange((1 << 64 - int(self.rest)) + 1, dtype=U64)).astype(np.uint32)
+
+    def _ranks(self, words: np.ndarray) -> np.ndarray:
+        """Ranks of words, found by their upper bits, of which one word or so has the same."""
+        out = np.full(len(words), UNRANKED, "<u4")
+        upper = words >> self.rest
+        at = self.first[upper]
+        todo = np.flatnonzero(at < self.first[upper + U64(1)])
+        at, end, own = at[todo], self.first[upper[todo] + U64(1)], words[todo]
+        while len(todo):
+            there = self.sorted[at]
+            same = there == own
+            out[todo[same]] = self.rank[at[same]]
+            more = np.flatnonzero((there < own) & (at + 1 < end))
+            todo, at, end, own = todo[more], at[more] + 1, end[more], own[more]
+        return out
 
     def pack(self, grams: np.ndarray, bucket: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
         """Bucket numbers, and one compressed packet of n-grams and counts for each."""
-        ranks = np.full(grams.shape, UNRANKED, "<u4")
-        place, known = _spot(self.sorted, grams.ravel())
-        ranks.ravel()[known] = self.rank[place[known]]
+        ranks = self._ranks(grams.ravel()).reshape(grams.shape)
         order = self._order(ranks, bucket)
         names, at = np.unique(bucket[order], return_index=True)
         codec, packets = pa.Codec("zstd", compression_level=1), []
@@ -274,26 +289,39 @@ def _keys(first: np.ndarray, high: np.ndarray, low: np.ndarray) -> np.ndarray:
 
 
 def _place(first: np.ndarray, high: np.ndarray, low: np.ndarray, key: np.ndarray) -> np.ndarray:
-    """Places of keys in sorted arrays by bisection, -1 where they are not."""
+    """Places of keys in sorted arrays, -1 where they are not: a guess, then steps to the place."""
     upper = (key >> REST).astype(np.int64)
-    lo, end = first[upper].astype(np.int64), first[upper + 1].astype(np.int64)
-    hi, rest, last = end, (key >> U64(16)).astype(np.uint32), (key & U64(0xFFFF)).astype(np.uint16)
+    start, end = first[upper].astype(np.int64), first[upper + 1].astype(np.int64)
+    rest, last = (key >> U64(16)).astype(np.uint32), (key & U64(0xFFFF)).astype(np.uint16)
     if not len(high):
         return np.full(len(key), -1)
-    most = len(high) - 1
-    # first by the larger part alone, which two keys of one place hardly share
-    for _ in range(int((hi - lo).max(initial=0)).bit_length()):
-        mid = lo + hi >> 1
-        less = (lo < hi) & (high[np.minimum(mid, most)] < rest)
-        lo, hi = np.where(less, mid + 1, lo), np.where(less, hi, mid)
-    todo = np.arange(len(key))
+    # keys are hashes, so a key is near the share of its place that its larger part says
+    lo, most = start + (rest * (end - start) >> 32), len(high) - 1
+    small = high[np.minimum(lo, most)] < rest
+    todo = np.flatnonzero(small & (lo < end))
     while len(todo):
-        at = lo[todo]
-        own = np.minimum(at, most)
-        todo = todo[(at < end[todo]) & (high[own] == rest[todo]) & (low[own] < last[todo])]
-        lo[todo] += 1
+        at = lo[todo] + 1
+        lo[todo] = at
+        todo = todo[(at < end[todo]) & (high[np.minimum(at, most)] < rest[todo])]
+    todo = np.flatnonzero(~small & (lo > start))
+    while len(todo):
+        at = lo[todo] - 1
+        less = high[at] < rest[todo]
+        todo, at = todo[~less], at[~less]
+        lo[todo] = at
+        todo = todo[at > start[todo]]
+    # two keys of one place hardly share the larger part
     own = np.minimum(lo, most)
-    return np.where((lo < end) & (high[own] == rest) & (low[own] == last), lo, -1)
+    same = (lo < end) & (high[own] == rest)
+    todo = np.flatnonzero(same & (low[own] < last))
+    while len(todo):
+        at = lo[todo] + 1
+        lo[todo] = at
+        own = np.minimum(at, most)
+        there = (at < end[todo]) & (high[own] == rest[todo])
+        same[todo[~there]] = False
+        todo = todo[there & (low[own] < last[todo])]
+    return np.where(same & (low[np.minimum(lo, most)] == last), lo, -1)
 
 
 def _written(arrays: list[np.ndarray]) -> bytes:
