@@ -127,7 +127,7 @@ def _counted(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndar
     order = np.argsort(hash)
     hash = hash[order]
     new = np.flatnonzero(np.append(True, hash[1:] != hash[:-1])[: len(hash)])
-    return grams[order[new]], np.add.reduceat(counts[order], new) if len(new) else counts[:0], hash[new]
+    return grams.take(order[new], axis=0), np.add.reduceat(counts[order], new) if len(new) else counts[:0], hash[new]
 
 
 def _planes(values: np.ndarray) -> bytes:
@@ -171,8 +171,9 @@ class Common:
         names, at = np.unique(bucket[order], return_index=True)
         codec, packets = pa.Codec("zstd", compression_level=1), []
         for own in np.split(order, at[1:]) if len(names) else []:
-            columns = ranks[own].T
-            raw = np.int64(len(own)).tobytes() + b"".join(_planes(np.ascontiguousarray(c)) for c in columns) + _planes(counts[own].astype(COUNT)) + grams[own].T[columns == UNRANKED].astype("<u8").tobytes()
+            columns = np.ascontiguousarray(ranks.take(own, axis=0).T)
+            other = np.ascontiguousarray(grams.take(own, axis=0).T)[columns == UNRANKED]
+            raw = np.int64(len(own)).tobytes() + b"".join(_planes(c) for c in columns) + _planes(counts[own].astype(COUNT)) + other.astype("<u8").tobytes()
             packets.append(np.int64(len(raw)).tobytes() + codec.compress(raw, asbytes=True))
         return names.astype(np.int32), packets
 
@@ -195,7 +196,7 @@ class Common:
         counts = _unplaned(raw[at : at + wide], COUNT).astype(np.int64)
         ranks = np.stack(columns)
         words, other = np.empty(ranks.shape, U64), ranks == UNRANKED
-        words[~other] = self.words[ranks[~other]]
+        words[~other] = self.words.take(ranks[~other])
         words[other] = np.frombuffer(raw[at + wide :].tobytes(), "<u8")
         return np.ascontiguousarray(words.T), counts
 
@@ -444,9 +445,9 @@ class Model:
         """Counts of keys, or the four totals of contexts; 0 where there are none."""
         out = np.zeros((len(key), 4) if contexts else len(key), np.int64)
         by = np.argsort(bucket.astype(np.uint16) if len(bucket) and bucket.max() < 1 << 16 else bucket, kind="stable")
-        names, at = np.unique(bucket[by], return_index=True)
-        half = len(KEYS) + len(COUNTS)
-        for name, own in zip(names.tolist(), np.split(by, at[1:])):
+        there, half = bucket[by], len(KEYS) + len(COUNTS)
+        cuts = np.flatnonzero(np.append(True, there[1:] != there[:-1]))[: len(by)]
+        for name, own in zip(there[cuts].tolist(), np.split(by, cuts[1:])):
             if name not in order.files:
                 continue
             arrays = self._map(order.files[name])[half:] if contexts else self._map(order.files[name])[:half]
@@ -460,11 +461,14 @@ class Model:
 
         ``before`` has one column for each word, the nearest last, or is that word; with fewer than the model's, the lower order is used.
         """
-        grams = np.column_stack([before, word])
-        at, inverse = _distinct(_key(grams))
-        grams = grams[at]
-        at, of_word = _distinct(grams[:, -1])
-        only = grams[at, -1]
+        own, levels = np.column_stack([before, word]), []
+        while own.shape[1]:  # the distinct n-grams, their hashes, and where those one word longer, at first all, find theirs
+            hash = _key(own)
+            at, inverse = _distinct(hash)
+            own = own.take(at, axis=0)
+            levels.append((own, hash.take(at), inverse))
+            own = own[:, 1:]
+        own, only, up = levels[-1]
         place = _bucket(only, self.buckets)
         c = self._find(self.words, place, only)
         size = self.words.keys + 1
@@ -477,22 +481,22 @@ class Model:
             p = (np.maximum(k - d[np.minimum(k, 3)], 0) + taken / size) / total
         else:
             p = np.full(len(only), 1 / size)
-        p = p[of_word]
-        for n, order in enumerate(self.grams[1 : grams.shape[1]], 2):
-            own = grams[:, -n:]
-            hash = _key(own)
-            k = self._find(order, _gram_bucket(own, hash, order.hot, self.buckets), hash)
+        to_word = up
+        for (own, hash, inverse), order in zip(levels[-2::-1], self.grams[1:]):
             heads = _key(own[:, :-1])
             at, of_head = _distinct(heads)
             heads = heads[at]
-            sums = self._find(order, _bucket(textops.mix(heads), self.buckets), heads, True)
+            place = _bucket(textops.mix(heads), self.buckets)
+            sums = self._find(order, place, heads, True)
             spot, is_hot = _spot(order.hot, heads)
             sums[is_hot] = order.hot_totals[spot[is_hot]]
-            sums, d = sums[of_head], order.discounts()
-            seen = sums[:, 0] > 0
+            k = self._find(order, np.where(is_hot[of_head], _bucket(hash, self.buckets), place[of_head]), hash)
+            d, seen = order.discounts(), sums[:, 0] > 0
             full = np.maximum(sums[:, 0], 1)
-            p = np.where(seen, (np.maximum(k - d[np.minimum(k, 3)], 0) + (sums[:, 1:] @ d[1:]) * p) / full, p)
-        return c[of_word][inverse], base[of_word][inverse], np.log10(p)[inverse]
+            left = np.where(seen, (sums[:, 1] * d[1] + sums[:, 2] * d[2] + sums[:, 3] * d[3]) / full, 1.0)  # for the lower order; all if the context is new
+            p = np.where(seen, 1 / full, 0.0).take(of_head) * np.maximum(k - d[np.minimum(k, 3)], 0) + left.take(of_head) * p.take(up)
+            to_word, up = to_word[inverse], inverse
+        return c[to_word], base[to_word], np.log10(p)[up]
 
 
 def _order(merged: DataFrame, hot: np.ndarray) -> Order:
