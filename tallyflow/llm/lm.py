@@ -51,6 +51,8 @@ BUCKET_BYTES = 12 << 20
 HELD, MERGED_AT = 1_200_000, 2_500_000
 #: bytes of text scored at once, and of mapped files that a worker keeps
 SCORED, MAPPED = 4 << 20, 256 << 20
+#: n-grams that are moved and words whose ranks are looked up at once
+MOVED = 1 << 18
 #: words sent as ranks, each with more than one in so many of all words
 COMMON = 1 << 23
 
@@ -130,6 +132,34 @@ def _counted(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndar
     return grams.take(order[new], axis=0), np.add.reduceat(counts[order], new) if len(new) else counts[:0], hash[new]
 
 
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What ``_counted`` gives for all parts together. It empties the list, so that each part goes as soon as its n-grams are taken."""
+    hash = np.concatenate([_key(g) for g, _ in parts])
+    order = np.argsort(hash)
+    hash = hash[order]
+    new = np.flatnonzero(np.append(True, hash[1:] != hash[:-1])[: len(hash)])
+    hash = hash[new]
+    counts = np.concatenate([n for _, n in parts])
+    held = [g for g, _ in parts]
+    parts.clear()
+    counts = counts[order]
+    order = order[new]
+    counts = np.add.reduceat(counts, new) if len(new) else counts
+    grams, lo = np.empty((len(order), held[0].shape[1]), U64), 0
+    while held:
+        some = [held.pop(0)]
+        while held and sum(map(len, some)) + len(held[0]) <= MOVED:
+            some.append(held.pop(0))
+        own = np.concatenate(some) if len(some) > 1 else some[0]
+        del some
+        for at in range(lo, lo + len(own), MOVED):
+            here = np.flatnonzero((order >= at) & (order < min(at + MOVED, lo + len(own))))
+            grams[here] = own.take(order[here] - lo, axis=0)
+        lo += len(own)
+        del own
+    return grams, counts, hash
+
+
 def _planes(values: np.ndarray) -> bytes:
     """First all lowest bytes, then the next, and so on: upper bytes are mostly zeros, which compress."""
     return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes()
@@ -150,6 +180,13 @@ class Common:
         self.first = np.searchsorted(self.sorted >> self.rest, np.arange((1 << 64 - int(self.rest)) + 1, dtype=U64)).astype(np.uint32)
 
     def _ranks(self, words: np.ndarray) -> np.ndarray:
+        """Ranks of words, some at a time: what a look-up holds is many times its words."""
+        out = np.empty(len(words), "<u4")
+        for at in range(0, len(words), MOVED):
+            out[at : at + MOVED] = self._ranks_of(words[at : at + MOVED])
+        return out
+
+    def _ranks_of(self, words: np.ndarray) -> np.ndarray:
         """Ranks of words, found by their upper bits, of which one word or so has the same."""
         out = np.full(len(words), UNRANKED, "<u4")
         upper = words >> self.rest
@@ -182,8 +219,11 @@ class Common:
         """By bucket, then by the first two words."""
         if not len(bucket) or bucket.max() >= 1 << 16 or ranks.shape[1] < 2:
             return np.lexsort([*ranks[:, :2].T[::-1], bucket])
-        one, two = (np.minimum(ranks[:, k], (1 << 24) - 1).astype(U64) for k in (0, 1))  # ranks are far under that
-        return np.argsort(bucket.astype(U64) << U64(48) | one << U64(24) | two)
+        key = bucket.astype(U64)
+        for k in (0, 1):
+            key <<= U64(24)
+            key |= np.minimum(ranks[:, k], (1 << 24) - 1)  # ranks are far under that
+        return np.argsort(key)
 
     def unpack(self, packet: bytes, order: int) -> tuple[np.ndarray, np.ndarray]:
         size = int(np.frombuffer(packet, "<i8", 1)[0])
@@ -206,16 +246,19 @@ def _count(order: int, hot: np.ndarray, buckets: int, shared: Broadcast):
         arrow, held, size = to_arrow_schema(PACKED), [], 0
 
         def flush():
-            grams, counts, hash = _counted(np.concatenate([k for k, _ in held]), np.concatenate([n for _, n in held]))
-            return record(arrow, *shared.value.pack(grams, _gram_bucket(grams, hash, hot, buckets), counts))
+            grams, counts, hash = _summed(held)
+            bucket = _gram_bucket(grams, hash, hot, buckets)
+            del hash
+            return record(arrow, *shared.value.pack(grams, bucket, counts))
 
         for piece in textops.pieces(batches, "text"):
             grams, _ = _tokens(piece.column("text"), order)
             held.append(_counted(grams, np.ones(len(grams), np.int64))[:2])
+            del grams
             size += len(held[-1][0])
             if size > HELD:
                 yield flush()
-                held, size = [], 0
+                size = 0
         if held:
             yield flush()
 
@@ -229,7 +272,7 @@ def _frequent_contexts(order: int, hot: np.ndarray):
         arrow, held, size = pa.schema([("words", pa.int32()), ("w", pa.int64()), ("n", pa.int64())]), {}, 0
 
         def flush(k):
-            grams, counts, hash = _counted(np.concatenate([g for g, _ in held[k]]), np.concatenate([n for _, n in held[k]]))
+            _, counts, hash = _summed(held[k])
             return record(arrow, np.full(len(hash), k, np.int32), hash.view(np.int64), counts)
 
         for piece in textops.pieces(batches, "text"):
@@ -254,7 +297,7 @@ KEYS, COUNTS = ["<u4", "<u4", "<u2"], ["u1", "<u8", "<u8"]
 
 def _count_arrays(counts: np.ndarray) -> list[np.ndarray]:
     large = np.flatnonzero(counts > 254)
-    return [np.minimum(counts, 255), large, counts[large]]
+    return [np.minimum(counts, 255, out=np.empty(len(counts), "u1"), casting="unsafe"), large, counts[large]]
 
 
 def _count_values(arrays: list[np.ndarray], place: np.ndarray) -> np.ndarray:
@@ -325,10 +368,30 @@ def _place(first: np.ndarray, high: np.ndarray, low: np.ndarray, key: np.ndarray
     return np.where(same & (low[np.minimum(lo, most)] == last), lo, -1)
 
 
-def _written(arrays: list[np.ndarray]) -> bytes:
+def _write(file: pa.NativeFile, arrays: list[np.ndarray]) -> None:
     """The arrays after their lengths, each from a multiple of eight bytes."""
-    parts = [a.astype(kind).tobytes() for a, kind in zip(arrays, ARRAYS, strict=True)]
-    return np.array([len(a) for a in arrays], "<u8").tobytes() + b"".join(x + bytes(-len(x) % 8) for x in parts)
+    file.write(np.array([len(a) for a in arrays], "<u8").tobytes())
+    for a, kind in zip(arrays, ARRAYS, strict=True):
+        part = a.astype(kind, copy=False).tobytes()
+        file.write(part)
+        file.write(bytes(-len(part) % 8))
+
+
+def _contexts(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the n-grams' distinct contexts, sorted, with totals and the numbers of n-grams seen once, twice and more often."""
+    context = _key(grams[:, :-1])
+    order = np.argsort(context)
+    context = context[order]
+    counts = counts[order]
+    del order
+    new = np.flatnonzero(np.append(True, context[1:] != context[:-1])[: len(context)])
+    context = context[new]
+    table = np.zeros((len(new), 4), np.int64)
+    if len(new):
+        table[:, 0] = np.add.reduceat(counts, new)
+        for k, own in enumerate((counts == 1, counts == 2, counts > 2), 1):
+            table[:, k] = np.add.reduceat(own, new, dtype=np.int64)
+    return context, table
 
 
 def _mapped(raw: np.ndarray) -> list[np.ndarray]:
@@ -346,34 +409,40 @@ def _merge(out: str, order: int, hot: np.ndarray, buckets: int, shared: Broadcas
 
     def one(bucket: int, packets: pa.Array, arrow: pa.Schema) -> pa.RecordBatch:
         parts, size = [], 0
-        for k, packet in enumerate(packets):
+        for k, packet in enumerate(packets, 1):
             parts.append(shared.value.unpack(packet.as_py(), order))
             size += len(parts[-1][1])
-            if size > MERGED_AT or k == len(packets) - 1:
-                grams, counts, hash = _counted(np.concatenate([g for g, _ in parts]), np.concatenate([n for _, n in parts]))
-                parts, size = [(grams, counts)], 0
-        del parts
+            if size > MERGED_AT and k < len(packets):
+                parts.append(_summed(parts)[:2])
+                size = 0
+        grams, counts, hash = _summed(parts)
         spread, after, contexts, table = [], [], np.zeros(0, U64), np.zeros((0, 4), np.int64)
         if order > 1:
-            context = _key(grams[:, :-1])
-            at, inverse = _distinct(context)
-            context = context[at]
-            sums = np.zeros(len(context), np.int64)
-            np.add.at(sums, inverse, counts)
-            table = np.stack([sums] + [np.bincount(inverse[m], minlength=len(context)) for m in (counts == 1, counts == 2, counts > 2)], 1)
-            is_hot = _spot(hot, context)[1]
-            spread = [[int(x), *map(int, r)] for x, r in zip(context[is_hot].view(np.int64), table[is_hot])]
-            contexts, table = context[~is_hot], table[~is_hot]
-        if next_hot is not None:
-            lower, n, own = _counted(grams[:, 1:], np.where(grams[:, 1] == BEGIN, counts, 1))
-            after = [{"bucket": int(b), "data": x} for b, x in zip(*shared.value.pack(lower, _gram_bucket(lower, own, next_hot, buckets), n))]
+            contexts, table = _contexts(grams, counts)
+            is_hot = _spot(hot, contexts)[1]
+            if is_hot.any():
+                spread = [[int(x), *map(int, r)] for x, r in zip(contexts[is_hot].view(np.int64), table[is_hot])]
+                contexts, table = contexts[~is_hot], table[~is_hot]
+        arrays = [*_key_arrays(contexts), *_count_arrays(table.ravel())]
+        del contexts, table
+        arrays = [*_key_arrays(hash), *_count_arrays(counts), *arrays]
+        keys, total = len(hash), int(counts.sum())
+        of = [int((counts == k).sum()) for k in (1, 2, 3, 4)] + [int((counts > 2).sum())]
+        del hash
         name = f"{out}/{bucket:08d}-{TaskContext.get().taskAttemptId()}.bin"
         system, path = open_uri(name)
         system.create_dir(path.rpartition("/")[0], recursive=True)
         with system.open_output_stream(path, compression=None) as f:
-            f.write(_written([*_key_arrays(hash), *_count_arrays(counts), *_key_arrays(contexts), *_count_arrays(table.ravel())]))
-        of = [int((counts == k).sum()) for k in (1, 2, 3, 4)] + [int((counts > 2).sum())]
-        return record(arrow, [bucket], [name], [len(hash)], [int(counts.sum())], [of], [spread], [after])
+            _write(f, arrays)
+        del arrays
+        if next_hot is not None:
+            parts.append((np.ascontiguousarray(grams[:, 1:]), np.where(grams[:, 1] == BEGIN, counts, 1)))
+            del grams, counts
+            lower, n, own = _summed(parts)
+            place = _gram_bucket(lower, own, next_hot, buckets)
+            del own
+            after = [{"bucket": int(b), "data": x} for b, x in zip(*shared.value.pack(lower, place, n))]
+        return record(arrow, [bucket], [name], [keys], [total], [of], [spread], [after])
 
     def run(batches):
         arrow = to_arrow_schema(MERGED)

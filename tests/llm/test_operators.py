@@ -366,6 +366,47 @@ def test_language_model_counts_beyond_32_bits(tmp_path, monkeypatch):
     assert model._find(order, at[:3], np.array([7, 8, 9], np.uint64), True)[:, 0].tolist() == [2 * int(sums[:3].sum()), 2 * int(sums[3]), 0]
 
 
+def test_language_model_counts_and_merges_in_bounded_memory(tmp_path, monkeypatch):
+    """A task's arrays take few times its n-grams (of 32 bytes), and merging gives each n-gram's sum."""
+    import tracemalloc
+    from types import SimpleNamespace
+
+    def peak(run, batches):
+        tracemalloc.start()
+        try:
+            out = list(run(batches))
+            return out, tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+
+    monkeypatch.setattr(lm, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(taskAttemptId=lambda: 0)))
+    rng, none = np.random.default_rng(8), np.zeros(0, np.uint64)
+    words = np.unique(rng.integers(1, 1 << 63, 30_000, dtype=np.uint64))
+    shared = SimpleNamespace(value=lm.Common(words[:20_000], np.arange(20_000, 0, -1)))
+    n = 600_000
+    grams, counts = words[rng.integers(0, len(words), (n, 3))], rng.integers(1, 5, n)
+    grams[: n // 3] = grams[n // 3 : 2 * (n // 3)]
+    packets = [shared.value.pack(grams[k::10], np.zeros(n // 10, np.int64), counts[k::10])[1][0] for k in range(10)]
+    rows = pa.RecordBatch.from_pydict({"bucket": pa.array([0] * 10, pa.int32()), "data": pa.array(packets, pa.binary())})
+    (merged,), most = peak(lm._merge(str(tmp_path), 3, none, 1, shared, none), [rows])
+    assert most < 110 * n
+    texts = pa.array([" ".join(f"w{x}" for x in rng.integers(0, 1 << 20, 100)) for _ in range(n // 100)])
+    _, most = peak(lm._count(3, none, 8, shared), [pa.RecordBatch.from_arrays([texts], ["text"])])
+    assert most < 130 * n
+
+    want = collections.Counter()
+    for g, c in zip(map(bytes, np.ascontiguousarray(grams)), counts.tolist()):
+        want[g] += c
+    assert (merged.column("keys").to_pylist(), merged.column("total").to_pylist()) == ([len(want)], [int(counts.sum())])
+    monkeypatch.setattr(lm, "MOVED", 7_000)
+    for at in (lm.MERGED_AT, 100_000):  # merged once, and again and again
+        monkeypatch.setattr(lm, "MERGED_AT", at)
+        (merged,) = lm._merge(f"{tmp_path}/{at}", 3, none, 1, shared)([rows])
+        order = lm.Order({0: merged.column("file")[0].as_py()}, 0, 0, [0] * 5, none, np.zeros((0, 4), np.int64))
+        some = grams[::50]
+        assert lm.Model(order, [order], 1)._find(order, np.zeros(len(some), np.int64), lm._key(some)).tolist() == [want[bytes(g)] for g in np.ascontiguousarray(some)]
+
+
 def test_warc(spark):
     rows = [(1, "http://www.B.example.com/x?q=1#f", "<p>é</p>"), (2, None, "<p>é</p>"), (3, "http://a.example.com/", None), (4, "not a url [", ""), (5, "http://a.example.com/", "z"), (5, "http://a.example.com/", "z"), (None, "http://c.example.com/\r\nx", "q")]
     pages = spark.createDataFrame([(*r, "x") for r in rows], "page_id bigint, url string, html string, digest string")
