@@ -69,6 +69,12 @@ MERGED = T.StructType([
 ])
 
 
+def _give_back() -> None:
+    """Returns freed memory to the system: the worker lives on, and freed arrays between others would stay its own."""
+    for pool in (pa.default_memory_pool(), pa.system_memory_pool()):  # that of the system also trims what numpy has freed
+        pool.release_unused()
+
+
 def _bucket(hash: np.ndarray, buckets: int) -> np.ndarray:
     return ((hash >> U64(32)) * U64(buckets) >> U64(32)).astype(np.int64)
 
@@ -259,8 +265,10 @@ def _count(order: int, hot: np.ndarray, buckets: int, shared: Broadcast):
             if size > HELD:
                 yield flush()
                 size = 0
+                _give_back()
         if held:
             yield flush()
+        _give_back()
 
     return run
 
@@ -285,7 +293,9 @@ def _frequent_contexts(order: int, hot: np.ndarray):
             if size > HELD:
                 yield from (flush(k) for k in held)
                 held, size = {}, 0
+                _give_back()
         yield from (flush(k) for k in held)
+        _give_back()
 
     return run
 
@@ -451,6 +461,7 @@ def _merge(out: str, order: int, hot: np.ndarray, buckets: int, shared: Broadcas
             cuts = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(bucket))
             for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
                 yield one(int(bucket[lo]), b.column("data").slice(lo, hi - lo), arrow)
+                _give_back()
 
     return run
 
@@ -537,7 +548,7 @@ class Model:
             own = own.take(at, axis=0)
             levels.append((own, hash.take(at), inverse))
             own = own[:, 1:]
-        own, only, up = levels[-1]
+        own, only, up = levels.pop()
         place = _bucket(only, self.buckets)
         c = self._find(self.words, place, only)
         size = self.words.keys + 1
@@ -551,8 +562,10 @@ class Model:
         else:
             p = np.full(len(only), 1 / size)
         to_word = up
-        for (own, hash, inverse), order in zip(levels[-2::-1], self.grams[1:]):
+        for order in self.grams[1 : len(levels) + 1]:
+            own, hash, inverse = levels.pop()
             heads = _key(own[:, :-1])
+            del own
             at, of_head = _distinct(heads)
             heads = heads[at]
             place = _bucket(textops.mix(heads), self.buckets)
@@ -563,6 +576,7 @@ class Model:
             d, seen = order.discounts(), sums[:, 0] > 0
             full = np.maximum(sums[:, 0], 1)
             left = np.where(seen, (sums[:, 1] * d[1] + sums[:, 2] * d[2] + sums[:, 3] * d[3]) / full, 1.0)  # for the lower order; all if the context is new
+            del sums
             p = np.where(seen, 1 / full, 0.0).take(of_head) * np.maximum(k - d[np.minimum(k, 3)], 0) + left.take(of_head) * p.take(up)
             to_word, up = to_word[inverse], inverse
         return c[to_word], base[to_word], np.log10(p)[up]
@@ -644,7 +658,9 @@ def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                 count, base, score = own.logs(grams[:, -1], grams[:, :-1])
                 n = piece.num_rows
                 yield record(arrow, piece.column("id"), np.bincount(row, minlength=n), np.bincount(row[count > 0], minlength=n), np.bincount(row, base, n), np.bincount(row, score, n))
+                del grams, row, count, base, score
                 own.unmap(MAPPED)
+                _give_back()
         finally:
             own.unmap()  # the worker lives on
 
