@@ -407,6 +407,31 @@ def test_language_model_counts_and_merges_in_bounded_memory(tmp_path, monkeypatc
         assert lm.Model(order, [order], 1)._find(order, np.zeros(len(some), np.int64), lm._key(some)).tolist() == [want[bytes(g)] for g in np.ascontiguousarray(some)]
 
 
+def test_language_model_scores_in_bounded_memory(tmp_path, monkeypatch):
+    """What an order's look-ups needed goes before the next order's."""
+    import tracemalloc
+    from types import SimpleNamespace
+
+    monkeypatch.setattr(lm, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(taskAttemptId=lambda: 0)))
+    rng, none, n = np.random.default_rng(9), np.zeros(0, np.uint64), 400_000
+    words = np.unique(rng.integers(1, 1 << 63, 30_000, dtype=np.uint64))
+    grams, shared, orders = words[rng.integers(0, len(words), (n, 3))], SimpleNamespace(value=lm.Common(words[:9], np.arange(9))), []
+    for k in (1, 2, 3):
+        packet = shared.value.pack(grams[:, 3 - k :], np.zeros(n, np.int64), np.ones(n, np.int64))[1]
+        rows = pa.RecordBatch.from_pydict({"bucket": pa.array([0], pa.int32()), "data": pa.array(packet, pa.binary())})
+        (merged,) = lm._merge(f"{tmp_path}/{k}", k, none, 1, shared)([rows])
+        orders.append(lm.Order({0: merged.column("file")[0].as_py()}, n, merged.column("keys")[0].as_py(), merged.column("of")[0].as_py(), none, np.zeros((0, 4), np.int64)))
+    model = lm.Model(orders[0], orders, 1)
+    model.logs(grams[:9, -1], grams[:9, :-1])
+    tracemalloc.start()
+    try:
+        count, _, score = model.logs(grams[:, -1], grams[:, :-1])
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < 250 * n and count.min() > 0 and np.isfinite(score).all()
+
+
 def test_warc(spark):
     rows = [(1, "http://www.B.example.com/x?q=1#f", "<p>é</p>"), (2, None, "<p>é</p>"), (3, "http://a.example.com/", None), (4, "not a url [", ""), (5, "http://a.example.com/", "z"), (5, "http://a.example.com/", "z"), (None, "http://c.example.com/\r\nx", "q")]
     pages = spark.createDataFrame([(*r, "x") for r in rows], "page_id bigint, url string, html string, digest string")
