@@ -33,7 +33,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from tallyflow.llm import textops
 from tallyflow.llm.pretokens import WordFile, byte_letters, pretokens, read_file
 from tallyflow.llm.tasks import batch as record
-from tallyflow.llm.tasks import map_arrow
+from tallyflow.llm.tasks import give_back, map_arrow
 
 #: bytes up to which the window of a word that goes on is doubled; fewer steps for long words
 WINDOW = 512
@@ -306,5 +306,7 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
                 back.append(out.hexdigest())
             own = piece.columns if keep else [piece.column("doc_id")]
             yield record(arrow, *own, np.diff(at), digests, back)
+            del piece, ids, at, wide, digests, back, own
+            give_back()
 
     return map_arrow(rows, run, schema)

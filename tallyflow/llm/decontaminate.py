@@ -35,7 +35,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from tallyflow.llm import textops
 from tallyflow.llm.fm_index import Shard
 from tallyflow.llm.tasks import batch as record
-from tallyflow.llm.tasks import map_arrow, open_uri
+from tallyflow.llm.tasks import give_back, map_arrow, open_uri
 from tallyflow.sinks.scratch import scratch_path
 
 WINDOW = 10
@@ -146,7 +146,10 @@ def scan(batches: Iterable[pa.RecordBatch], column: str, blocks: Callable[[], It
                 for text, word, width, names in _search(shard, phrases):
                     k, row, base = owner[i + text]
                     hits[k, row].append((base + word, base + word + width, names))
+            del shard
             i = j
+        del parts
+        give_back()
         for k, (batch, w) in enumerate(held):
             spans, cuts, items = [], [], []
             for row in range(batch.num_rows):

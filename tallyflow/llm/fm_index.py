@@ -75,8 +75,11 @@ def suffix_order(code: np.ndarray, top: int) -> np.ndarray:
     key, wide = np.zeros(n, np.int64), np.append(code, np.zeros(per, np.int64))
     for k in range(per):
         key = (key << int(top).bit_length()) | wide[k : k + n]
+    del wide
     order = np.argsort(key, kind="stable")
-    new = np.append(True, key[order][1:] != key[order][:-1])
+    key = key[order]
+    new = np.append(True, key[1:] != key[:-1])
+    del key
     rank = np.empty(n, np.int64)
     begin = np.flatnonzero(new)
     rank[order] = np.repeat(begin, np.diff(np.append(begin, n)))
@@ -114,14 +117,18 @@ class Shard:
         body[where] = code.ravel() + texts
         ends = first[1:] + np.arange(texts)
         body[ends] = np.arange(texts)
+        sampled = np.zeros(n, bool)  # by the word's number, from the start of its text
+        sampled[where[(np.arange(len(words)) - np.repeat(first[:-1], np.diff(first))) % SAMPLE == 0]] = True
+        del code, shift, where
         self.texts, self.n = texts, n
         order = suffix_order(body + 1, sigma + texts + 1)
-        self.last = Wavelet(body[order - 1], sigma + texts)
         self.before = np.concatenate([[0], np.cumsum(np.bincount(body, minlength=sigma + texts))])
-        place = np.full(n, -1, np.int64)  # word number, from the start of its text
-        place[where] = np.arange(len(words)) - np.repeat(first[:-1], np.diff(first))
-        kept = (place[order] % SAMPLE == 0) & (place[order] >= 0)
+        kept = sampled[order]
         self.kept, self.sample = Bits(kept), order[kept]
+        order -= 1
+        body = body[order]
+        del order
+        self.last = Wavelet(body, sigma + texts)
         self.begins = np.append(0, ends[:-1] + 1)
 
     def search(self, phrases: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -39,7 +39,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from tallyflow.llm import textops
 from tallyflow.llm.tasks import batch as record
-from tallyflow.llm.tasks import map_arrow, open_uri
+from tallyflow.llm.tasks import give_back, map_arrow, open_uri
 from tallyflow.llm.toxicity import held_out
 from tallyflow.sinks.scratch import scratch_path
 
@@ -69,12 +69,6 @@ MERGED = T.StructType([
 ])
 
 
-def _give_back() -> None:
-    """Returns freed memory to the system: the worker lives on, and freed arrays between others would stay its own."""
-    for pool in (pa.default_memory_pool(), pa.system_memory_pool()):  # that of the system also trims what numpy has freed
-        pool.release_unused()
-
-
 def _bucket(hash: np.ndarray, buckets: int) -> np.ndarray:
     return ((hash >> U64(32)) * U64(buckets) >> U64(32)).astype(np.int64)
 
@@ -265,10 +259,10 @@ def _count(order: int, hot: np.ndarray, buckets: int, shared: Broadcast):
             if size > HELD:
                 yield flush()
                 size = 0
-                _give_back()
+                give_back()
         if held:
             yield flush()
-        _give_back()
+        give_back()
 
     return run
 
@@ -293,9 +287,9 @@ def _frequent_contexts(order: int, hot: np.ndarray):
             if size > HELD:
                 yield from (flush(k) for k in held)
                 held, size = {}, 0
-                _give_back()
+                give_back()
         yield from (flush(k) for k in held)
-        _give_back()
+        give_back()
 
     return run
 
@@ -461,7 +455,7 @@ def _merge(out: str, order: int, hot: np.ndarray, buckets: int, shared: Broadcas
             cuts = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(bucket))
             for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
                 yield one(int(bucket[lo]), b.column("data").slice(lo, hi - lo), arrow)
-                _give_back()
+                give_back()
 
     return run
 
@@ -660,7 +654,7 @@ def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                 yield record(arrow, piece.column("id"), np.bincount(row, minlength=n), np.bincount(row[count > 0], minlength=n), np.bincount(row, base, n), np.bincount(row, score, n))
                 del grams, row, count, base, score
                 own.unmap(MAPPED)
-                _give_back()
+                give_back()
         finally:
             own.unmap()  # the worker lives on
 

@@ -83,9 +83,8 @@ def pretokens(texts: pa.Array, specials: dict[str, int]) -> PreTokens:
     lengths = np.fromiter(map(len, parts), np.int64, len(parts))
     bounds = np.concatenate([[0], np.cumsum(lengths)])
     kind = _class_of()[cp]
-    mark = np.full(n, -1, np.int64)
-    for k in np.flatnonzero(np.array(marks, np.int64) >= 0):
-        kind[bounds[k]], mark[bounds[k]] = SPECIAL, marks[k]
+    special = np.flatnonzero(np.array(marks, np.int64) >= 0)
+    kind[bounds[special]] = SPECIAL
     first = np.zeros(n + 1, bool)
     first[bounds] = True
     fresh = first[:n].copy()
@@ -97,7 +96,7 @@ def pretokens(texts: pa.Array, specials: dict[str, int]) -> PreTokens:
     q = np.flatnonzero((cp == 39) & begin)
     q = q[q + 1 < n]
     q = q[(kind[q + 1] == LETTER) & ~first[q + 1]]
-    after = np.append(cp, [0, 0])
+    after = np.append(cp, np.zeros(2, np.uint32))
     two = np.zeros(len(q), bool)
     for a, b in TWO_LETTERS:
         two |= (after[q + 1] == ord(a)) & (after[q + 2] == ord(b))
@@ -109,15 +108,20 @@ def pretokens(texts: pa.Array, specials: dict[str, int]) -> PreTokens:
     follow = follow[(kind[follow] == LETTER) & ~first[follow]]
     begin[follow] = True
 
-    edge = np.append(begin | (kind == SPACE) | first[:n], True)
+    edges = np.flatnonzero(np.append(begin | (kind == SPACE) | first[:n], True))
     start = np.flatnonzero(begin)
-    edges = np.flatnonzero(edge)
     end = edges[np.searchsorted(edges, start, side="right")] if n else start
-    width = 1 + (cp >= 0x80).astype(np.int64) + (cp >= 0x800) + (cp >= 0x10000)
-    at = np.concatenate([[0], np.cumsum(width)])
-    data = np.frombuffer(whole.encode(), np.uint8)
     row = np.array(rows, np.int64)[np.searchsorted(bounds, start, side="right") - 1] if n else start
-    return PreTokens(data, at[start], at[end], row, textops._hashes(data, at[start], at[end]), mark[start])
+    mark = np.full(len(start), -1, np.int64)
+    mark[np.searchsorted(start, bounds[special])] = np.array(marks, np.int64)[special]
+    # from here on only the cuts are needed, in bytes
+    del after, edges, first, fresh, begin, kind
+    at = np.zeros(n + 1, np.int64)
+    np.cumsum(np.uint8(1) + (cp >= 0x80) + (cp >= 0x800) + (cp >= 0x10000), out=at[1:])
+    start, end = at[start], at[end]
+    del cp, at
+    data = np.frombuffer(whole.encode(), np.uint8)
+    return PreTokens(data, start, end, row, textops._hashes(data, start, end), mark)
 
 
 @dataclass

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tallyflow.llm import bpe, components, decontaminate, fm_index, huffman, jaccard_join, language, line_dedup, lm, quality, queries, token_files, toxicity, warc
+from tallyflow.llm import bpe, components, decontaminate, fm_index, huffman, jaccard_join, language, line_dedup, lm, pretokens, quality, queries, tasks, textops, token_files, toxicity, warc
 from tests.oracle import SF_DIR, connect, difference
 
 SPACED = r"[^\x20\x09-\x0D]+"
@@ -432,6 +432,58 @@ def test_language_model_scores_in_bounded_memory(tmp_path, monkeypatch):
     assert most < 250 * n and count.min() > 0 and np.isfinite(score).all()
 
 
+def _most(run) -> int:
+    """Bytes that ``run`` holds at its peak."""
+    import tracemalloc
+
+    tracemalloc.start()
+    try:
+        run()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_shards_and_pretokens_take_bounded_memory():
+    """What a step no longer needs goes before the next one."""
+    rng, n = np.random.default_rng(3), 300_000
+    words = textops.mix(rng.integers(0, 20_000, n).astype(np.uint64))
+    first = np.sort(np.concatenate([[0, n], rng.integers(0, n, 900)]))
+    assert _most(lambda: fm_index.Shard(words, first)) < 75 * n
+    text = " ".join(map(str, rng.integers(0, 1 << 40, 40_000))).translate(str.maketrans("123456", "eothan"))
+    specials = {"<|endoftext|>": 7}
+    pretokens.pretokens(pa.array(["a"]), specials)
+    assert _most(lambda: pretokens.pretokens(pa.array([text]), specials)) < 60 * len(text)
+
+
+def test_pretokens_mark_special_tokens():
+    p = pretokens.pretokens(pa.array(["<e>", None, "a<e><s>B's", "", "é <s"]), {"<s>": 5, "<e>": 9})
+    got = [(row, bytes(p.data[lo:hi]).decode(), special) for row, lo, hi, special in zip(p.row.tolist(), p.start.tolist(), p.end.tolist(), p.special.tolist())]
+    assert got == [(0, "\0", 9), (2, "a", -1), (2, "\0", 9), (2, "\0", 5), (2, "b", -1), (2, "'s", -1), (4, "é", -1), (4, "<", -1), (4, "s", -1)]
+
+
+def test_tasks_return_freed_memory(monkeypatch):
+    """At a task's end, when what it held is gone; its worker takes the next task."""
+    import weakref
+    from types import SimpleNamespace
+
+    said, alive = [], []
+    monkeypatch.setattr(tasks, "_ship", lambda context: None)
+    monkeypatch.setattr(tasks, "give_back", lambda: said.append(alive[0]() is None))
+    frame = SimpleNamespace(sparkSession=SimpleNamespace(sparkContext=None), mapInArrow=lambda run, schema, barrier: run)
+
+    def run(batches):
+        held = np.zeros(9)
+        alive.append(weakref.ref(held))
+        for b in batches:
+            yield b
+            assert not said
+
+    rows = pa.RecordBatch.from_pydict({"x": [1, 2]})
+    assert list(tasks.map_arrow(frame, run, "x bigint")([rows, rows])) == [rows, rows]
+    assert said == [True]
+
+
 def test_warc(spark):
     rows = [(1, "http://www.B.example.com/x?q=1#f", "<p>é</p>"), (2, None, "<p>é</p>"), (3, "http://a.example.com/", None), (4, "not a url [", ""), (5, "http://a.example.com/", "z"), (5, "http://a.example.com/", "z"), (None, "http://c.example.com/\r\nx", "q")]
     pages = spark.createDataFrame([(*r, "x") for r in rows], "page_id bigint, url string, html string, digest string")
