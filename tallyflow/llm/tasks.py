@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import re
 import tempfile
@@ -35,8 +36,10 @@ def _ship(context: SparkContext) -> None:
 
 def give_back() -> None:
     """Returns freed memory to the system: the worker lives on, and freed arrays between others would stay its own."""
-    for pool in (pa.default_memory_pool(), pa.system_memory_pool()):  # that of the system also trims what numpy has freed
-        pool.release_unused()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.pythonapi, "malloc_trim", None)  # glibc: what numpy has freed
+    if trim:
+        trim(ctypes.c_size_t(0))
 
 
 def map_arrow(df: DataFrame, run: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType | str, barrier: bool = False) -> DataFrame:

@@ -484,6 +484,16 @@ def test_tasks_return_freed_memory(monkeypatch):
     assert said == [True]
 
 
+def test_freed_arrays_go_back_to_the_system():
+    own = lambda: int(re.search(r"RssAnon:\s+(\d+)", open("/proc/self/status").read())[1])
+    held = [np.ones(8_000) for _ in range(3_000)]  # 64 kB each, as arrays that share the heap with others
+    last = held.pop()
+    del held
+    before = own()
+    tasks.give_back()
+    assert before - own() > 100_000 and last.all()
+
+
 def test_warc(spark):
     rows = [(1, "http://www.B.example.com/x?q=1#f", "<p>é</p>"), (2, None, "<p>é</p>"), (3, "http://a.example.com/", None), (4, "not a url [", ""), (5, "http://a.example.com/", "z"), (5, "http://a.example.com/", "z"), (None, "http://c.example.com/\r\nx", "q")]
     pages = spark.createDataFrame([(*r, "x") for r in rows], "page_id bigint, url string, html string, digest string")
